@@ -1,0 +1,12 @@
+"""Structured Streaming entry point for landed feed files.
+
+The source pipeline has no streaming operators (no watermarks, windows over
+event time or state); its cadence is a scheduled full refresh. The one
+streaming piece here is the ingest trigger: newly landed NDJSON feed files
+are picked up exactly once and each micro-batch replaces the raw tables,
+the same overwrite semantics as the batch refresh.
+"""
+
+from plyspark.streaming.ingest import start_feed_ingest
+
+__all__ = ["start_feed_ingest"]
