@@ -173,16 +173,58 @@ def opening_stats(facts: DataFrame) -> DataFrame:
 def opening_dim(facts: DataFrame) -> DataFrame:
     """Opening stats with the canonical sequence, most played first.
 
-    A NULL opening name forms its own stats group but, as with a plain
-    equality join, never gets a canonical sequence."""
-    os_ = opening_stats(facts).alias("os")
-    cm = canonical_openings(facts).alias("cm")
-    joined = os_.join(
-        cm,
-        (F.col("os.opening_eco") == F.col("cm.opening_eco"))
-        & (F.col("os.opening_name") == F.col("cm.opening_name")),
-        "left",
+    Single pass over the facts: one aggregate per (eco, name, sequence) --
+    map-side partial, so a hot opening is reduced before the shuffle -- then
+    one window per (eco, name) over those few rows that both totals the
+    stats and ranks the sequences (row 1 carries the canonical one). This
+    equals ``opening_stats`` left-joined to ``canonical_openings``; a NULL
+    opening name forms its own stats group but, as with a plain equality
+    join, gets no canonical sequence.
+    """
+    f = facts.where(F.col("opening_eco").isNotNull())
+    res = F.col("result")
+    blunders = F.col("white_blunders") + F.col("black_blunders")
+    per_seq = f.groupBy("opening_eco", "opening_name", "opening_moves_string").agg(
+        F.count(F.lit(1)).alias("n"),
+        _count_if(res == "white").alias("w"),
+        _count_if(res == "black").alias("b"),
+        _count_if(res == "draw").alias("d"),
+        F.sum("total_plies").alias("plies_sum"), F.count("total_plies").alias("plies_n"),
+        F.sum("game_duration_sec").alias("dur_sum"), F.count("game_duration_sec").alias("dur_n"),
+        F.sum("max_eval_swing").alias("swing_sum"), F.count("max_eval_swing").alias("swing_n"),
+        F.sum(blunders).alias("bl_sum"), F.count(blunders).alias("bl_n"),
+    )
+    ranked = Window.partitionBy("opening_eco", "opening_name").orderBy(
+        F.col("n").desc(), F.col("opening_moves_string").asc_nulls_last()
+    )
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def total(c: str) -> Column:
+        return F.sum(c).over(whole)
+
+    def mean(s: str, n: str) -> Column:
+        return F.try_divide(total(s).cast("double"), total(n))
+
+    n = total("n")
+    out = per_seq.select(
+        "opening_eco",
+        "opening_name",
+        n.alias("times_played"),
+        total("w").alias("white_wins"),
+        total("b").alias("black_wins"),
+        total("d").alias("draws"),
+        _ratio(total("w"), n).alias("white_win_rate"),
+        _ratio(total("b"), n).alias("black_win_rate"),
+        _ratio(total("d"), n).alias("draw_rate"),
+        F.round(mean("plies_sum", "plies_n") / 2, 1).alias("avg_full_moves"),
+        F.round(mean("dur_sum", "dur_n") / 60, 1).alias("avg_duration_min"),
+        F.round(mean("swing_sum", "swing_n"), 2).alias("avg_sharpness"),
+        F.round(mean("bl_sum", "bl_n"), 2).alias("avg_blunders_per_game"),
+        F.when(F.col("opening_name").isNotNull(), F.col("opening_moves_string")).alias("canonical_moves"),
+        F.row_number().over(ranked).alias("_rn"),
+    )
+    return (
+        out.where(F.col("_rn") == 1)
+        .orderBy(F.col("times_played").desc(), F.col("opening_eco").asc(), F.col("opening_name").asc_nulls_last())
+        .select(*OPENING_DIM_COLUMNS)
     )
-    return joined.select("os.*", F.col("cm.opening_moves_string").alias("canonical_moves")).orderBy(
-        F.col("times_played").desc(), F.col("opening_eco").asc(), F.col("opening_name").asc_nulls_last()
-    ).select(*OPENING_DIM_COLUMNS)

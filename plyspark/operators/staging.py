@@ -36,10 +36,17 @@ def stage_games(games: DataFrame) -> DataFrame:
     ).select(*STG_GAMES_COLUMNS)
 
 
-def stage_moves(moves: DataFrame, evals: DataFrame) -> DataFrame:
+def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -> DataFrame:
     """Every ply with its evaluation (left join on the ply key).
 
     Duplicate eval rows for one ply fan out, as an equi-join does.
+
+    With ``co_partition`` both sides are hash-partitioned by ``game_id``
+    only. Together with ``spark.sql.requireAllClusterKeysForCoPartition=false``
+    (set by ``plyspark.session.ensure_conf``) the join runs on that
+    partitioning, and the per-game window and aggregates downstream reuse it
+    instead of shuffling the joined plies again. A game's ply count is
+    bounded, so partitioning by the game alone cannot create a hot task.
     """
     m = moves.select(
         "game_id", "move_offset", "move_number", "color",
@@ -49,4 +56,6 @@ def stage_moves(moves: DataFrame, evals: DataFrame) -> DataFrame:
         "game_id", "move_offset", "eval_score", "mate_in", "best_move", "variation",
         "judgment", "time_left_cs", "time_left_ratio",
     )
+    if co_partition:
+        m, e = m.repartition("game_id"), e.repartition("game_id")
     return m.join(e, ["game_id", "move_offset"], "left").select(*STG_MOVES_COLUMNS)

@@ -1,8 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
 Every query starts from the driver tables under ``sf_dir`` through the
-fixture adapter (``sources.adapter``) and runs the library operators over
-the whole tables. Raw floating averages, standard deviations and ratios
+fixture adapter (``sources.adapter``), whose output -- raw Parquet tables
+and an NDJSON feed file -- is written once per source into the shared
+checkpoint folder, and runs the library operators over the whole tables. Raw floating averages, standard deviations and ratios
 are rounded to 6 decimals in these wrappers only (the operators themselves
 return unrounded values) so engines that add in a different order agree.
 """
@@ -34,7 +35,7 @@ from plyspark.operators.trajectories import player_games, rating_trajectories
 from plyspark.plans.pipeline import build_models
 from plyspark.session import ensure_conf
 from plyspark.sources import adapter
-from plyspark.sources.feed import analysed_only, decode_feed, latest_games, select_perf
+from plyspark.sources.feed import analysed_only, latest_games, read_feed, select_perf
 
 DEFAULT_PERF = "rapid+classical"
 MAX_GAMES = 5000
@@ -50,13 +51,15 @@ def _r6(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Raw games / moves / move_evals derived from ``sf`` (stored once)."""
     ensure_conf(spark)
-    return adapter.raw_tables(spark, sf)
+    return adapter.stored_raw_tables(spark, sf)
 
 
 def _feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The NDJSON feed derived from ``sf``, scanned with the feed schema."""
     ensure_conf(spark)
-    return decode_feed(adapter.feed_lines(spark, sf))
+    return read_feed(spark, adapter.stored_feed_path(spark, sf))
 
 
 def _stg(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

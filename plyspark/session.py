@@ -8,8 +8,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-#: Settings the operators assume (UTC calendar dates; ANSI is the Spark 4 default).
-REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+#: Settings the operators assume: UTC calendar dates (ANSI is the Spark 4
+#: default), and joins may run on a partitioning by a subset of their keys,
+#: so the ply join reuses the per-game partitioning of its window.
+REQUIRED_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
 
 #: Recommended settings for the pipeline jobs.
 RECOMMENDED_CONF = {
