@@ -9,8 +9,9 @@ Rule kinds (failures counted the way a failing-rows query counts them):
 * ``unique``          distinct non-NULL values that occur more than once
 
 Row-level rules of one table are evaluated together in a single aggregate
-pass (``count_if`` per rule); each ``unique`` rule is one ``groupBy`` with
-map-side partial counts, so a hot value never lands in one task unreduced.
+pass (``count_if`` per rule), folded into the table's ``unique`` pass when
+it has one; ``unique`` is a ``groupBy`` with map-side partial counts, so a
+hot value never lands in one task unreduced.
 """
 
 from __future__ import annotations
@@ -127,32 +128,44 @@ def _report_row(rule: Rule, failures: Column) -> list[Column]:
     ]
 
 
+def _stack(rows: list[tuple[Rule, Column]]) -> Column:
+    return F.explode(F.array(*[F.struct(*_report_row(r, c)) for r, c in rows])).alias("r")
+
+
 def check_table(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Report for the rules of one table (all row-level rules in one pass)."""
-    parts: list[DataFrame] = []
+    """Report for the rules of one table.
+
+    The row-level rules and the first ``unique`` rule share one pass: a
+    ``groupBy`` on the unique column (map-side partial counts) carries the
+    per-key failure counts, which are then summed. Without a unique rule the
+    row-level rules are one global aggregate. Further unique rules on other
+    columns add one grouped pass each.
+    """
     row_rules = [r for r in rules if r.kind != "unique"]
-    if row_rules:
-        counts = df.agg(
-            *[F.count_if(_failing(r)).alias(f"_f{i}") for i, r in enumerate(row_rules)]
+    uniques = [r for r in rules if r.kind == "unique"]
+    parts: list[DataFrame] = []
+    fails = [F.count_if(_failing(r)).alias(f"_f{i}") for i, r in enumerate(row_rules)]
+    if uniques:
+        key = uniques[0].column
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *fails)
+        totals = per_key.agg(
+            F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_u"),
+            *[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).alias(f"_f{i}") for i in range(len(row_rules))],
+        )
+        rows = [(uniques[0], F.col("_u"))] + [(r, F.col(f"_f{i}")) for i, r in enumerate(row_rules)]
+        parts.append(totals.select(_stack(rows)).select("r.*"))
+    elif row_rules:
+        counts = df.agg(*fails)
+        rows = [(r, F.col(f"_f{i}")) for i, r in enumerate(row_rules)]
+        parts.append(counts.select(_stack(rows)).select("r.*"))
+    for r in uniques[1:]:
+        dupes = (
+            df.where(F.col(r.column).isNotNull())
+            .groupBy(r.column)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1)
         )
-        stack = F.explode(
-            F.array(
-                *[
-                    F.struct(*_report_row(r, F.col(f"_f{i}")))
-                    for i, r in enumerate(row_rules)
-                ]
-            )
-        ).alias("r")
-        parts.append(counts.select(stack).select("r.*"))
-    for r in rules:
-        if r.kind == "unique":
-            dupes = (
-                df.where(F.col(r.column).isNotNull())
-                .groupBy(r.column)
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1)
-            )
-            parts.append(dupes.agg(*_report_row(r, F.count(F.lit(1)))))
+        parts.append(dupes.agg(*_report_row(r, F.count(F.lit(1)))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -281,8 +281,7 @@ def q_opening_dim(spark, sf):
 
 def _check_tables(spark, sf) -> dict[str, DataFrame]:
     raw = _raw(spark, sf)
-    models = build_models(raw)
-    return {**raw, **models}
+    return {**raw, **build_models(raw)}
 
 
 def _checks(kind: str | None) -> Query:
