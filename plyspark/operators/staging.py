@@ -41,12 +41,13 @@ def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -
 
     Duplicate eval rows for one ply fan out, as an equi-join does.
 
-    With ``co_partition`` both sides are hash-partitioned by ``game_id``
-    only. Together with ``spark.sql.requireAllClusterKeysForCoPartition=false``
-    (set by ``plyspark.session.ensure_conf``) the join runs on that
-    partitioning, and the per-game window and aggregates downstream reuse it
-    instead of shuffling the joined plies again. A game's ply count is
-    bounded, so partitioning by the game alone cannot create a hot task.
+    With ``co_partition`` the plies are hash-partitioned by ``game_id``
+    only. With ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set
+    by ``plyspark.session.ensure_conf``) the planner then shuffles the evals
+    to that same partitioning (or broadcasts them when AQE finds them small),
+    and the per-game window and aggregates downstream reuse it instead of
+    shuffling the joined plies again. A game's ply count is bounded, so
+    partitioning by the game alone cannot create a hot task.
     """
     m = moves.select(
         "game_id", "move_offset", "move_number", "color",
@@ -57,5 +58,5 @@ def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -
         "judgment", "time_left_cs", "time_left_ratio",
     )
     if co_partition:
-        m, e = m.repartition("game_id"), e.repartition("game_id")
+        m = m.repartition("game_id")
     return m.join(e, ["game_id", "move_offset"], "left").select(*STG_MOVES_COLUMNS)
