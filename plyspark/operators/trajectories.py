@@ -20,6 +20,7 @@ from plyspark.plans.skew import (
     segmented_window,
 )
 from plyspark.schemas import PLAYER_GAME_COLUMNS, TRAJECTORY_COLUMNS
+from plyspark.session import conf_int
 
 PLAYER_KEYS = ["username", "perf_type"]
 PLAYER_ORDER = ["game_created_at", "game_id", "color"]
@@ -63,9 +64,22 @@ def _trajectory_window_cols(df: DataFrame, w: WindowSpec) -> DataFrame:
 
 def rating_trajectories(
     stg_games: DataFrame,
-    rows_per_segment: int = DEFAULT_ROWS_PER_SEGMENT,
-    broadcast_row_limit: int = DEFAULT_BROADCAST_ROW_LIMIT,
+    rows_per_segment: int | None = None,
+    broadcast_row_limit: int | None = None,
 ) -> DataFrame:
+    """Per player-game rating history and rolling form.
+
+    ``rows_per_segment`` / ``broadcast_row_limit`` default to the session
+    settings ``spark.plyspark.window.rowsPerSegment`` and
+    ``spark.plyspark.window.broadcastRowLimit`` (else 4M and 2M rows).
+    """
+    spark = stg_games.sparkSession
+    if rows_per_segment is None:
+        rows_per_segment = conf_int(spark, "spark.plyspark.window.rowsPerSegment", DEFAULT_ROWS_PER_SEGMENT)
+    if broadcast_row_limit is None:
+        broadcast_row_limit = conf_int(
+            spark, "spark.plyspark.window.broadcastRowLimit", DEFAULT_BROADCAST_ROW_LIMIT
+        )
     pg = player_games(stg_games)
     out = segmented_window(
         pg,

@@ -70,3 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """Integer setting from the session conf (e.g. ``spark.plyspark.*``)."""
+    value = spark.conf.get(key, None)
+    return default if value in (None, "") else int(value)

@@ -55,7 +55,11 @@ def test_opening_dim_equals_stats_join_canonical(spark):
         "os.*", F.col("cm.opening_moves_string").alias("canonical_moves"))
     a = sorted(tuple(r) for r in joined.collect())
     b = sorted(tuple(r) for r in opening_dim(facts).collect())
-    assert a == b
+    c = sorted(tuple(r) for r in opening_dim(facts, fused=False).collect())
+    assert a == b == c
+    # same ordering: most played first
+    fused = [(r.times_played, r.opening_eco, r.opening_name) for r in opening_dim(facts).collect()]
+    assert fused == sorted(fused, key=lambda x: (-x[0], x[1], x[2]))
 
 
 def test_player_dim_properties(spark):
@@ -100,6 +104,7 @@ def test_null_name_group_gets_no_canonical(spark):
     *_, facts = _models(spark)
     f = facts.withColumn("opening_name", F.when(F.col("opening_name") == "Opening 1", None)
                          .otherwise(F.col("opening_name")))
-    dim = opening_dim(f)
-    nulls = dim.where(F.col("opening_name").isNull()).collect()
-    assert nulls and all(r.canonical_moves is None for r in nulls)
+    for fused in (True, False):
+        dim = opening_dim(f, fused=fused)
+        nulls = dim.where(F.col("opening_name").isNull()).collect()
+        assert nulls and all(r.canonical_moves is None for r in nulls)
