@@ -56,6 +56,55 @@ def _join_small(
     return out.drop(*[f"_k_{c}" for c in cols])
 
 
+def hot_keys(
+    df: DataFrame, keys: list[str], position: Column, rows_per_segment: int
+) -> DataFrame:
+    """Keys with more than ``rows_per_segment`` rows and how they are cut:
+    ``(keys..., _lo, _nseg, _width)``. One partial aggregate over the input."""
+    pos = position.cast("double")
+    stats = (
+        df.select(*keys, pos.alias("_pos"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
+        .where(F.col("_n") > rows_per_segment)
+    )
+    nseg = F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long")
+    return stats.select(
+        *keys,
+        F.col("_lo"),
+        nseg.alias("_nseg"),
+        ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / nseg).alias("_width"),
+    )
+
+
+def assign_segments(df: DataFrame, hot: DataFrame, keys: list[str], position: Column,
+                    n_hot: int, broadcast_row_limit: int) -> DataFrame:
+    """Add ``_hot`` and ``_seg`` (0 for keys that are not hot)."""
+    d = _join_small(df.withColumn("_pos", position.cast("double")), hot, keys, n_hot, broadcast_row_limit)
+    return d.withColumns(
+        {
+            "_hot": F.col("_nseg").isNotNull(),
+            "_seg": F.when(
+                F.col("_nseg").isNotNull(),
+                F.least(
+                    F.floor((F.col("_pos") - F.col("_lo")) / F.col("_width")),
+                    F.col("_nseg") - 1,
+                ),
+            ).otherwise(F.lit(0)).cast("long"),
+        }
+    ).drop("_pos", "_lo", "_nseg", "_width")
+
+
+def segment_sizes(
+    df: DataFrame, keys: list[str], position: Column, rows_per_segment: int
+) -> DataFrame:
+    """Diagnostic: rows per (key, segment) the window tasks would get."""
+    hot = hot_keys(df, keys, position, rows_per_segment)
+    n_hot = hot.count()
+    seg = assign_segments(df, hot, keys, position, n_hot, DEFAULT_BROADCAST_ROW_LIMIT)
+    return seg.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def segmented_window(
     df: DataFrame,
     keys: list[str],
@@ -78,20 +127,7 @@ def segmented_window(
     is given.
     """
     base_cols = df.columns
-    pos = position.cast("double")
-    stats = (
-        df.select(*keys, pos.alias("_pos"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
-        .where(F.col("_n") > rows_per_segment)
-    )
-    nseg = F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long")
-    hot = stats.select(
-        *keys,
-        F.col("_lo"),
-        nseg.alias("_nseg"),
-        ((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / nseg).alias("_width"),
-    )
+    hot = hot_keys(df, keys, position, rows_per_segment)
     hot = hot.cache()
     summary = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_nseg").alias("s")).first()
     n_hot, n_segments = int(summary["k"]), int(summary["s"] or 0)
@@ -100,19 +136,7 @@ def segmented_window(
         hot.unpersist()
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
 
-    d = _join_small(df.withColumn("_pos", pos), hot, keys, n_hot, broadcast_row_limit)
-    d = d.withColumns(
-        {
-            "_hot": F.col("_nseg").isNotNull(),
-            "_seg": F.when(
-                F.col("_nseg").isNotNull(),
-                F.least(
-                    F.floor((F.col("_pos") - F.col("_lo")) / F.col("_width")),
-                    F.col("_nseg") - 1,
-                ),
-            ).otherwise(F.lit(0)).cast("long"),
-        }
-    ).drop("_pos", "_lo", "_nseg", "_width")
+    d = assign_segments(df, hot, keys, position, n_hot, broadcast_row_limit)
 
     w_local = Window.partitionBy(*keys, "_seg").orderBy(*order)
     local = compute(d, w_local).withColumns(
