@@ -7,7 +7,11 @@ files were consumed, so a restarted or re-triggered job never re-reads a
 file and a lost executor only re-runs the unfinished batch.
 
 With ``available_now=True`` (default) the query processes what has landed
-and stops -- the scheduled-refresh shape.
+and stops -- the scheduled-refresh shape. All newly landed files form one
+micro-batch (no ``maxFilesPerTrigger``): since every batch replaces the raw
+tables, splitting a pickup into several batches would keep only the last.
+Re-running a failed batch rewrites the same tables, so retries are
+idempotent.
 """
 
 from __future__ import annotations
@@ -44,13 +48,9 @@ def start_feed_ingest(
     raw_dir: str,
     checkpoint_location: str | None = None,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the file-stream ingest; returns the running query."""
-    reader = spark.readStream.schema(FEED_SCHEMA)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    feed = reader.json(landing_dir)
+    feed = spark.readStream.schema(FEED_SCHEMA).json(landing_dir)
     location = checkpoint_location or scratch_path(spark, "feed_ingest")
     writer = feed.writeStream.foreachBatch(_load_batch(raw_dir)).option(
         "checkpointLocation", location
