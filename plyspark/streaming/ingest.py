@@ -16,6 +16,7 @@ idempotent.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from datetime import datetime, timezone
 
@@ -51,7 +52,9 @@ def start_feed_ingest(
 ) -> StreamingQuery:
     """Start the file-stream ingest; returns the running query."""
     feed = spark.readStream.schema(FEED_SCHEMA).json(landing_dir)
-    location = checkpoint_location or scratch_path(spark, "feed_ingest")
+    # Default progress folder: one per (landing, target) pair in the shared folder.
+    tag = hashlib.sha1(f"{landing_dir}|{raw_dir}".encode()).hexdigest()[:16]
+    location = checkpoint_location or scratch_path(spark, f"feed_ingest/{tag}")
     writer = feed.writeStream.foreachBatch(_load_batch(raw_dir)).option(
         "checkpointLocation", location
     )
