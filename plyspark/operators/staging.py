@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import epoch_ms_to_ts, time_control_label
 from plyspark.schemas import STG_GAMES_COLUMNS, STG_MOVES_COLUMNS
+from plyspark.sources.tables import is_hash_partitioned_by
 
 
 def stage_games(games: DataFrame) -> DataFrame:
@@ -36,7 +37,9 @@ def stage_games(games: DataFrame) -> DataFrame:
     ).select(*STG_GAMES_COLUMNS)
 
 
-def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -> DataFrame:
+def stage_moves(
+    moves: DataFrame, evals: DataFrame, co_partition: bool | None = None
+) -> DataFrame:
     """Every ply with its evaluation (left join on the ply key).
 
     Duplicate eval rows for one ply fan out, as an equi-join does.
@@ -57,6 +60,8 @@ def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -
         "game_id", "move_offset", "eval_score", "mate_in", "best_move", "variation",
         "judgment", "time_left_cs", "time_left_ratio",
     )
+    if co_partition is None:
+        co_partition = not is_hash_partitioned_by(moves, ["game_id"])
     if co_partition:
         m = m.repartition("game_id")
     return m.join(e, ["game_id", "move_offset"], "left").select(*STG_MOVES_COLUMNS)

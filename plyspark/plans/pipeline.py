@@ -26,7 +26,17 @@ from plyspark.operators.trajectories import rating_trajectories
 from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf
-from plyspark.sources.tables import RAW_TABLES, read_raw, write_csv, write_table
+from plyspark.sources.tables import (
+    PLY_BUCKET_BY,
+    PLY_SORT_BY,
+    RAW_TABLES,
+    read_raw,
+    write_bucketed_table,
+    write_csv,
+    write_table,
+)
+
+PLY_TABLES = ("moves", "move_evals")
 
 INTERMEDIATE = ("move_features", "opening_patterns", "rating_trajectories")
 MARTS = ("match_facts", "player_dim", "opening_dim")
@@ -92,16 +102,34 @@ def run_pipeline(
     rules: list[Rule] | None = None,
     strict: bool = False,
     multiline: bool = False,
+    ply_buckets: int | None = None,
+    table_prefix: str = "plyspark",
 ) -> PipelineResult:
-    """Run one full refresh; every table under ``out_dir`` is replaced."""
+    """Run one full refresh; every table under ``out_dir`` is replaced.
+
+    With ``ply_buckets`` the raw ``moves`` / ``move_evals`` tables are also
+    registered as external tables ``{table_prefix}_moves`` /
+    ``{table_prefix}_move_evals`` bucketed and sorted by game, and the models
+    read them through the catalog: the ply join, the per-game window and the
+    per-game aggregates then run without any shuffle. Choose the bucket
+    count so one bucket is a few hundred MB at the target scale.
+    """
     ensure_conf(spark)
     feed = select_feed(spark, feed_path, perf, max_games, game_id, multiline)
     games, moves, evals = parse_games(feed, ingested_at)
     raw_dir = os.path.join(out_dir, "raw")
     parsed = {"games": games, "moves": moves, "move_evals": evals}
+    raw: dict[str, DataFrame] = {}
     for name in RAW_TABLES:
-        write_table(parsed[name], os.path.join(raw_dir, name), RAW_SCHEMAS[name])
-    raw = {name: read_raw(spark, raw_dir, name) for name in RAW_TABLES}
+        path = os.path.join(raw_dir, name)
+        if ply_buckets and name in PLY_TABLES:
+            table = f"{table_prefix}_{name}"
+            write_bucketed_table(parsed[name], table, path, ply_buckets,
+                                 PLY_BUCKET_BY, PLY_SORT_BY, RAW_SCHEMAS[name])
+            raw[name] = spark.table(table)
+        else:
+            write_table(parsed[name], path, RAW_SCHEMAS[name])
+            raw[name] = read_raw(spark, raw_dir, name)
     if csv_dir is not None:
         for name in RAW_TABLES:
             write_csv(raw[name], csv_dir, label or game_id or "export", name)

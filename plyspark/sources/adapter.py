@@ -254,8 +254,12 @@ def feed_lines(
 
 # --- written once per source: raw Parquet tables and the NDJSON feed ----------
 
-#: Bump when a fixture rule changes so stale written copies are not reused.
-ADAPTER_VERSION = 1
+#: Bump when a fixture rule or the storage layout changes, so stale written
+#: copies are not reused.
+ADAPTER_VERSION = 2
+#: Plies and evals are stored bucketed by game (see ``tables.PLY_BUCKET_BY``).
+FIXTURE_PLY_BUCKETS = 8
+_BUCKETED = ("moves", "move_evals")
 _SOURCES = ("orders", "lineitem", "customer")
 _memo: dict[tuple[str, str], str] = {}
 
@@ -282,37 +286,66 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _table_name(fp: str, name: str) -> str:
+    return f"plyspark_fx_{fp}_{name}"
+
+
 def materialize(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw tables (Parquet) and the feed (NDJSON text) derived from
+    """Write the raw tables and the feed (NDJSON text) derived from
     ``sf_dir`` under the shared checkpoint folder, once; return that folder.
 
-    Later reads start from short scans instead of re-deriving plies from
-    ``lineitem`` -- the same shape as the pipeline, whose models read the
-    stored raw tables. Reused only while the source files are unchanged.
+    ``games`` is plain Parquet; ``moves`` and ``move_evals`` are external
+    tables bucketed and sorted by game, attached to the catalog of every
+    session that uses them, so the ply join, window and per-game aggregates
+    read them without a shuffle. Later reads start from short scans instead
+    of re-deriving plies from ``lineitem`` -- the shape of the pipeline,
+    whose models read stored raw tables. Reused while the sources are
+    unchanged.
     """
     from plyspark.session import scratch_path
-    from plyspark.sources.tables import write_table
+    from plyspark.sources.tables import (
+        PLY_BUCKET_BY,
+        PLY_SORT_BY,
+        register_bucketed_table,
+        write_bucketed_table,
+        write_table,
+    )
 
     key = (os.path.abspath(sf_dir), spark.sparkContext.applicationId)
     if key in _memo:
         return _memo[key]
-    base = scratch_path(spark, f"plyspark_fixture/{_fingerprint(spark, sf_dir)}")
-    schemas = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
-    paths = {name: os.path.join(base, name) for name in (*schemas, "feed")}
+    fp = _fingerprint(spark, sf_dir)
+    base = scratch_path(spark, f"plyspark_fixture/{fp}")
+    paths = {name: os.path.join(base, name) for name in (*_SCHEMAS, "feed")}
     if not all(_committed(spark, p) for p in paths.values()):
         raw = raw_tables(spark, sf_dir)
-        for name, schema in schemas.items():
-            write_table(raw[name], paths[name], schema)
-        stored = {name: spark.read.schema(schemas[name]).parquet(paths[name]) for name in schemas}
+        for name, schema in _SCHEMAS.items():
+            if name in _BUCKETED:
+                write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
+                                     FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY, schema)
+            else:
+                write_table(raw[name], paths[name], schema)
+        stored = {name: spark.read.schema(s).parquet(paths[name]) for name, s in _SCHEMAS.items()}
         feed_lines(spark, sf_dir, stored).write.mode("overwrite").text(paths["feed"])
+    for name in _BUCKETED:
+        register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
+                                FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY)
     _memo[key] = base
+    _names[key] = fp
     return base
 
 
+_names: dict[tuple[str, str], str] = {}
+_SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
+
+
 def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = materialize(spark, sf_dir)
-    schemas = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
-    return {n: spark.read.schema(s).parquet(os.path.join(base, n)) for n, s in schemas.items()}
+    fp = _names[(os.path.abspath(sf_dir), spark.sparkContext.applicationId)]
+    out = {"games": spark.read.schema(GAMES_SCHEMA).parquet(os.path.join(base, "games"))}
+    for name in _BUCKETED:
+        out[name] = spark.table(_table_name(fp, name))
+    return out
 
 
 def stored_feed_path(spark: SparkSession, sf_dir: str) -> str:

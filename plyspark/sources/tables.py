@@ -47,6 +47,64 @@ def write_table(
     writer.parquet(path)
 
 
+#: Plies and evals are bucketed (and sorted) by game so the ply join, the
+#: per-game window and the per-game aggregates need no shuffle at all.
+PLY_BUCKET_BY = ["game_id"]
+PLY_SORT_BY = ["game_id", "move_offset"]
+
+
+def write_bucketed_table(
+    df: DataFrame,
+    table: str,
+    path: str,
+    buckets: int,
+    by: list[str],
+    sort_by: list[str] | None = None,
+    schema: T.StructType | None = None,
+) -> None:
+    """Full-replace load as an external Parquet table bucketed by ``by``.
+
+    The bucket spec lives in the catalog; a later session re-attaches the
+    written files with ``register_bucketed_table``.
+    """
+    out = conform(df, schema) if schema is not None else df
+    writer = out.write.mode("overwrite").bucketBy(buckets, *by)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    writer.option("path", path).saveAsTable(table)
+
+
+def register_bucketed_table(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    buckets: int,
+    by: list[str],
+    sort_by: list[str] | None = None,
+) -> DataFrame:
+    """Attach already-written bucketed files to the catalog (idempotent)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    sort = f" SORTED BY ({', '.join(sort_by)})" if sort_by else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+        f"CLUSTERED BY ({', '.join(by)}){sort} INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
+def is_hash_partitioned_by(df: DataFrame, cols: list[str]) -> bool:
+    """True when ``df`` already satisfies a clustering on ``cols`` (e.g. a
+    scan of a table bucketed by them): planning a ``groupBy(cols)`` on top
+    adds no exchange. Only plans, never runs, the probe."""
+
+    def exchanges(d: DataFrame) -> int:
+        return d._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+    probe = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return exchanges(probe) == exchanges(df)
+
+
 def csv_name(label: str, table: str, stamp: str | None = None) -> str:
     """``{label}_{table}_{UTC yyyymmdd_HHMMSS}``."""
     stamp = stamp or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")

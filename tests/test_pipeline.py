@@ -54,3 +54,31 @@ def test_stream_ingest_available_now(spark, scratch):
     q2 = start_feed_ingest(spark, landing, raw_dir, os.path.join(scratch, "ckpt"))
     q2.awaitTermination(120)
     assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
+
+
+def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):
+    from plyspark.operators.marts import move_aggregates
+    from plyspark.operators.features import move_features
+    from plyspark.operators.staging import stage_moves
+
+    feed = _landed_feed(spark, scratch)
+    out = os.path.join(scratch, "out_bucketed")
+    res = run_pipeline(spark, feed, out, max_games=300, ply_buckets=4, table_prefix="t_bucketed")
+    assert res.failures().isEmpty()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        agg = move_aggregates(move_features(stage_moves(spark.table("t_bucketed_moves"),
+                                                        spark.table("t_bucketed_move_evals"))))
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan, plan
+    # same results as the unbucketed refresh
+    plain_out = os.path.join(scratch, "out_plain")
+    run_pipeline(spark, feed, plain_out, max_games=300)
+    for layer, name in [("marts", "match_facts"), ("marts", "opening_dim"), ("intermediate", "move_features")]:
+        a = spark.read.parquet(os.path.join(out, layer, name))
+        b = spark.read.parquet(os.path.join(plain_out, layer, name))
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

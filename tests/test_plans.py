@@ -32,12 +32,13 @@ def _shuffles(plan: str) -> int:
                or "Exchange rangepartitioning" in ln or "Exchange SinglePartition" in ln)
 
 
+# The registered queries read plies/evals from tables bucketed by game.
 @pytest.mark.parametrize("key,limit", [
-    ("stage_moves", 2),          # plies by game, evals to match
-    ("move_features", 2),        # window reuses the join's partitioning
-    ("move_aggregates", 2),      # so does the per-game aggregate
-    ("opening_patterns", 3),     # + games to the same partitioning
-    ("match_facts", 6),          # openings re-read plies (narrow); in run_pipeline they are a stored table
+    ("stage_moves", 0),          # bucketed join
+    ("move_features", 0),        # window reuses the bucketing
+    ("move_aggregates", 0),      # so does the per-game aggregate
+    ("opening_patterns", 1),     # games shuffled to the plies' partitioning
+    ("match_facts", 2),          # + the games side of the fact joins
     ("rating_trajectories", 1),  # one exchange for all five windows
     ("player_dim", 1),
 ])
@@ -47,6 +48,26 @@ def test_exchange_budget(spark, key, limit):
     assert _shuffles(plan) <= limit, plan
 
 
+def test_plain_parquet_plies_shuffle_once_per_side(spark, scratch):
+    """Unbucketed plies: one exchange per side, reused by window and aggregate."""
+    import os
+
+    from plyspark.operators.features import move_features
+    from plyspark.operators.marts import move_aggregates
+    from plyspark.operators.staging import stage_moves
+    from plyspark.sources import adapter
+
+    raw = adapter.stored_raw_tables(spark, SF_SMALL)
+    for name in ("moves", "move_evals"):
+        raw[name].write.mode("overwrite").parquet(os.path.join(scratch, name))
+    m = spark.read.parquet(os.path.join(scratch, "moves"))
+    e = spark.read.parquet(os.path.join(scratch, "move_evals"))
+    with no_broadcast(spark):
+        plan = _plan(move_aggregates(move_features(stage_moves(m, e))))
+    assert _shuffles(plan) == 2, plan
+    assert "hashpartitioning(game_id" in plan and "move_offset#" not in plan.split("Exchange")[1][:60]
+
+
 def test_scans_are_pruned_and_filtered(spark):
     plan = _plan(registry.QUERIES["stage_games"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(time_control_initial), GreaterThan(time_control_initial,0)]" in plan
