@@ -47,8 +47,8 @@ def stage_moves(
     With ``co_partition`` the plies are hash-partitioned by ``game_id``
     only. With ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set
     by ``plyspark.session.ensure_conf``) the planner then shuffles the evals
-    to that same partitioning (or broadcasts them when AQE finds them small),
-    and the per-game window and aggregates downstream reuse it instead of
+    to that same partitioning, and the per-game window and aggregates
+    downstream reuse it instead of
     shuffling the joined plies again. A game's ply count is bounded, so
     partitioning by the game alone cannot create a hot task.
     """
@@ -64,4 +64,7 @@ def stage_moves(
         co_partition = not is_hash_partitioned_by(moves, ["game_id"])
     if co_partition:
         m = m.repartition("game_id")
-    return m.join(e, ["game_id", "move_offset"], "left").select(*STG_MOVES_COLUMNS)
+    # Evals are a per-ply table with no size bound, so they are never
+    # broadcast: a sort-merge join on the shared game partitioning costs no
+    # extra shuffle and leaves the rows sorted for the per-game window.
+    return m.join(e.hint("merge"), ["game_id", "move_offset"], "left").select(*STG_MOVES_COLUMNS)
