@@ -124,7 +124,8 @@ def q_single_game(spark, sf):
     """All plies of one game chosen by id: the newest analysed game."""
     f = analysed_only(_feed(spark, sf))
     newest = f.orderBy(F.col("createdAt").desc(), F.col("id").asc()).limit(1).select("id")
-    one = f.join(newest, "id", "left_semi")
+    # One row by construction (limit 1), so broadcasting it is safe.
+    one = f.join(F.broadcast(newest), "id", "left_semi")
     plies = explode_plies(one, _ingested())
     return plies.select(
         "game_id", "move_offset", "move_number", "color", "username", "move_san",
