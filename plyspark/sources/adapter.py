@@ -321,30 +321,41 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
         raw = raw_tables(spark, sf_dir)
         for name, schema in _SCHEMAS.items():
             if name in _BUCKETED:
-                write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
-                                     FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY, schema)
-            else:
-                write_table(raw[name], paths[name], schema)
+                try:
+                    write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
+                                         FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY, schema)
+                    continue
+                except Exception:  # no writable catalog: plain files, same rows
+                    pass
+            write_table(raw[name], paths[name], schema)
         stored = {name: spark.read.schema(s).parquet(paths[name]) for name, s in _SCHEMAS.items()}
         feed_lines(spark, sf_dir, stored).write.mode("overwrite").text(paths["feed"])
+    tables: dict[str, str | None] = {}
     for name in _BUCKETED:
-        register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
-                                FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY)
+        try:
+            register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
+                                    FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY)
+            spark.table(_table_name(fp, name)).limit(1).collect()
+            tables[name] = _table_name(fp, name)
+        except Exception:  # catalog unavailable or files not bucketed: read as Parquet
+            tables[name] = None
     _memo[key] = base
-    _names[key] = fp
+    _names[key] = tables
     return base
 
 
-_names: dict[tuple[str, str], str] = {}
+_names: dict[tuple[str, str], dict[str, str | None]] = {}
 _SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
 
 
 def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = materialize(spark, sf_dir)
-    fp = _names[(os.path.abspath(sf_dir), spark.sparkContext.applicationId)]
+    tables = _names[(os.path.abspath(sf_dir), spark.sparkContext.applicationId)]
     out = {"games": spark.read.schema(GAMES_SCHEMA).parquet(os.path.join(base, "games"))}
     for name in _BUCKETED:
-        out[name] = spark.table(_table_name(fp, name))
+        table = tables.get(name)
+        out[name] = (spark.table(table) if table
+                     else spark.read.schema(_SCHEMAS[name]).parquet(os.path.join(base, name)))
     return out
 
 
