@@ -16,11 +16,24 @@ from pyspark.sql import functions as F
 # any other first character is a pawn move; castling is 'O-O' or 'O-O-O'.
 # Move marks inside SAN: 'x' capture, '+' check, '#' checkmate, '=' promotion.
 # Perf-type request groups: 'blitz' -> [blitz]; anything else -> [rapid, classical].
+# Default request: perf 'rapid+classical', at most 5000 games.
+# Game result: white, black, draw (a missing winner is a draw).
+# Outcome for one side: win, loss, draw.
+# Engine judgments counted per side: Blunder, Mistake, Inaccuracy.
+# Missing variant: standard.
+# Rolling form: the last 10 games (this one included); volatility: the last 3 plies.
 # ---------------------------------------------------------------------------
 SAN_PIECES = {"N": "knight", "B": "bishop", "R": "rook", "Q": "queen", "K": "king"}
 CASTLING_PREFIX = "O-O"
 CAPTURE_MARK, CHECK_MARK, MATE_MARK, PROMOTION_MARK = "x", "+", "#", "="
 PERF_GROUPS = {"blitz": ["blitz"], "default": ["rapid", "classical"]}
+DEFAULT_PERF, DEFAULT_MAX_GAMES = "rapid+classical", 5000
+WHITE, BLACK, DRAW = "white", "black", "draw"
+WIN, LOSS = "win", "loss"
+JUDGMENT_LABELS = {"blunders": "Blunder", "mistakes": "Mistake", "inaccuracies": "Inaccuracy"}
+DEFAULT_VARIANT = "standard"
+ROLLING_GAMES = 10
+VOLATILITY_PLIES = 3
 
 
 def whole_number_text(x: Column) -> Column:
@@ -69,11 +82,11 @@ def move_flags(san: Column) -> dict[str, Column]:
 
 def outcome_for(side: str, result: Column) -> Column:
     """Game outcome from ``side``'s point of view given result white/black/draw."""
-    other = "black" if side == "white" else "white"
+    other = BLACK if side == WHITE else WHITE
     return (
-        F.when(result == side, F.lit("win"))
-        .when(result == other, F.lit("loss"))
-        .otherwise(F.lit("draw"))
+        F.when(result == side, F.lit(WIN))
+        .when(result == other, F.lit(LOSS))
+        .otherwise(F.lit(DRAW))
     )
 
 

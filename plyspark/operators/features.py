@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import move_flags, piece_type
+from plyspark.functions.scalar import VOLATILITY_PLIES, move_flags, piece_type
 from plyspark.plans.skew import DEFAULT_BROADCAST_ROW_LIMIT, segmented_window
 from plyspark.schemas import MOVE_FEATURE_COLUMNS
 
@@ -34,7 +34,7 @@ def sample_stddev_over(x: Column, frame: WindowSpec) -> Column:
 
 
 def eval_volatility(w: WindowSpec) -> Column:
-    return sample_stddev_over(F.col("eval_score"), w.rowsBetween(-2, Window.currentRow))
+    return sample_stddev_over(F.col("eval_score"), w.rowsBetween(-(VOLATILITY_PLIES - 1), Window.currentRow))
 
 
 def _window_features(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -69,7 +69,7 @@ def move_features(
             lookback_cols=["eval_delta", "eval_volatility_3"],
             lookahead_cols=[],
             rank_cols=[],
-            lookback=2,
+            lookback=VOLATILITY_PLIES - 1,
             lookahead=0,
             rows_per_segment=rows_per_game_segment,
             broadcast_row_limit=broadcast_row_limit,

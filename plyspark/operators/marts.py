@@ -10,7 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import seconds_between
+from plyspark.functions.scalar import (
+    BLACK,
+    DRAW,
+    JUDGMENT_LABELS,
+    LOSS,
+    WHITE,
+    WIN,
+    seconds_between,
+)
 from plyspark.schemas import (
     MATCH_FACT_COLUMNS,
     MOVE_AGGREGATE_COLUMNS,
@@ -32,10 +40,10 @@ def move_aggregates(features: DataFrame) -> DataFrame:
     """Per-game ply counts, error counts by side, SAN marks, eval and clock."""
     color, judgment = F.col("color"), F.col("judgment")
     aggs = [F.count(F.lit(1)).alias("total_plies"),
-            _count_if(color == "white").alias("white_plies"),
-            _count_if(color == "black").alias("black_plies")]
-    for label, name in (("blunders", "Blunder"), ("mistakes", "Mistake"), ("inaccuracies", "Inaccuracy")):
-        for side in ("white", "black"):
+            _count_if(color == WHITE).alias("white_plies"),
+            _count_if(color == BLACK).alias("black_plies")]
+    for label, name in JUDGMENT_LABELS.items():
+        for side in (WHITE, BLACK):
             aggs.append(_count_if((color == side) & (judgment == name)).alias(f"{side}_{label}"))
     aggs += [
         _count_if(F.col("is_capture")).alias("total_captures"),
@@ -101,16 +109,16 @@ def player_dim(trajectories: DataFrame) -> DataFrame:
     res, color = F.col("game_result"), F.col("color")
     stats = t.groupBy("username").agg(
         F.count(F.lit(1)).alias("total_games"),
-        _count_if(res == "win").alias("wins"),
-        _count_if(res == "draw").alias("draws"),
-        _count_if(res == "loss").alias("losses"),
-        _ratio(_count_if(res == "win"), F.count(F.lit(1))).alias("win_rate"),
-        _count_if(color == "white").alias("white_games"),
-        _count_if(color == "black").alias("black_games"),
-        _ratio(_count_if((color == "white") & (res == "win")),
-               F.nullif(_count_if(color == "white"), F.lit(0))).alias("white_win_rate"),
-        _ratio(_count_if((color == "black") & (res == "win")),
-               F.nullif(_count_if(color == "black"), F.lit(0))).alias("black_win_rate"),
+        _count_if(res == WIN).alias("wins"),
+        _count_if(res == DRAW).alias("draws"),
+        _count_if(res == LOSS).alias("losses"),
+        _ratio(_count_if(res == WIN), F.count(F.lit(1))).alias("win_rate"),
+        _count_if(color == WHITE).alias("white_games"),
+        _count_if(color == BLACK).alias("black_games"),
+        _ratio(_count_if((color == WHITE) & (res == WIN)),
+               F.nullif(_count_if(color == WHITE), F.lit(0))).alias("white_win_rate"),
+        _ratio(_count_if((color == BLACK) & (res == WIN)),
+               F.nullif(_count_if(color == BLACK), F.lit(0))).alias("black_win_rate"),
         F.round(F.avg("rating"), 0).alias("avg_rating"),
         F.max("rating").alias("peak_rating"),
         F.min("rating").alias("lowest_rating"),
@@ -122,8 +130,8 @@ def player_dim(trajectories: DataFrame) -> DataFrame:
     )
     return stats.withColumns(
         {
-            "preferred_color": F.when(F.col("white_games") >= F.col("black_games"), F.lit("white"))
-            .otherwise(F.lit("black")),
+            "preferred_color": F.when(F.col("white_games") >= F.col("black_games"), F.lit(WHITE))
+            .otherwise(F.lit(BLACK)),
             "active_days": F.datediff(F.to_date("last_game_at"), F.to_date("first_game_at")).cast("long"),
         }
     ).select(*PLAYER_DIM_COLUMNS)
@@ -157,12 +165,12 @@ def opening_stats(facts: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return f.groupBy("opening_eco", "opening_name").agg(
         n.alias("times_played"),
-        _count_if(res == "white").alias("white_wins"),
-        _count_if(res == "black").alias("black_wins"),
-        _count_if(res == "draw").alias("draws"),
-        _ratio(_count_if(res == "white"), n).alias("white_win_rate"),
-        _ratio(_count_if(res == "black"), n).alias("black_win_rate"),
-        _ratio(_count_if(res == "draw"), n).alias("draw_rate"),
+        _count_if(res == WHITE).alias("white_wins"),
+        _count_if(res == BLACK).alias("black_wins"),
+        _count_if(res == DRAW).alias("draws"),
+        _ratio(_count_if(res == WHITE), n).alias("white_win_rate"),
+        _ratio(_count_if(res == BLACK), n).alias("black_win_rate"),
+        _ratio(_count_if(res == DRAW), n).alias("draw_rate"),
         F.round(F.avg("total_plies") / 2, 1).alias("avg_full_moves"),
         F.round(F.avg("game_duration_sec") / 60, 1).alias("avg_duration_min"),
         F.round(F.avg("max_eval_swing"), 2).alias("avg_sharpness"),
@@ -209,9 +217,9 @@ def opening_dim(facts: DataFrame, fused: bool = True) -> DataFrame:
     blunders = F.col("white_blunders") + F.col("black_blunders")
     per_seq = f.groupBy("opening_eco", "opening_name", "opening_moves_string").agg(
         F.count(F.lit(1)).alias("n"),
-        _count_if(res == "white").alias("w"),
-        _count_if(res == "black").alias("b"),
-        _count_if(res == "draw").alias("d"),
+        _count_if(res == WHITE).alias("w"),
+        _count_if(res == BLACK).alias("b"),
+        _count_if(res == DRAW).alias("d"),
         F.sum("total_plies").alias("plies_sum"), F.count("total_plies").alias("plies_n"),
         F.sum("game_duration_sec").alias("dur_sum"), F.count("game_duration_sec").alias("dur_n"),
         F.sum("max_eval_swing").alias("swing_sum"), F.count("max_eval_swing").alias("swing_n"),

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import clock_ratio
+from plyspark.functions.scalar import BLACK, WHITE, clock_ratio
 from plyspark.schemas import EVALS_SCHEMA, GAMES_SCHEMA, MOVES_SCHEMA
 from plyspark.sources.tables import conform
 
@@ -76,7 +76,7 @@ def explode_plies(feed: DataFrame, ingested_at: datetime | Column | None = None)
         "game_id",
         pos.alias("move_offset"),
         (F.floor(pos / 2) + 1).cast("long").alias("move_number"),
-        F.when(white_to_move, "white").otherwise("black").alias("color"),
+        F.when(white_to_move, WHITE).otherwise(BLACK).alias("color"),
         F.when(white_to_move, F.col("_white")).otherwise(F.col("_black")).alias("username"),
         "move_san",
         ply_eval["eval"].alias("eval_score"),

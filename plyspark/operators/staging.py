@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import epoch_ms_to_ts, time_control_label
+from plyspark.functions.scalar import DEFAULT_VARIANT, DRAW, epoch_ms_to_ts, time_control_label
 from plyspark.schemas import STG_GAMES_COLUMNS, STG_MOVES_COLUMNS
 from plyspark.sources.tables import is_hash_partitioned_by
 
@@ -23,10 +23,10 @@ def stage_games(games: DataFrame) -> DataFrame:
         "white_rating", "black_rating", "white_rating_diff", "black_rating_diff",
         "white_accuracy", "black_accuracy",
         "winner",
-        F.coalesce(F.col("winner"), F.lit("draw")).alias("result"),
+        F.coalesce(F.col("winner"), F.lit(DRAW)).alias("result"),
         "status",
         "perf_type",
-        F.coalesce(F.col("variant"), F.lit("standard")).alias("variant"),
+        F.coalesce(F.col("variant"), F.lit(DEFAULT_VARIANT)).alias("variant"),
         "opening_eco", "opening_name", "opening_ply",
         "time_control_initial", "time_control_increment",
         time_control_label(F.col("time_control_initial"), F.col("time_control_increment"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import outcome_for
+from plyspark.functions.scalar import BLACK, ROLLING_GAMES, WHITE, WIN, outcome_for
 from plyspark.plans.skew import (
     DEFAULT_BROADCAST_ROW_LIMIT,
     DEFAULT_ROWS_PER_SEGMENT,
@@ -24,7 +24,6 @@ from plyspark.session import conf_int
 
 PLAYER_KEYS = ["username", "perf_type"]
 PLAYER_ORDER = ["game_created_at", "game_id", "color"]
-ROLLING_GAMES = 10
 
 
 def _side(side: str):
@@ -43,14 +42,14 @@ def _side(side: str):
 
 def player_games(stg_games: DataFrame) -> DataFrame:
     """Unpivot white and black into one schema (two rows per game)."""
-    return stg_games.select(F.inline(F.array(_side("white"), _side("black")))).select(
+    return stg_games.select(F.inline(F.array(_side(WHITE), _side(BLACK)))).select(
         *PLAYER_GAME_COLUMNS
     )
 
 
 def _trajectory_window_cols(df: DataFrame, w: WindowSpec) -> DataFrame:
     rolling = w.rowsBetween(-(ROLLING_GAMES - 1), Window.currentRow)
-    win = F.when(F.col("game_result") == "win", F.lit(1.0)).otherwise(F.lit(0.0))
+    win = F.when(F.col("game_result") == WIN, F.lit(1.0)).otherwise(F.lit(0.0))
     return df.withColumns(
         {
             "game_sequence": F.row_number().over(w).cast("long"),

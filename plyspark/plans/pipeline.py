@@ -23,6 +23,7 @@ from plyspark.operators.openings import opening_patterns
 from plyspark.operators.parse import parse_games
 from plyspark.operators.staging import stage_games, stage_moves
 from plyspark.operators.trajectories import rating_trajectories
+from plyspark.functions.scalar import DEFAULT_MAX_GAMES, DEFAULT_PERF
 from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf
@@ -65,8 +66,8 @@ def build_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def select_feed(
     spark: SparkSession,
     feed_path: str,
-    perf: str = "rapid+classical",
-    max_games: int = 5000,
+    perf: str = DEFAULT_PERF,
+    max_games: int = DEFAULT_MAX_GAMES,
     game_id: str | None = None,
     multiline: bool = False,
 ) -> DataFrame:
@@ -93,8 +94,8 @@ def run_pipeline(
     spark: SparkSession,
     feed_path: str,
     out_dir: str,
-    perf: str = "rapid+classical",
-    max_games: int = 5000,
+    perf: str = DEFAULT_PERF,
+    max_games: int = DEFAULT_MAX_GAMES,
     game_id: str | None = None,
     ingested_at: datetime | None = None,
     csv_dir: str | None = None,

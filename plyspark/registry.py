@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyspark.functions.scalar import move_flags, piece_type
+from plyspark.functions.scalar import DEFAULT_MAX_GAMES, DEFAULT_PERF, move_flags, piece_type
 from plyspark.operators.checks import PIPELINE_RULES, run_checks
 from plyspark.operators.features import move_features
 from plyspark.operators.marts import (
@@ -37,8 +37,7 @@ from plyspark.session import ensure_conf
 from plyspark.sources import adapter
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, select_perf
 
-DEFAULT_PERF = "rapid+classical"
-MAX_GAMES = 5000
+MAX_GAMES = DEFAULT_MAX_GAMES
 #: Small segment size used by ``rolling_form`` so the hot-player path of
 #: ``plans.skew`` runs (and is checked) even on the small test tables.
 ROLLING_FORM_SEGMENT_ROWS = 64
