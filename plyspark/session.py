@@ -76,3 +76,27 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     """Integer setting from the session conf (e.g. ``spark.plyspark.*``)."""
     value = spark.conf.get(key, None)
     return default if value in (None, "") else int(value)
+
+
+def partition_settings(
+    input_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    expansion: float = 2.0,
+) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions are sized so one partition holds about
+    ``target_partition_bytes`` of decompressed shuffle data (``expansion``
+    is the decompressed/compressed ratio), never fewer than two waves of the
+    cluster's cores; scans split at the same target. AQE then coalesces
+    small partitions and splits skewed join partitions at runtime.
+    """
+    shuffle_bytes = int(input_bytes * expansion)
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -53,3 +53,13 @@ def test_clock_ratio(spark):
     df = spark.createDataFrame([(6000, 600), (None, 600), (6000, 0), (4567, 90)], "cs long, i long")
     got = [r[0] for r in df.select(clock_ratio(F.col("cs"), F.col("i"))).collect()]
     assert got == [0.1, None, None, round(45.67 / 90, 4)]
+
+
+def test_partition_settings_scale():
+    from plyspark.session import partition_settings
+
+    tb = 1024 ** 4
+    big = partition_settings(100 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 800 * 1024  # 200 TB / 256 MB
+    small = partition_settings(10 * 1024 ** 2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of cores
