@@ -79,24 +79,29 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
 
 
 def partition_settings(
-    input_bytes: int,
+    shuffle_input_bytes: int,
     total_cores: int,
     target_partition_bytes: int = 256 * 1024 * 1024,
     expansion: float = 2.0,
+    max_partitions: int = 100_000,
 ) -> dict[str, str]:
-    """Shuffle and scan sizing for a run over ``input_bytes`` of Parquet.
-
-    Shuffle partitions are sized so one partition holds about
-    ``target_partition_bytes`` of decompressed shuffle data (``expansion``
-    is the decompressed/compressed ratio), never fewer than two waves of the
-    cluster's cores; scans split at the same target. AQE then coalesces
-    small partitions and splits skewed join partitions at runtime.
+    """Shuffle and scan sizing for a stage that shuffles
+    ``shuffle_input_bytes`` of (compressed) Parquet input.
+
+    Shuffle partitions hold about ``target_partition_bytes`` of decompressed
+    data (``expansion`` = decompressed/compressed ratio), never fewer than
+    two waves of the cluster's cores. Above ``max_partitions`` the
+    partitions grow instead, which keeps the map-output bookkeeping on the
+    driver bounded. Scans split at the same target; AQE coalesces small
+    partitions and splits skewed join partitions at runtime.
     """
-    shuffle_bytes = int(input_bytes * expansion)
-    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    shuffle_bytes = int(shuffle_input_bytes * expansion)
+    wanted = -(-shuffle_bytes // target_partition_bytes)
+    partitions = min(max(2 * total_cores, wanted), max(max_partitions, 2 * total_cores))
+    per_partition = max(target_partition_bytes, -(-shuffle_bytes // partitions))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_partition),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * per_partition),
     }
