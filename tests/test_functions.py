@@ -62,7 +62,7 @@ def test_partition_settings_scale():
     big = partition_settings(100 * tb, total_cores=8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; partitions grow
     assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) > 256 * 1024 ** 2
-    mid = partition_settings(1 * tb, total_cores=8000)
+    mid = partition_settings(1 * tb, total_cores=1000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 8 * 1024  # 2 TB / 256 MB
     small = partition_settings(10 * 1024 ** 2, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of cores
