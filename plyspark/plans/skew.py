@@ -25,7 +25,13 @@ lead, bounded ``rowsBetween`` aggregates) plus ``row_number``:
    ``broadcast_row_limit`` and shuffled otherwise.
 
 The result does not depend on how segments are cut: any cut gives the same
-values as the plain window; the cut only affects balance.
+values as the plain window; the cut only affects balance. Rows sharing one
+position value always land in the same segment, so a key whose rows all
+share one timestamp is not split (still exact).
+
+Step 1 runs as one small job while the plan is built: its two numbers (hot
+keys, segments) decide between the plain window (no hot key: the plan is
+exactly the plain window) and broadcast or shuffled fix-ups.
 """
 
 from __future__ import annotations
