@@ -28,8 +28,8 @@ from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf
 from plyspark.sources.tables import (
-    PLY_BUCKET_BY,
-    PLY_SORT_BY,
+    GAME_BUCKET_BY,
+    GAME_SORT_BY,
     RAW_TABLES,
     read_raw,
     write_bucketed_table,
@@ -37,7 +37,6 @@ from plyspark.sources.tables import (
     write_table,
 )
 
-PLY_TABLES = ("moves", "move_evals")
 
 INTERMEDIATE = ("move_features", "opening_patterns", "rating_trajectories")
 MARTS = ("match_facts", "player_dim", "opening_dim")
@@ -103,17 +102,18 @@ def run_pipeline(
     rules: list[Rule] | None = None,
     strict: bool = False,
     multiline: bool = False,
-    ply_buckets: int | None = None,
+    game_buckets: int | None = None,
     table_prefix: str = "plyspark",
 ) -> PipelineResult:
     """Run one full refresh; every table under ``out_dir`` is replaced.
 
-    With ``ply_buckets`` the raw ``moves`` / ``move_evals`` tables are also
-    registered as external tables ``{table_prefix}_moves`` /
-    ``{table_prefix}_move_evals`` bucketed and sorted by game, and the models
-    read them through the catalog: the ply join, the per-game window and the
-    per-game aggregates then run without any shuffle. Choose the bucket
-    count so one bucket is a few hundred MB at the target scale.
+    With ``game_buckets`` the raw ``games`` / ``moves`` / ``move_evals``
+    tables are written as external tables ``{table_prefix}_<name>``
+    bucketed and sorted by game (one bucket count for all three), and the
+    models read them through the catalog: the ply join, the per-game window
+    and aggregates, the opening join and the fact joins then run without
+    any shuffle. Choose the bucket count so one ply bucket is a few hundred
+    MB at the target scale.
     """
     ensure_conf(spark)
     feed = select_feed(spark, feed_path, perf, max_games, game_id, multiline)
@@ -123,10 +123,10 @@ def run_pipeline(
     raw: dict[str, DataFrame] = {}
     for name in RAW_TABLES:
         path = os.path.join(raw_dir, name)
-        if ply_buckets and name in PLY_TABLES:
+        if game_buckets:
             table = f"{table_prefix}_{name}"
-            write_bucketed_table(parsed[name], table, path, ply_buckets,
-                                 PLY_BUCKET_BY, PLY_SORT_BY, RAW_SCHEMAS[name])
+            write_bucketed_table(parsed[name], table, path, game_buckets,
+                                 GAME_BUCKET_BY, GAME_SORT_BY[name], RAW_SCHEMAS[name])
             raw[name] = spark.table(table)
         else:
             write_table(parsed[name], path, RAW_SCHEMAS[name])

@@ -256,10 +256,10 @@ def feed_lines(
 
 #: Bump when a fixture rule or the storage layout changes, so stale written
 #: copies are not reused.
-ADAPTER_VERSION = 2
-#: Plies and evals are stored bucketed by game (see ``tables.PLY_BUCKET_BY``).
-FIXTURE_PLY_BUCKETS = 8
-_BUCKETED = ("moves", "move_evals")
+ADAPTER_VERSION = 3
+#: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``).
+FIXTURE_BUCKETS = 8
+_BUCKETED = ("games", "moves", "move_evals")
 _SOURCES = ("orders", "lineitem", "customer")
 _memo: dict[tuple[str, str], str] = {}
 
@@ -294,18 +294,18 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw tables and the feed (NDJSON text) derived from
     ``sf_dir`` under the shared checkpoint folder, once; return that folder.
 
-    ``games`` is plain Parquet; ``moves`` and ``move_evals`` are external
-    tables bucketed and sorted by game, attached to the catalog of every
-    session that uses them, so the ply join, window and per-game aggregates
-    read them without a shuffle. Later reads start from short scans instead
+    ``games``, ``moves`` and ``move_evals`` are external tables bucketed and
+    sorted by game, attached to the catalog of every session that uses them,
+    so the ply join, window, per-game aggregates, opening join and fact
+    joins read them without a shuffle. Later reads start from short scans instead
     of re-deriving plies from ``lineitem`` -- the shape of the pipeline,
     whose models read stored raw tables. Reused while the sources are
     unchanged.
     """
     from plyspark.session import scratch_path
     from plyspark.sources.tables import (
-        PLY_BUCKET_BY,
-        PLY_SORT_BY,
+        GAME_BUCKET_BY,
+        GAME_SORT_BY,
         register_bucketed_table,
         write_bucketed_table,
         write_table,
@@ -323,7 +323,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
             if name in _BUCKETED:
                 try:
                     write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
-                                         FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY, schema)
+                                         FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
                     continue
                 except Exception:  # no writable catalog: plain files, same rows
                     pass
@@ -334,7 +334,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     for name in _BUCKETED:
         try:
             register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
-                                    FIXTURE_PLY_BUCKETS, PLY_BUCKET_BY, PLY_SORT_BY)
+                                    FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name])
             spark.table(_table_name(fp, name)).limit(1).collect()
             tables[name] = _table_name(fp, name)
         except Exception:  # catalog unavailable or files not bucketed: read as Parquet
@@ -351,7 +351,7 @@ _SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SC
 def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = materialize(spark, sf_dir)
     tables = _names[(os.path.abspath(sf_dir), spark.sparkContext.applicationId)]
-    out = {"games": spark.read.schema(GAMES_SCHEMA).parquet(os.path.join(base, "games"))}
+    out = {}
     for name in _BUCKETED:
         table = tables.get(name)
         out[name] = (spark.table(table) if table

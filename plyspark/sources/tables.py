@@ -47,10 +47,12 @@ def write_table(
     writer.parquet(path)
 
 
-#: Plies and evals are bucketed (and sorted) by game so the ply join, the
-#: per-game window and the per-game aggregates need no shuffle at all.
-PLY_BUCKET_BY = ["game_id"]
-PLY_SORT_BY = ["game_id", "move_offset"]
+#: Raw tables keyed by game are bucketed (and sorted) by ``game_id`` with one
+#: bucket count, so the ply join, the per-game window and aggregates, the
+#: opening join and the fact joins all read co-located data: no shuffle.
+GAME_BUCKET_BY = ["game_id"]
+GAME_SORT_BY = {"games": ["game_id"], "moves": ["game_id", "move_offset"],
+                "move_evals": ["game_id", "move_offset"]}
 
 
 def write_bucketed_table(

@@ -63,17 +63,22 @@ def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):
 
     feed = _landed_feed(spark, scratch)
     out = os.path.join(scratch, "out_bucketed")
-    res = run_pipeline(spark, feed, out, max_games=300, ply_buckets=4, table_prefix="t_bucketed")
+    res = run_pipeline(spark, feed, out, max_games=300, game_buckets=4, table_prefix="t_bucketed")
     assert res.failures().isEmpty()
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        from plyspark.plans.pipeline import build_models
+
+        models = build_models({n: spark.table(f"t_bucketed_{n}") for n in ("games", "moves", "move_evals")})
         agg = move_aggregates(move_features(stage_moves(spark.table("t_bucketed_moves"),
                                                         spark.table("t_bucketed_move_evals"))))
         plan = agg._jdf.queryExecution().executedPlan().toString()
+        facts_plan = models["match_facts"]._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan, plan
+    assert "Exchange" not in facts_plan, facts_plan
     # same results as the unbucketed refresh
     plain_out = os.path.join(scratch, "out_plain")
     run_pipeline(spark, feed, plain_out, max_games=300)

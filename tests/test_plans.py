@@ -32,15 +32,17 @@ def _shuffles(plan: str) -> int:
                or "Exchange rangepartitioning" in ln or "Exchange SinglePartition" in ln)
 
 
-# The registered queries read plies/evals from tables bucketed by game.
+# The registered queries read games, plies and evals from tables bucketed by game.
 @pytest.mark.parametrize("key,limit", [
+    ("stage_games", 0),
     ("stage_moves", 0),          # bucketed join
     ("move_features", 0),        # window reuses the bucketing
     ("move_aggregates", 0),      # so does the per-game aggregate
-    ("opening_patterns", 1),     # games shuffled to the plies' partitioning
-    ("match_facts", 2),          # + the games side of the fact joins
+    ("opening_patterns", 0),     # games are co-bucketed with the plies
+    ("match_facts", 0),          # fact joins too
     ("rating_trajectories", 1),  # one exchange for all five windows
     ("player_dim", 1),
+    ("opening_dim", 3),          # per-sequence aggregate, per-opening window, final order
 ])
 def test_exchange_budget(spark, key, limit):
     with no_broadcast(spark):
