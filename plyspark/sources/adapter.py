@@ -256,7 +256,7 @@ def feed_lines(
 
 #: Bump when a fixture rule or the storage layout changes, so stale written
 #: copies are not reused.
-ADAPTER_VERSION = 3
+ADAPTER_VERSION = 4
 #: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``).
 FIXTURE_BUCKETS = 8
 _BUCKETED = ("games", "moves", "move_evals")

@@ -66,10 +66,15 @@ def write_bucketed_table(
 ) -> None:
     """Full-replace load as an external Parquet table bucketed by ``by``.
 
-    The bucket spec lives in the catalog; a later session re-attaches the
-    written files with ``register_bucketed_table``.
+    The rows are first hash-partitioned into ``buckets`` partitions on the
+    bucket columns (the same hash the bucketing uses), so each write task
+    holds one bucket and writes one file: one shuffle at load time instead
+    of one in every reader, and no small-file explosion. The bucket spec
+    lives in the catalog; a later session re-attaches the written files with
+    ``register_bucketed_table``.
     """
     out = conform(df, schema) if schema is not None else df
+    out = out.repartition(buckets, *[F.col(c) for c in by])
     writer = out.write.mode("overwrite").bucketBy(buckets, *by)
     if sort_by:
         writer = writer.sortBy(*sort_by)
