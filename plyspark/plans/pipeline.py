@@ -39,6 +39,7 @@ from plyspark.sources.tables import (
 
 
 INTERMEDIATE = ("move_features", "opening_patterns", "rating_trajectories")
+GAME_KEYED_LAYERS = {"move_features": ["game_id", "move_offset"], "opening_patterns": ["game_id"]}
 MARTS = ("match_facts", "player_dim", "opening_dim")
 
 
@@ -140,10 +141,18 @@ def run_pipeline(
     models["stg_moves"].createOrReplaceTempView("stg_moves")
     stored: dict[str, DataFrame] = {}
     # Intermediate layer first; marts are rebuilt from the written tables.
+    # With game bucketing, the game-keyed layers are bucketed too, so the
+    # fact job joins co-located stored tables without a shuffle.
     for name in INTERMEDIATE:
         path = os.path.join(out_dir, "intermediate", name)
-        write_table(models[name], path)
-        stored[name] = spark.read.parquet(path)
+        if game_buckets and name in GAME_KEYED_LAYERS:
+            table = f"{table_prefix}_{name}"
+            write_bucketed_table(models[name], table, path, game_buckets,
+                                 GAME_BUCKET_BY, GAME_KEYED_LAYERS[name])
+            stored[name] = spark.table(table)
+        else:
+            write_table(models[name], path)
+            stored[name] = spark.read.parquet(path)
     stg_games = models["stg_games"]
     facts = match_facts(stg_games, stored["move_features"], stored["opening_patterns"])
     marts = {

@@ -57,9 +57,9 @@ def test_stream_ingest_available_now(spark, scratch):
 
 
 def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):
-    from plyspark.operators.marts import move_aggregates
     from plyspark.operators.features import move_features
-    from plyspark.operators.staging import stage_moves
+    from plyspark.operators.marts import match_facts, move_aggregates
+    from plyspark.operators.staging import stage_games, stage_moves
 
     feed = _landed_feed(spark, scratch)
     out = os.path.join(scratch, "out_bucketed")
@@ -75,10 +75,16 @@ def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):
                                                         spark.table("t_bucketed_move_evals"))))
         plan = agg._jdf.queryExecution().executedPlan().toString()
         facts_plan = models["match_facts"]._jdf.queryExecution().executedPlan().toString()
+        # the fact job of the refresh: stored game-keyed layers, co-bucketed
+        stored_facts = match_facts(stage_games(spark.table("t_bucketed_games")),
+                                   spark.table("t_bucketed_move_features"),
+                                   spark.table("t_bucketed_opening_patterns"))
+        stored_plan = stored_facts._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan, plan
     assert "Exchange" not in facts_plan, facts_plan
+    assert "Exchange" not in stored_plan, stored_plan
     # same results as the unbucketed refresh
     plain_out = os.path.join(scratch, "out_plain")
     run_pipeline(spark, feed, plain_out, max_games=300)
