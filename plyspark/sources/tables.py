@@ -90,11 +90,17 @@ def register_bucketed_table(
     by: list[str],
     sort_by: list[str] | None = None,
 ) -> DataFrame:
-    """Attach already-written bucketed files to the catalog (idempotent)."""
+    """Attach already-written bucketed files to the catalog.
+
+    The entry is re-created each time (the table is external: dropping it
+    keeps the files), so a stale entry of the same name in a persistent
+    catalog can never point at another location or bucket spec.
+    """
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     sort = f" SORTED BY ({', '.join(sort_by)})" if sort_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+        f"CREATE TABLE {table} ({cols}) USING parquet "
         f"CLUSTERED BY ({', '.join(by)}){sort} INTO {buckets} BUCKETS LOCATION '{path}'"
     )
     return spark.table(table)
