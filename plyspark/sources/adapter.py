@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -262,6 +263,7 @@ FIXTURE_BUCKETS = 8
 _BUCKETED = ("games", "moves", "move_evals")
 _SOURCES = ("orders", "lineitem", "customer")
 _memo: dict[tuple[str, str], str] = {}
+_lock = threading.Lock()  # one writer per process while the fixture is stored
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -302,6 +304,16 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     whose models read stored raw tables. Reused while the sources are
     unchanged.
     """
+    key = (os.path.abspath(sf_dir), spark.sparkContext.applicationId)
+    if key in _memo:
+        return _memo[key]
+    with _lock:
+        if key in _memo:
+            return _memo[key]
+        return _materialize_locked(spark, sf_dir, key)
+
+
+def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
     from plyspark.session import scratch_path
     from plyspark.sources.tables import (
         GAME_BUCKET_BY,
@@ -311,39 +323,48 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
         write_table,
     )
 
-    key = (os.path.abspath(sf_dir), spark.sparkContext.applicationId)
-    if key in _memo:
-        return _memo[key]
     fp = _fingerprint(spark, sf_dir)
     base = scratch_path(spark, f"plyspark_fixture/{fp}")
     paths = {name: os.path.join(base, name) for name in (*_SCHEMAS, "feed")}
-    if not all(_committed(spark, p) for p in paths.values()):
+    # Files written without a catalog go to "<name>_plain", so plain files
+    # are never attached as a bucketed table.
+    plain = {name: os.path.join(base, f"{name}_plain") for name in _BUCKETED}
+
+    def stored_somewhere(name: str) -> bool:
+        return _committed(spark, paths[name]) or (name in plain and _committed(spark, plain[name]))
+
+    if not all(stored_somewhere(n) for n in paths):
         raw = raw_tables(spark, sf_dir)
         for name, schema in _SCHEMAS.items():
-            if name in _BUCKETED:
-                try:
-                    write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
-                                         FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
-                    continue
-                except Exception:  # no writable catalog: plain files, same rows
-                    pass
-            write_table(raw[name], paths[name], schema)
-        stored = {name: spark.read.schema(s).parquet(paths[name]) for name, s in _SCHEMAS.items()}
+            try:
+                write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
+                                     FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
+            except Exception:  # no writable catalog: plain files, same rows
+                write_table(raw[name], plain[name], schema)
+        stored = {name: _read_stored(spark, paths[name], plain[name], s)
+                  for name, s in _SCHEMAS.items()}
         feed_lines(spark, sf_dir, stored).write.mode("overwrite").text(paths["feed"])
     tables: dict[str, str | None] = {}
     for name in _BUCKETED:
+        tables[name] = None
+        if not _committed(spark, paths[name]):
+            continue
         try:
             register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
                                     FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name])
-            spark.table(_table_name(fp, name)).limit(1).collect()
             tables[name] = _table_name(fp, name)
-        except Exception:  # catalog unavailable or files not bucketed: read as Parquet
-            tables[name] = None
+        except Exception:  # catalog unavailable: read the same files as plain Parquet
+            pass
     _memo[key] = base
     _names[key] = tables
     return base
 
 
+def _read_stored(spark: SparkSession, path: str, plain_path: str, schema) -> DataFrame:
+    chosen = path if _committed(spark, path) else plain_path
+    return spark.read.schema(schema).parquet(chosen)
+
+
 _names: dict[tuple[str, str], dict[str, str | None]] = {}
 _SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
 
@@ -354,8 +375,8 @@ def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     out = {}
     for name in _BUCKETED:
         table = tables.get(name)
-        out[name] = (spark.table(table) if table
-                     else spark.read.schema(_SCHEMAS[name]).parquet(os.path.join(base, name)))
+        out[name] = (spark.table(table) if table else _read_stored(
+            spark, os.path.join(base, name), os.path.join(base, f"{name}_plain"), _SCHEMAS[name]))
     return out
 
 
