@@ -15,6 +15,7 @@ from plyspark.sources.tables import (
     RAW_TABLES,
     conform,
     read_raw,
+    read_raw_csv,
     read_raw_tables,
     write_csv,
     write_table,
@@ -30,6 +31,7 @@ __all__ = [
     "perf_types_for",
     "read_feed",
     "read_raw",
+    "read_raw_csv",
     "read_raw_tables",
     "require_rows",
     "select_perf",

@@ -32,6 +32,26 @@ def read_raw_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {t: read_raw(spark, base, t) for t in RAW_TABLES}
 
 
+def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Read a raw table from its CSV export (header row).
+
+    Exports written through pandas carry nullable integers as floats
+    (``2144.0``), so integer columns are read as double and cast, and
+    timestamps are read as text and parsed; the result has the declared
+    raw schema.
+    """
+    schema = RAW_SCHEMAS[table]
+    read_as = T.StructType([
+        T.StructField(f.name, T.DoubleType()) if isinstance(f.dataType, T.LongType)
+        else T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.TimestampType)
+        else f
+        for f in schema.fields
+    ])
+    df = spark.read.option("header", True).schema(read_as).csv(path)
+    stamps = {f.name: F.to_timestamp(f.name) for f in schema.fields if isinstance(f.dataType, T.TimestampType)}
+    return conform(df.withColumns(stamps), schema)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -118,6 +138,9 @@ def is_hash_partitioned_by(df: DataFrame, cols: list[str]) -> bool:
     return exchanges(probe) == exchanges(df)
 
 
+CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
+
+
 def csv_name(label: str, table: str, stamp: str | None = None) -> str:
     """``{label}_{table}_{UTC yyyymmdd_HHMMSS}``."""
     stamp = stamp or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
@@ -127,5 +150,8 @@ def csv_name(label: str, table: str, stamp: str | None = None) -> str:
 def write_csv(df: DataFrame, out_dir: str, label: str, table: str, stamp: str | None = None) -> str:
     """CSV export with a header row; returns the output directory written."""
     path = os.path.join(out_dir, csv_name(label, table, stamp))
-    df.write.mode("overwrite").option("header", True).csv(path)
+    # Full microseconds with the UTC offset, e.g. 2026-06-11 00:42:39.763237+00:00
+    # (Spark's default keeps milliseconds only).
+    (df.write.mode("overwrite").option("header", True)
+     .option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path))
     return path
