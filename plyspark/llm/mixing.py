@@ -66,7 +66,9 @@ def running(df: DataFrame, keys: list[str], bucket: str, order: list[str], value
     rows themselves only meet those of their own bucket."""
     sums = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_bucket_sum"))
     earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*keys, bucket, F.coalesce(F.sum("_bucket_sum").over(earlier), F.lit(0)).alias("_start"))
+    starts = staged(
+        sums.select(*keys, bucket, F.coalesce(F.sum("_bucket_sum").over(earlier), F.lit(0)).alias("_start")), "starts"
+    )
     inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         df.join(starts, [*keys, bucket])
@@ -105,7 +107,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = units.groupBy("_src", "_none").agg(F.sum("_words").alias("_size"))
     targets = staged(source_targets(sizes, weights, most), "mix-targets")
     summed = running(units, ["_src", "_none"], "_range", ["_order", "_id", "_digest"], "_words", "_upto")
-    passes = (
+    passes = staged(
         summed.join(targets, ["_src", "_none"])
         .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
         .withColumn("_upto", F.col("_upto") + F.col("_pass") * F.col("_source_size"))
@@ -114,10 +116,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("_finish", F.when(F.col("_wanted"), F.col("_upto") / F.col("_target")))
         .withColumn("_slot", F.when(F.col("_wanted"), F.least(F.floor(F.col("_finish") * n), F.lit(n)))
                     .otherwise(-1 - F.pmod("_order", F.lit(n))).cast("long"))
-        .withColumn("_add", F.when(F.col("_wanted"), F.col("_words")).otherwise(F.lit(0)).cast("long"))
+        .withColumn("_add", F.when(F.col("_wanted"), F.col("_words")).otherwise(F.lit(0)).cast("long")),
+        "mix-passes",
     )
     queue = running(passes, [], "_slot", ["_finish", "_none", "_src", "_pass", "_order", "_id", "_digest"], "_add", "_total")
-    budget = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("_budget"))
+    budget = targets.agg(F.coalesce(F.sum("_source_size"), F.lit(0)))
     cut = int(budget.first()[0])
     taken = F.col("_wanted") & (F.col("_total") <= cut)
     return (
