@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plyspark.llm.common import WORD_RE, shuffle_partitions, staged, table
+from plyspark.llm.common import WORD_RE, running, shuffle_partitions, staged, table
 
 #: Times a source (and so a document) may be taken at most.
 MAX_PASSES = 3
@@ -60,23 +60,6 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     )
 
 
-def running(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, name: str) -> DataFrame:
-    """Add ``name``: the sum of ``value`` up to and with each row, by ``keys``
-    in order of ``(bucket, order)``. One row a bucket is summed by ``keys``;
-    rows themselves only meet those of their own bucket."""
-    sums = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_bucket_sum"))
-    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = staged(
-        sums.select(*keys, bucket, F.coalesce(F.sum("_bucket_sum").over(earlier), F.lit(0)).alias("_start")), "starts"
-    )
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        df.join(starts, [*keys, bucket])
-        .withColumn(name, F.col("_start") + F.sum(value).over(inside))
-        .drop("_start")
-    )
-
-
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = WEIGHTS, most: int = MAX_PASSES) -> DataFrame:
     """One row per distinct document ``(id, source, text)``: ``_id, _src,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing
+from plyspark.llm import exact_dedup, mixing, packing
 
 QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_pack_curve": packing.op10_pack_curve,
 }
 
 ORACLE_SQL = {
