@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing
+from plyspark.llm import exact_dedup, mixing, packing, quality_rules
 
 QUERIES = {
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_pack_curve": packing.op10_pack_curve,
