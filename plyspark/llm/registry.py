@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing, quality_rules
+from plyspark.llm import exact_dedup, mixing, packing, quality_rules, token_counts
 
 QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_pack_curve": packing.op10_pack_curve,
