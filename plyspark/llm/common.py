@@ -123,12 +123,13 @@ def flat_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of every word, and the first word of each text
-    (``n + 1`` offsets into the words). A text's end also ends its word."""
+    (``n + 1`` offsets into the words). A text's end also ends its word.
+    ``separator`` tells for each byte value whether it separates words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_IS_SEP[data]
+    word = ~(_IS_SEP if separator is None else separator)[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins = word.copy()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing, quality_rules, token_counts
+from plyspark.llm import exact_dedup, mixing, packing, quality_rules, token_counts, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
