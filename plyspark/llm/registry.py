@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing, quality_rules, token_counts, toxicity
+from plyspark.llm import exact_dedup, mixing, packing, pii, quality_rules, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op6_pii": pii.op6_pii,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
