@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing, pii, quality_rules, token_counts, toxicity
+from plyspark.llm import exact_dedup, mixing, packing, pii, quality_rules, quality_sites, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_site_quality": quality_sites.op2_site_quality,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op6_pii": pii.op6_pii,
     "op7_token_counts": token_counts.op7_token_counts,
