@@ -3,19 +3,21 @@ refinement of suffixes.
 
 Suffixes are put in buckets by their first bytes, and buckets are refined by
 the bucket identifiers of later offsets: the identifier of 20 bytes is made of
-those of two 10-byte buckets, that of 50 bytes of identifiers found before.
-Three rounds each keep only the suffixes that the next one must tell apart:
+those of two 10-byte buckets, those of 35 and 50 bytes of identifiers found
+before. Each round keeps only what the next one must tell apart:
 
 1. 20-byte buckets, of sampled suffixes only: in every 50-byte window the one
-   with the smallest identifier stands for the window, so equal windows are
-   always in one bucket. Buckets with a single document are done, and those
-   are most.
-2. Neighbouring windows with one sample form a segment. Segments are refined
-   by the identifiers of their first and last 50 bytes, which tell the whole
-   segment. All documents but the first of a bucket lose the segment. If all
-   segments of a sample are equal, its first document is done too.
-3. The windows of what is left (the first segment of each kind, at the edges
-   of repeated passages) are refined one by one to 50 bytes.
+   with the smallest identifier (the first such) stands for the window, so
+   equal windows are always in one bucket. Neighbouring windows with one
+   sample form a segment. Buckets with a single document are done, and those
+   are most. Segments are told apart by the identifiers of their first and
+   last 50 bytes; all documents but the first of equal segments lose them,
+   and where all segments of a bucket are equal, the first one is done too.
+2. The other segments' buckets are refined to 35 bytes, to the right for
+   windows that hold 15 bytes after the sample and to the left for the rest,
+   and settled in the same way.
+3. What is left, at the edges of repeated passages, is refined window by
+   window to 50 bytes.
 
 Every step is an aggregate or a join by bucket; no bucket is ever gathered.
 """
@@ -30,18 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plyspark.llm.common import _BASE, _BYTE, _INV, flat_bytes, mix, powers, small_batches, staged, table
+from plyspark.llm.common import _BASE, _BYTE, _INV, discard, flat_bytes, mix, powers, small_batches, staged, table
 
 #: Bytes of a repeated string, of the first buckets, and of the samples.
 LENGTH, GRAM = 50, 10
 SAMPLE = 2 * GRAM
 SPAN = LENGTH - SAMPLE + 1
-#: Windows of a segment at most: its first and last window then cover it.
-MOST_WINDOWS = LENGTH + 1
+#: Bytes beside the sample that the second round's buckets hold.
+BESIDE = (LENGTH - SAMPLE) // 2
 #: ``at`` holds a start and a number of windows.
 SHIFT = 8
 #: Bytes worked on at once.
 PIECE = 1 << 19
+#: Room for places in a piece, among the bits of an identifier.
+PLACES = (1 << 20) - 1
 _LEFT, _RIGHT = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -63,12 +67,21 @@ def window_buckets(grams: np.ndarray, samples: np.ndarray, at: np.ndarray) -> np
 
 
 def smallest(values: np.ndarray, span: int) -> np.ndarray:
-    """Minimum of each ``span`` neighbours."""
+    """First place of the minimum of each ``span`` neighbours. Values and
+    places are compared as one number, by the values' upper bits first."""
+    low = (values & ~np.uint64(PLACES)) | np.arange(len(values), dtype=np.uint64)
     width = 1
-    while 2 * width <= span:
-        values = np.minimum(values[:-width], values[width:])
-        width *= 2
-    return np.minimum(values[: len(values) - (span - width)], values[span - width :]) if span > width else values
+    while width < span:
+        step = min(width, span - width)
+        low = np.minimum(low[:-step], low[step:])
+        width += step
+    return (low & np.uint64(PLACES)).astype(np.int64)
+
+
+def segment_identifier(grams: np.ndarray, samples: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Identifier of the bytes of ``count`` windows from ``begin`` on: the
+    first and last window cover them, as a segment has at most ``SPAN``."""
+    return pair(window_buckets(grams, samples, begin), window_buckets(grams, samples, begin + count - 1) + count.astype(np.uint64))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -96,72 +109,100 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """``sample, segment, doc, part, at`` of ``docs(doc, part, text)``."""
+    """``bucket, segment, doc, part, at`` of ``docs(doc, part, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, rows, bases, data, offsets in pieces(batches, 2):
             grams = gram_buckets(data)
             samples = pair(grams[: len(grams) - GRAM], grams[GRAM:])
-            low = smallest(samples, SPAN)
-            place = np.arange(len(low))
-            owner = np.searchsorted(offsets, place, "right") - 1
+            chosen = smallest(samples, SPAN)
+            place = np.arange(len(chosen))
+            owner = np.repeat(np.arange(len(rows)), np.diff(offsets))[: len(place)]
             valid = place + LENGTH <= offsets[owner + 1]
-            place, owner, low = place[valid], owner[valid], low[valid]
-            new = np.ones(len(low), bool)
-            new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
+            place, owner, chosen = place[valid], owner[valid], chosen[valid]
+            new = np.ones(len(place), bool)
+            new[1:] = (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])
             first = np.flatnonzero(new)
-            count = np.diff(np.append(first, len(low)))
-            cuts = -(-count // MOST_WINDOWS)
-            if (cuts > 1).any():
-                inner = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-                first = np.repeat(first, cuts) + inner * MOST_WINDOWS
-                count = np.diff(np.append(first, len(low)))
+            count = np.diff(np.append(first, len(place)))
             begin = place[first]
-            head = window_buckets(grams, samples, begin)
-            tail = window_buckets(grams, samples, begin + count - 1)
-            segment = pair(head, tail + count.astype(np.uint64))
+            segment = segment_identifier(grams, samples, begin, count)
             who = owner[first]
             start = begin - offsets[who] + bases[who]
             row = pa.array(rows[who])
             yield pa.RecordBatch.from_arrays(
-                [signed(low[first]), signed(segment), batch.column(0).take(row), batch.column(1).take(row), pa.array(start << SHIFT | count)],
-                ["sample", "segment", "doc", "part", "at"],
+                [signed(samples[chosen[first]]), signed(segment), batch.column(0).take(row), batch.column(1).take(row), pa.array(start << SHIFT | count)],
+                ["bucket", "segment", "doc", "part", "at"],
             )
 
-    return docs.mapInArrow(run, "sample long, segment long, doc long, part int, at long")
+    return docs.mapInArrow(run, "bucket long, segment long, doc long, part int, at long")
+
+
+def asked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The bytes of asked segments, one after another: ``(batch, owner, at,
+    bucket, start, count, first byte of each, grams, samples)``; the third
+    column is the text and the fourth the ``(at, bucket)`` pairs."""
+    for batch in batches:
+        data, offsets = flat_bytes(batch.column(2))
+        asked = batch.column(3)
+        pairs = asked.flatten()
+        at, bucket = (pairs.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        owner = np.repeat(np.arange(len(asked)), np.diff(asked.offsets.to_numpy()))
+        step = max(1, PIECE // (SPAN + LENGTH))
+        for low in range(0, len(at), step):
+            part = slice(low, low + step)
+            start, count = at[part] >> SHIFT, at[part] & ((1 << SHIFT) - 1)
+            size = count + LENGTH - 1
+            begin = np.cumsum(size) - size
+            take = np.arange(size.sum()) + np.repeat(offsets[owner[part]] + start - begin, size)
+            grams = gram_buckets(data[take])
+            yield batch, owner[part], bucket[part], start, count, begin, grams, pair(grams[: len(grams) - GRAM], grams[GRAM:])
+
+
+def longer_buckets(docs: DataFrame) -> DataFrame:
+    """``bucket, segment, doc, part, at``: the asked segments of ``docs(doc,
+    part, text, asked)``, cut at the window that has as many bytes before as
+    after its sample, in buckets of 35 bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, owner, _, start, count, begin, grams, samples in asked_texts(batches):
+            sample = smallest(samples, SPAN)[begin]
+            cut = np.clip(sample - BESIDE - begin, 0, count)
+            out = []
+            for rows, skip, size, near, far in (
+                (np.flatnonzero(cut < count), cut, count - cut, SAMPLE, SAMPLE + BESIDE - GRAM),
+                (np.flatnonzero(cut > 0), 0 * cut, cut, -GRAM, -BESIDE),
+            ):
+                at = sample[rows]
+                longer = pair(pair(samples[at], grams[at + near]), grams[at + far] + np.uint64(near < 0))
+                segment = segment_identifier(grams, samples, (begin + skip)[rows], size[rows])
+                who = pa.array(owner[rows])
+                out.append(pa.RecordBatch.from_arrays(
+                    [signed(longer), signed(segment), batch.column(0).take(who), batch.column(1).take(who),
+                     pa.array((start + skip)[rows] << SHIFT | size[rows])],
+                    ["bucket", "segment", "doc", "part", "at"],
+                ))
+            yield from out
+
+    return docs.mapInArrow(run, "bucket long, segment long, doc long, part int, at long")
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """``sample, window, doc, part, at``: the single windows of
-    ``docs(doc, part, text, asked)``, ``asked`` being ``(at, sample)`` pairs."""
+    """``bucket, window, doc, part, at``: the single windows of the asked
+    segments of ``docs(doc, part, text, asked)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = flat_bytes(batch.column(2))
-            asked = batch.column(3)
-            pairs = asked.flatten()
-            at, sample = (pairs.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            owner = np.repeat(np.arange(len(asked)), np.diff(asked.offsets.to_numpy()))
-            start, count = at >> SHIFT, at & ((1 << SHIFT) - 1)
-            step = max(1, PIECE // (MOST_WINDOWS + LENGTH))
-            for low in range(0, len(at), step):
-                part = slice(low, low + step)
-                size = count[part] + LENGTH - 1
-                ends = np.cumsum(size)
-                take = np.arange(ends[-1]) + np.repeat(offsets[owner[part]] + start[part] - (ends - size), size)
-                grams = gram_buckets(data[take])
-                samples = pair(grams[: len(grams) - GRAM], grams[GRAM:])
-                each = np.repeat(np.arange(len(size)), count[part])
-                inner = np.arange(len(each)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-                found = window_buckets(grams, samples, (ends - size)[each] + inner)
-                who = pa.array(owner[part][each])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sample[part][each]), signed(found), batch.column(0).take(who), batch.column(1).take(who),
-                     pa.array((start[part][each] + inner) << SHIFT | 1)],
-                    ["sample", "window", "doc", "part", "at"],
-                )
-
-    return docs.mapInArrow(run, "sample long, window long, doc long, part int, at long")
+        for batch, owner, bucket, start, count, begin, grams, samples in asked_texts(batches):
+            each = np.repeat(np.arange(len(count)), count)
+            inner = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+            found = window_buckets(grams, samples, begin[each] + inner)
+            who = pa.array(owner[each])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[each]), signed(found), batch.column(0).take(who), batch.column(1).take(who),
+                 pa.array((start[each] + inner) << SHIFT | 1)],
+                ["bucket", "window", "doc", "part", "at"],
+            )
+
+    return docs.mapInArrow(run, "bucket long, window long, doc long, part int, at long")
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -184,27 +225,48 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     ``rows(doc, part, text)``; each ``at`` is a start and how many windows
     follow each other there."""
     texts = rows.select("doc", "part", "text").where(F.octet_length("text") >= LENGTH)
-    cut = segments(texts)
+    first = settle(segments(texts), "sub-first")
+    asked = asked_of(texts, first)
+    cut = staged(longer_buckets(asked), "sub-longer")
+    second = settle(cut, "sub-second")
+    discard(cut)
+    single = staged(windows(asked_of(texts, second)), "sub-windows")
+    firsts = staged(
+        single.groupBy("bucket", "window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last"), "sub-firsts"
+    )
+    found = single.join(firsts, ["bucket", "window"]).where("doc > first").select("doc", "part", "at")
+    gone = [x.where("gone").select("doc", "part", "at") for x in (first, second)]
+    return gone[0].unionByName(gone[1]).unionByName(found)
+
+
+def asked_of(texts: DataFrame, settled: DataFrame) -> DataFrame:
+    """Texts with the segments that a round leaves open."""
+    asked = settled.where("NOT gone").groupBy("doc", "part").agg(F.collect_list(F.struct("at", "bucket")).alias("asked"))
+    return texts.join(asked, ["doc", "part"]).select("doc", "part", "text", "asked")
+
+
+def settle(cut: DataFrame, name: str) -> DataFrame:
+    """``doc, part, at, bucket, gone``: the segments of buckets that several
+    documents share. ``gone`` ones are in an earlier document as a whole; of
+    the others only those are kept that a bucket with several kinds has."""
     shared = staged(
-        cut.groupBy("sample").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("sample"), "sub-shared"
+        cut.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("bucket"), f"{name}-shared"
     )
-    left = staged(cut.join(shared, "sample"), "sub-segments")
-    kinds = staged(left.groupBy("sample", "segment").agg(F.min("doc").alias("first")), "sub-kinds")
-    several = kinds.groupBy("sample").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).where("a < b").select("sample", F.lit(True).alias("several"))
-    kinds = staged(kinds.join(several, "sample", "left"), "sub-kinds-several")
+    left = staged(cut.join(shared.hint("shuffle_hash"), "bucket"), f"{name}-left")
+    discard(shared)
+    kinds = staged(left.groupBy("bucket", "segment").agg(F.min("doc").alias("first")), f"{name}-kinds")
+    several = kinds.groupBy("bucket").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).where("a < b")
+    told = staged(kinds.join(several.select("bucket", F.lit(True).alias("several")), "bucket", "left"), f"{name}-told")
+    discard(kinds)
     settled = staged(
-        left.join(kinds, ["sample", "segment"])
+        left.join(told, ["bucket", "segment"])
         .where((F.col("doc") > F.col("first")) | F.col("several"))
-        .select("doc", "part", "at", "sample", (F.col("doc") > F.col("first")).alias("gone")),
-        "sub-settled",
-    )
-    asked = settled.where("NOT gone").groupBy("doc", "part").agg(F.collect_list(F.struct("at", "sample")).alias("asked"))
-    single = staged(windows(texts.join(asked, ["doc", "part"]).select("doc", "part", "text", "asked")), "sub-windows")
-    firsts = staged(
-        single.groupBy("sample", "window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last"), "sub-firsts"
+        .select("doc", "part", "at", "bucket", (F.col("doc") > F.col("first")).alias("gone")),
+        f"{name}-settled",
     )
-    found = single.join(firsts, ["sample", "window"]).where("doc > first").select("doc", "part", "at")
-    return settled.where("gone").select("doc", "part", "at").unionByName(found)
+    discard(left)
+    discard(told)
+    return settled
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
