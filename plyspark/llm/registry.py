@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
+from plyspark.llm import exact_dedup, jaccard_join, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_site_quality": quality_sites.op2_site_quality,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_remove_repeats": substring_dedup.op4_remove_repeats,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_pii": pii.op6_pii,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
