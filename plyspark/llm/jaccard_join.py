@@ -3,8 +3,10 @@
 Two sets that are similar enough share a token in the first quarter of their
 tokens, whatever global order the tokens are in. Candidates must share such
 a token under each of three orders (frequent tokens last in all of them,
-hashes otherwise); what is left of them after length and bitmap bounds is
-verified on the whole sets.
+hashes otherwise). The first order's shared tokens are joined; before their
+sets are fetched, pairs must pass bounds by size, by how many tokens of their
+prefixes any other set shares, and by bitmaps. Pairs that share a prefix token
+in the other two orders as well are verified on the whole sets.
 
 Equal sets are one class from the start. Links are only needed between
 classes that are not connected yet, so each bucket of a prefix token is first
@@ -35,8 +37,8 @@ FREQUENT_TOKENS = 100_000
 #: Documents of one block that must share a token for it to count as frequent.
 FREQUENT_IN_BLOCK = 3
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
-BITMAP_BITS = 4096
-STAR_ROUNDS = 3
+BITMAP_BITS = 2048
+STAR_ROUNDS = 2
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -89,18 +91,15 @@ def prefixes(tokens: np.ndarray, at: np.ndarray, seed: int, frequent: np.ndarray
     return (ordered[first] & np.uint64((1 << TOKEN_BITS) - 1)), np.concatenate([[0], np.cumsum(prefix_size(n))])
 
 
-def lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
-
-
 def packed(values: np.ndarray, at: np.ndarray) -> pa.Array:
     raw = values.tobytes()
     return pa.array([raw[8 * a : 8 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """``row, doc, n, class`` of ``docs(row, doc, text)``, and besides rows
-    ``token, many``: tokens that several classes of a block share."""
+    """``doc, n, value`` (the class) and ``bitmap`` of ``docs(doc, text)``,
+    and besides, with ``is_token``, tokens as ``value`` that ``n`` classes of
+    a block share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -114,15 +113,18 @@ def describe(docs: DataFrame) -> DataFrame:
             many = np.diff(np.append(new, len(counted)))
             often = many >= FREQUENT_IN_BLOCK
             a, b = batch.num_rows, int(often.sum())
+            bits = np.zeros((a, BITMAP_BITS), bool)
+            bits[np.repeat(np.arange(a), n), (mix(tokens) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
+            maps = [m.tobytes() for m in np.packbits(bits, axis=1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([batch.column(0), pa.nulls(b, pa.int64())]),
                  pa.array(np.concatenate([n, many[often]]), pa.int64()),
                  pa.array(np.concatenate([classes, counted[new[often]].view(np.int64)])),
-                 pa.array(np.arange(a + b) >= a)],
-                ["doc", "n", "value", "is_token"],
+                 pa.array(np.arange(a + b) >= a), pa.array(maps + [None] * b, pa.binary())],
+                ["doc", "n", "value", "is_token", "bitmap"],
             )
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, n long, value long, is_token boolean")
+    return docs.select("doc", "text").mapInArrow(run, "doc long, n long, value long, is_token boolean, bitmap binary")
 
 
 def prefix_rows(docs: DataFrame, frequent: np.ndarray, seed: int = SEEDS[0]) -> DataFrame:
@@ -146,28 +148,18 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, seed: int = SEEDS[0]) ->
     return docs.select("doc", "text").mapInArrow(run, "token long, class long, n long")
 
 
-def full_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``class, n, bitmap, second, third, tokens`` of ``docs(doc, text)``."""
+def full_sets(docs: DataFrame) -> DataFrame:
+    """``class, tokens`` of ``docs(doc, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             tokens, at = shingle_sets(batch.column(1))
-            n = np.diff(at)
-            bits = np.zeros((len(n), BITMAP_BITS), bool)
-            bits[np.repeat(np.arange(len(n)), n), (mix(tokens) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-            maps = np.packbits(bits, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(set_classes(tokens, at)), pa.array(n), pa.array([m.tobytes() for m in maps], pa.binary()),
-                 *[lists(*prefixes(tokens, at, seed, frequent)) for seed in SEEDS[1:]], packed(tokens, at)],
-                ["class", "n", "bitmap", "second", "third", "tokens"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(set_classes(tokens, at)), packed(tokens, at)], ["class", "tokens"])
 
-    return docs.select("doc", "text").mapInArrow(
-        run, "class long, n long, bitmap binary, second array<long>, third array<long>, tokens binary"
-    )
+    return docs.select("doc", "text").mapInArrow(run, "class long, tokens binary")
 
 
-def by_bitmap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def by_bitmap(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     """``pairs(a, b)`` that can be similar: sets that differ in as many bits
     of their bitmaps differ in as many tokens at least."""
 
@@ -180,44 +172,36 @@ def by_bitmap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = differ * (100 + THRESHOLD) <= n * (100 - THRESHOLD)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    side = sets.select("class", "n", "bitmap")
+    side = maps.select("class", "n", "bitmap")
     both = pairs.join(side.toDF("a", "n_a", "map_a"), "a").join(side.toDF("b", "n_b", "map_b"), "b")
     return both.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(run, "a long, b long")
 
 
-def by_order(pairs: DataFrame, sets: DataFrame, order: str) -> DataFrame:
-    """``pairs(a, b)`` that share a prefix token of another order."""
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col(order).alias("of_a")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col(order).alias("of_b")), "b"
-    )
-    return both.where(F.arrays_overlap("of_a", "of_b")).select("a", "b")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` that link, by their whole sets."""
+def verified(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``pairs(a, b)`` that share a prefix token in the other orders too, and
+    then link by their whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    side = sets.select("class", "tokens")
-    both = pairs.join(side.toDF("a", "set_a"), "a").join(side.toDF("b", "set_b"), "b")
+        for whole in batches:
+            for batch in blocks(iter([whole])):
+                sides = []
+                for k in (2, 3):
+                    data, ends = flat_bytes(batch.column(k))
+                    tokens, at = data.copy().view(np.uint64), ends // 8
+                    sides.append([(tokens, at)] + [prefixes(tokens, at, seed, frequent) for seed in SEEDS[1:]])
+                ok = []
+                for row in range(batch.num_rows):
+                    parts = [[t[at[row] : at[row + 1]] for t, at in side] for side in sides]
+                    share = all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(parts[0][1:], parts[1][1:]))
+                    x, y = parts[0][0], parts[1][0]
+                    both = len(np.intersect1d(x, y, assume_unique=True)) if share else 0
+                    ok.append(share and 100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def links_of(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The candidates that pass all filters and the verification."""
-    left = staged(by_bitmap(pairs, sets), f"{name}-bitmap")
-    for order in ("second", "third"):
-        left = staged(by_order(left, sets, order), f"{name}-{order}")
-    return staged(verified(left, sets), f"{name}-links").distinct()
-
-
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``class, component`` of all classes in ``links(a, b)``: the smallest
     class that links reach. Each step points classes at the smallest label
@@ -238,9 +222,15 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
 
 def sized(pairs: DataFrame) -> DataFrame:
-    """Pairs ``(a, n_a, b, n_b)`` whose sizes allow a link, each once."""
-    near = (100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
-    return pairs.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Of ``pairs(a, n_a, s_a, b, n_b, s_b)`` those that sizes allow to link,
+    each once. Of the common tokens, those outside the prefix of the set
+    whose prefix ends first in the order are as many as that set has there at
+    most; the others are shared tokens of both prefixes (``s`` of them)."""
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    outside = [F.floor(n * THRESHOLD / 100 + F.lit(0.999999)) - 1 for n in (n_a, n_b)]
+    near = 100 * F.least(n_a, n_b) >= THRESHOLD * F.greatest(n_a, n_b)
+    enough = (100 + THRESHOLD) * (F.least("s_a", "s_b") + F.greatest(*outside)) >= THRESHOLD * (n_a + n_b)
+    return pairs.where(near & enough & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,31 +257,44 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     buckets = staged(owned.join(shared.hint("shuffle_hash"), "token").distinct(), "jac-buckets")
     discard(owned)
-    wanted = buckets.select("class").distinct()
-    reps = slim.join(wanted, "class").groupBy("class").agg(F.min("doc").alias("doc")).select("doc").distinct()
-    sets = staged(full_sets(rows.join(reps, "doc"), frequent), "jac-full")
-    sets = sets.join(wanted, "class", "left_semi").dropDuplicates(["class"])
-    sets = staged(sets, "jac-wanted")
-
-    links, labels = None, None
+    discard(shared)
+    counts = staged(buckets.groupBy("class").agg(F.count(F.lit(1)).alias("s")), "jac-counts")
+    buckets = staged(buckets.join(counts, "class"), "jac-counted")
+    maps = staged(described.where("NOT is_token").select(F.col("value").alias("class"), "n", "bitmap", "doc")
+                  .join(counts.select("class"), "class").groupBy("class")
+                  .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jac-maps")
+
+    links, labels, sets = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         held = buckets if labels is None else buckets.join(labels, "class", "left")
         held = held.withColumn("component", F.col("class") if labels is None else F.coalesce("component", "class"))
+        other = [F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")]
         if turn < STAR_ROUNDS:
-            turn_order = F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "component")
+            turn_order = F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "s", "component")
             pivots = held.groupBy("token").agg(
                 F.min(turn_order).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
-            ).where("low < high").select("token", F.col("pivot.class").alias("a"), F.col("pivot.n").alias("n_a"), F.col("pivot.component").alias("of_a"))
-            pairs = staged(held.join(pivots, "token").where("component <> of_a").select("a", "n_a", F.col("class").alias("b"), F.col("n").alias("n_b")), f"jac-star-{turn}")
+            ).where("low < high").selectExpr("token", "pivot.class AS a", "pivot.n AS n_a", "pivot.s AS s_a", "pivot.component AS of_a")
+            pairs = held.join(pivots, "token").where("component <> of_a").select("a", "n_a", "s_a", *other)
         else:
             sizes = held.groupBy("token", "component").agg(F.count(F.lit(1)).alias("many"))
             largest = sizes.groupBy("token").agg(
                 F.max(F.struct("many", "component"))["component"].alias("largest"), F.min("component").alias("low"), F.max("component").alias("high")
             ).where("low < high").select("token", "largest")
             mixed = staged(held.join(largest, "token"), "jac-mixed")
-            few = mixed.where("component <> largest").select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a"))
-            pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", F.col("class").alias("b"), F.col("n").alias("n_b"))
-        found = links_of(staged(sized(pairs), f"jac-pairs-{turn}"), sets, f"jac-{turn}")
+            few = mixed.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a")
+            pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other)
+        left = staged(by_bitmap(staged(sized(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
+        needed = left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")).distinct()
+        if sets is not None:
+            needed = needed.join(sets.select("class"), "class", "left_anti")
+        needed = staged(needed.join(maps.select("class", "doc"), "class").select("doc").distinct(), f"jac-needed-{turn}")
+        if needed.limit(1).count():
+            more = staged(full_sets(rows.join(needed, "doc")), f"jac-full-{turn}")
+            sets = (more if sets is None else sets.unionByName(more)).dropDuplicates(["class"])
+            sets = sets if turn == 0 else staged(sets, f"jac-all-{turn}")
+        if sets is None:
+            sets = spark.createDataFrame([], "class long, tokens binary")
+        found = staged(verified(left, sets, frequent).distinct(), f"jac-found-{turn}")
         links = found if links is None else staged(links.unionByName(found).distinct(), f"jac-links-{turn}")
         labels = components(links, f"jac-labels-{turn}")
 
