@@ -9,7 +9,7 @@ different ranges meet afterwards through their SHA-256, one row a run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plyspark.llm.common import lower_ascii, shuffle_partitions, staged, table
@@ -69,9 +69,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def text_digest(text: Column) -> Column:
-    """The ``text_sha256`` of a text column."""
-    return F.sha2(lower_ascii(F.coalesce(text.cast("string"), F.lit(""))), 256)
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns. Rows that
+    repeat identifier and text are one row."""
+    groups = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha"))
+    digest = F.sha2(lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256)
+    rows = docs.withColumn("_digest", digest)
+    stay = rows.join(groups, rows[id_col].eqNullSafe(groups["_keep"]) & (rows["_digest"] == groups["_sha"]), "left_semi")
+    twice = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    if twice:
+        stay = stay.dropDuplicates([id_col, "_digest"])
+    return stay.drop("_digest")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,8 +37,10 @@ FREQUENT_TOKENS = 100_000
 #: Documents of one block that must share a token for it to count as frequent.
 FREQUENT_IN_BLOCK = 3
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
-BITMAP_BITS = 2048
-STAR_ROUNDS = 2
+#: Bins of a set's sketch: a bit each, or a count (up to 255) each in sets of
+#: more than ``BIT_TOKENS`` tokens, where bits would mostly be set.
+BINS, BIT_TOKENS = 2048, 1000
+STAR_ROUNDS = 3
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -96,6 +98,40 @@ def packed(values: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.array([raw[8 * a : 8 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
 
+def sketches(tokens: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Bins of each set, see ``BINS``."""
+    n = np.diff(at)
+    owner = np.repeat(np.arange(len(n)), n)
+    bins = (mix(tokens) % np.uint64(BINS)).astype(np.int64)
+    small = n <= BIT_TOKENS
+    bits = np.zeros((len(n), BINS), bool)
+    bits[owner, bins] = True
+    out = [m.tobytes() for m in np.packbits(bits, axis=1)]
+    for row in np.flatnonzero(~small).tolist():
+        out[row] = np.minimum(np.bincount(bins[at[row] : at[row + 1]], minlength=BINS), 255).astype(np.uint8).tobytes()
+    return out
+
+
+def least_difference(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Tokens by which the sets of two sketches differ at least: those that
+    bins differ by, counts taken as bits where one side has bits."""
+    out = np.zeros(len(a), np.int64)
+    counts = np.array([(len(x) == BINS) + 2 * (len(y) == BINS) for x, y in zip(a, b)], np.int64)
+    for kind in range(4):
+        rows = np.flatnonzero(counts == kind)
+        for low in range(0, len(rows), 1024):
+            part = rows[low : low + 1024].tolist()
+            if not part:
+                continue
+            x, y = (np.frombuffer(b"".join(side[i] for i in part), np.uint8).reshape(len(part), -1) for side in (a, b))
+            if kind == 3:
+                out[part] = np.abs(x.astype(np.int16) - y).sum(1, dtype=np.int64)
+            else:
+                x, y = (np.packbits(z > 0, axis=1) if z.shape[1] == BINS else z for z in (x, y))
+                out[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """``doc, n, value`` (the class) and ``bitmap`` of ``docs(doc, text)``,
     and besides, with ``is_token``, tokens as ``value`` that ``n`` classes of
@@ -113,9 +149,7 @@ def describe(docs: DataFrame) -> DataFrame:
             many = np.diff(np.append(new, len(counted)))
             often = many >= FREQUENT_IN_BLOCK
             a, b = batch.num_rows, int(often.sum())
-            bits = np.zeros((a, BITMAP_BITS), bool)
-            bits[np.repeat(np.arange(a), n), (mix(tokens) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-            maps = [m.tobytes() for m in np.packbits(bits, axis=1)]
+            maps = sketches(tokens, at)
             yield pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([batch.column(0), pa.nulls(b, pa.int64())]),
                  pa.array(np.concatenate([n, many[often]]), pa.int64()),
@@ -160,13 +194,11 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def by_bitmap(pairs: DataFrame, maps: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` that can be similar: sets that differ in as many bits
-    of their bitmaps differ in as many tokens at least."""
+    """``pairs(a, b)`` that can be similar going by their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            maps = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, BITMAP_BITS // 64) for k in (4, 5)]
-            differ = np.bitwise_count(maps[0] ^ maps[1]).sum(1, dtype=np.int64)
+            differ = least_difference(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
             # 100 i >= t u with u = i + d and n = 2 i + d: d <= n (100 - t) / (100 + t)
             ok = differ * (100 + THRESHOLD) <= n * (100 - THRESHOLD)
@@ -270,7 +302,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         held = held.withColumn("component", F.col("class") if labels is None else F.coalesce("component", "class"))
         other = [F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")]
         if turn < STAR_ROUNDS:
-            turn_order = F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "s", "component")
+            # The text that near copies stem from has the largest share of tokens that others have.
+            first = -F.col("s") / F.col("n") if turn == 0 else F.xxhash64("class", F.lit(turn)).cast("double")
+            turn_order = F.struct(first.alias("first"), "class", "n", "s", "component")
             pivots = held.groupBy("token").agg(
                 F.min(turn_order).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
             ).where("low < high").selectExpr("token", "pivot.class AS a", "pivot.n AS n_a", "pivot.s AS s_a", "pivot.component AS of_a")
@@ -308,5 +342,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their component, with
+    all their columns. Documents without words stay. Rows that repeat an
+    identifier are told apart by their texts; repeated rows stay repeated only
+    where they have no words."""
+    found = jaccard_components(docs, id_col, text_col)
+    stay = staged(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_keep"))
+                  .agg(F.count(F.lit(1)).alias("_rows")), "jac-stay")
+    kept = docs.join(stay.select("_keep"), F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    if stay.where("_rows > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, text_col])
+    return kept
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

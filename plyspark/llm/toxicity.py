@@ -149,13 +149,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     return fit(lists.flatten().to_numpy().astype(np.int64), offsets - offsets[0], rows.column(1).to_numpy())
 
 
-def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``score`` (probability of label 1). A
+def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, without its text unless ``keep_text``, with ``score`` (probability of label 1). A
     null or empty text has no words and gets the model's base rate; every row
     is scored by itself, repeated ones alike."""
     weights, bias = model[0].astype(np.float32), model[1]
-    rest = [c for c in docs.columns if c not in (text_col, "score")]
-    rows = docs.select(F.struct(*rest).alias("_rest") if rest else F.lit(0).alias("_rest"), F.col(text_col).cast("string").alias("_text"))
+    rest = [c for c in docs.columns if (keep_text or c != text_col) and c != "score"]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest") if rest else F.lit(0).alias("_rest"), F.col(text_col).cast("string").alias("_text")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
