@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyspark.llm.common import blocks, discard, flat_bytes, mix, small_batches, staged, table, word_hashes, word_spans
@@ -253,16 +253,20 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def sized(pairs: DataFrame) -> DataFrame:
-    """Of ``pairs(a, n_a, s_a, b, n_b, s_b)`` those that sizes allow to link,
-    each once. Of the common tokens, those outside the prefix of the set
-    whose prefix ends first in the order are as many as that set has there at
-    most; the others are shared tokens of both prefixes (``s`` of them)."""
+def size_bounds() -> Column:
+    """Whether sizes allow ``(a, n_a, s_a, b, n_b, s_b)`` to link. Of the
+    common tokens, those outside the prefix of the set whose prefix ends first
+    in the order are as many as that set has there at most; the others are
+    shared tokens of both prefixes (``s`` of them)."""
     n_a, n_b = F.col("n_a"), F.col("n_b")
     outside = [F.floor(n * THRESHOLD / 100 + F.lit(0.999999)) - 1 for n in (n_a, n_b)]
     near = 100 * F.least(n_a, n_b) >= THRESHOLD * F.greatest(n_a, n_b)
     enough = (100 + THRESHOLD) * (F.least("s_a", "s_b") + F.greatest(*outside)) >= THRESHOLD * (n_a + n_b)
-    return pairs.where(near & enough & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return near & enough & (F.col("a") != F.col("b"))
+
+
+def once(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,7 +312,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             pivots = held.groupBy("token").agg(
                 F.min(turn_order).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
             ).where("low < high").selectExpr("token", "pivot.class AS a", "pivot.n AS n_a", "pivot.s AS s_a", "pivot.component AS of_a")
-            pairs = held.join(pivots, "token").where("component <> of_a").select("a", "n_a", "s_a", *other)
+            pairs = held.join(pivots, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
+            # Of its buckets' pivots each class meets the one that it shares most tokens with.
+            met = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("many"))
+            pairs = met.groupBy("b").agg(F.max(F.struct("many", "a"))["a"].alias("a"))
         else:
             sizes = held.groupBy("token", "component").agg(F.count(F.lit(1)).alias("many"))
             largest = sizes.groupBy("token").agg(
@@ -316,8 +323,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             ).where("low < high").select("token", "largest")
             mixed = staged(held.join(largest, "token"), "jac-mixed")
             few = mixed.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a")
-            pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other)
-        left = staged(by_bitmap(staged(sized(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
+            pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
+        left = staged(by_bitmap(staged(once(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
         needed = left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")).distinct()
         if sets is not None:
             needed = needed.join(sets.select("class"), "class", "left_anti")
