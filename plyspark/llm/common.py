@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,21 @@ def small_batches(spark: SparkSession, rows: int = 1024, megabytes: int = 4) ->
     spark.conf.set(_BYTES, str(megabytes << 20))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete the tables staged inside, but for those that are kept."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for df in _scratch.pop():
+            discard(df)
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
     (lost executors recompute nothing before it) and lets Spark delete the
     finished job's shuffle files."""
@@ -44,7 +59,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if _scratch and not keep:
+        _scratch[-1].append(written)
+    return written
 
 
 def discard(df: DataFrame) -> None:

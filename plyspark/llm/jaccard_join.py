@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyspark.llm.common import blocks, discard, flat_bytes, mix, small_batches, staged, table, word_hashes, word_spans
+from plyspark.llm.common import blocks, discard, flat_bytes, mix, scratch, small_batches, staged, table, word_hashes, word_spans
 
 WORDS = 5
 #: Link when 100 * intersection >= THRESHOLD * union.
@@ -282,65 +282,66 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     small_batches(spark, rows=1 << ROW_BITS, megabytes=2)
     none = -(1 << 63)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(none)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    described = staged(describe(rows), "jac-sets")
-    slim = described.where("NOT is_token").select("doc", "n", F.col("value").alias("class"))
-    top = described.where("is_token").groupBy("value").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "value").limit(FREQUENT_TOKENS)
-    frequent = np.sort(np.array(top.select("value").toArrow().column(0).to_numpy(), np.int64).view(np.uint64))
-
-    owned = staged(prefix_rows(rows, frequent), "jac-prefixes")
-    shared = staged(
-        owned.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("token"), "jac-shared"
-    )
-    buckets = staged(owned.join(shared.hint("shuffle_hash"), "token").distinct(), "jac-buckets")
-    discard(owned)
-    discard(shared)
-    counts = staged(buckets.groupBy("class").agg(F.count(F.lit(1)).alias("s")), "jac-counts")
-    buckets = staged(buckets.join(counts, "class"), "jac-counted")
-    maps = staged(described.where("NOT is_token").select(F.col("value").alias("class"), "n", "bitmap", "doc")
-                  .join(counts.select("class"), "class").groupBy("class")
-                  .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jac-maps")
-
-    links, labels, sets = None, None, None
-    for turn in range(STAR_ROUNDS + 1):
-        held = buckets if labels is None else buckets.join(labels, "class", "left")
-        held = held.withColumn("component", F.col("class") if labels is None else F.coalesce("component", "class"))
-        other = [F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")]
-        if turn < STAR_ROUNDS:
-            # The text that near copies stem from has the largest share of tokens that others have.
-            first = -F.col("s") / F.col("n") if turn == 0 else F.xxhash64("class", F.lit(turn)).cast("double")
-            turn_order = F.struct(first.alias("first"), "class", "n", "s", "component")
-            pivots = held.groupBy("token").agg(
-                F.min(turn_order).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
-            ).where("low < high").selectExpr("token", "pivot.class AS a", "pivot.n AS n_a", "pivot.s AS s_a", "pivot.component AS of_a")
-            pairs = held.join(pivots, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
-            # Of its buckets' pivots each class meets the one that it shares most tokens with.
-            met = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("many"))
-            pairs = met.groupBy("b").agg(F.max(F.struct("many", "a"))["a"].alias("a"))
-        else:
-            sizes = held.groupBy("token", "component").agg(F.count(F.lit(1)).alias("many"))
-            largest = sizes.groupBy("token").agg(
-                F.max(F.struct("many", "component"))["component"].alias("largest"), F.min("component").alias("low"), F.max("component").alias("high")
-            ).where("low < high").select("token", "largest")
-            mixed = staged(held.join(largest, "token"), "jac-mixed")
-            few = mixed.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a")
-            pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
-        left = staged(by_bitmap(staged(once(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
-        needed = left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")).distinct()
-        if sets is not None:
-            needed = needed.join(sets.select("class"), "class", "left_anti")
-        needed = staged(needed.join(maps.select("class", "doc"), "class").select("doc").distinct(), f"jac-needed-{turn}")
-        if needed.limit(1).count():
-            more = staged(full_sets(rows.join(needed, "doc")), f"jac-full-{turn}")
-            sets = (more if sets is None else sets.unionByName(more)).dropDuplicates(["class"])
-            sets = sets if turn == 0 else staged(sets, f"jac-all-{turn}")
-        if sets is None:
-            sets = spark.createDataFrame([], "class long, tokens binary")
-        found = staged(verified(left, sets, frequent).distinct(), f"jac-found-{turn}")
-        links = found if links is None else staged(links.unionByName(found).distinct(), f"jac-links-{turn}")
-        labels = components(links, f"jac-labels-{turn}")
-
-    joined = staged(slim.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")), "jac-joined")
-    firsts = staged(joined.where("n > 0").groupBy("component").agg(F.min("doc").alias("component_id")), "jac-firsts")
+    with scratch():
+        described = staged(describe(rows), "jac-sets")
+        slim = described.where("NOT is_token").select("doc", "n", F.col("value").alias("class"))
+        top = described.where("is_token").groupBy("value").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "value").limit(FREQUENT_TOKENS)
+        frequent = np.sort(np.array(top.select("value").toArrow().column(0).to_numpy(), np.int64).view(np.uint64))
+
+        owned = staged(prefix_rows(rows, frequent), "jac-prefixes")
+        shared = staged(
+            owned.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("token"), "jac-shared"
+        )
+        buckets = staged(owned.join(shared.hint("shuffle_hash"), "token").distinct(), "jac-buckets")
+        discard(owned)
+        discard(shared)
+        counts = staged(buckets.groupBy("class").agg(F.count(F.lit(1)).alias("s")), "jac-counts")
+        buckets = staged(buckets.join(counts, "class"), "jac-counted")
+        maps = staged(described.where("NOT is_token").select(F.col("value").alias("class"), "n", "bitmap", "doc")
+                      .join(counts.select("class"), "class").groupBy("class")
+                      .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jac-maps")
+
+        links, labels, sets = None, None, None
+        for turn in range(STAR_ROUNDS + 1):
+            held = buckets if labels is None else buckets.join(labels, "class", "left")
+            held = held.withColumn("component", F.col("class") if labels is None else F.coalesce("component", "class"))
+            other = [F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")]
+            if turn < STAR_ROUNDS:
+                # The text that near copies stem from has the largest share of tokens that others have.
+                first = -F.col("s") / F.col("n") if turn == 0 else F.xxhash64("class", F.lit(turn)).cast("double")
+                turn_order = F.struct(first.alias("first"), "class", "n", "s", "component")
+                pivots = held.groupBy("token").agg(
+                    F.min(turn_order).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
+                ).where("low < high").selectExpr("token", "pivot.class AS a", "pivot.n AS n_a", "pivot.s AS s_a", "pivot.component AS of_a")
+                pairs = held.join(pivots, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
+                # Of its buckets' pivots each class meets the one that it shares most tokens with.
+                met = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("many"))
+                pairs = met.groupBy("b").agg(F.max(F.struct("many", "a"))["a"].alias("a"))
+            else:
+                sizes = held.groupBy("token", "component").agg(F.count(F.lit(1)).alias("many"))
+                largest = sizes.groupBy("token").agg(
+                    F.max(F.struct("many", "component"))["component"].alias("largest"), F.min("component").alias("low"), F.max("component").alias("high")
+                ).where("low < high").select("token", "largest")
+                mixed = staged(held.join(largest, "token"), "jac-mixed")
+                few = mixed.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a")
+                pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
+            left = staged(by_bitmap(staged(once(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
+            needed = left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")).distinct()
+            if sets is not None:
+                needed = needed.join(sets.select("class"), "class", "left_anti")
+            needed = staged(needed.join(maps.select("class", "doc"), "class").select("doc").distinct(), f"jac-needed-{turn}")
+            if needed.limit(1).count():
+                more = staged(full_sets(rows.join(needed, "doc")), f"jac-full-{turn}")
+                sets = (more if sets is None else sets.unionByName(more)).dropDuplicates(["class"])
+                sets = sets if turn == 0 else staged(sets, f"jac-all-{turn}")
+            if sets is None:
+                sets = spark.createDataFrame([], "class long, tokens binary")
+            found = staged(verified(left, sets, frequent).distinct(), f"jac-found-{turn}")
+            links = found if links is None else staged(links.unionByName(found).distinct(), f"jac-links-{turn}")
+            labels = components(links, f"jac-labels-{turn}")
+
+        joined = staged(slim.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")), "jac-joined", keep=True)
+        firsts = staged(joined.where("n > 0").groupBy("component").agg(F.min("doc").alias("component_id")), "jac-firsts", keep=True)
     id_type = docs.schema[id_col].dataType
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
     given = lambda c: F.when(c != none, c).cast(id_type)

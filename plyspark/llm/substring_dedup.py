@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plyspark.llm.common import _BASE, _BYTE, _INV, discard, flat_bytes, mix, powers, small_batches, staged, table
+from plyspark.llm.common import _BASE, _BYTE, _INV, discard, flat_bytes, mix, powers, scratch, small_batches, staged, table
 
 #: Bytes of a repeated string, of the first buckets, and of the samples.
 LENGTH, GRAM = 50, 10
@@ -280,9 +280,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     small_batches(docs.sparkSession)
     rows = numbered(docs, id_col, text_col)
-    spans = staged(
-        repeated_spans(rows).groupBy("doc", "part").agg(F.collect_list("at").alias("spans")), "sub-spans"
-    )
+    with scratch():
+        spans = staged(repeated_spans(rows).groupBy("doc", "part").agg(F.collect_list("at").alias("spans")), "sub-spans", keep=True)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
