@@ -23,10 +23,10 @@ from plyspark.operators.openings import opening_patterns
 from plyspark.operators.parse import parse_games
 from plyspark.operators.staging import stage_games, stage_moves
 from plyspark.operators.trajectories import rating_trajectories
-from plyspark.functions.scalar import DEFAULT_MAX_GAMES, DEFAULT_PERF
+from plyspark.functions.scalar import DEFAULT_PERF
 from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf
-from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf
+from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf, select_user
 from plyspark.sources.tables import (
     GAME_BUCKET_BY,
     GAME_SORT_BY,
@@ -67,17 +67,23 @@ def select_feed(
     spark: SparkSession,
     feed_path: str,
     perf: str = DEFAULT_PERF,
-    max_games: int = DEFAULT_MAX_GAMES,
+    max_games: int | None = None,
     game_id: str | None = None,
     multiline: bool = False,
+    username: str | None = None,
 ) -> DataFrame:
     """The games one refresh ingests: one game by id, or the newest
-    ``max_games`` of the requested perf group; only analysed games."""
+    ``max_games`` (all, unless given) of the requested perf group and, if
+    given, of one user on either side; only analysed games."""
     feed = read_feed(spark, feed_path, game_id=game_id, multiline=multiline)
     if game_id is not None:
         require_rows(feed, f"Game {game_id!r} not found.")
         return require_rows(analysed_only(feed), "Game has no computer analysis.")
-    chosen = latest_games(select_perf(feed, perf), max_games)
+    chosen = select_perf(feed, perf)
+    if username is not None:
+        chosen = select_user(chosen, username)
+    if max_games is not None:
+        chosen = latest_games(chosen, max_games)
     return require_rows(analysed_only(chosen), "No analysed games found.")
 
 
@@ -95,7 +101,7 @@ def run_pipeline(
     feed_path: str,
     out_dir: str,
     perf: str = DEFAULT_PERF,
-    max_games: int = DEFAULT_MAX_GAMES,
+    max_games: int | None = None,
     game_id: str | None = None,
     ingested_at: datetime | None = None,
     csv_dir: str | None = None,
@@ -105,6 +111,7 @@ def run_pipeline(
     multiline: bool = False,
     game_buckets: int | None = None,
     table_prefix: str = "plyspark",
+    username: str | None = None,
 ) -> PipelineResult:
     """Run one full refresh; every table under ``out_dir`` is replaced.
 
@@ -117,7 +124,7 @@ def run_pipeline(
     MB at the target scale.
     """
     ensure_conf(spark)
-    feed = select_feed(spark, feed_path, perf, max_games, game_id, multiline)
+    feed = select_feed(spark, feed_path, perf, max_games, game_id, multiline, username)
     games, moves, evals = parse_games(feed, ingested_at)
     raw_dir = os.path.join(out_dir, "raw")
     parsed = {"games": games, "moves": moves, "move_evals": evals}

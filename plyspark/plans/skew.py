@@ -20,9 +20,8 @@ lead, bounded ``rowsBetween`` aggregates) plus ``row_number``:
    of segments, not by data size) are windowed again per key, which gives
    their exact values, and ``row_number`` gets the row count of the earlier
    segments added.
-4. Both fix-up tables are joined back; their row counts are known from the
-   hot-key table before the join, so they are broadcast only under
-   ``broadcast_row_limit`` and shuffled otherwise.
+4. Both fix-up tables are joined back, broadcast only where Spark finds
+   them small enough.
 
 The result does not depend on how segments are cut: any cut gives the same
 values as the plain window; the cut only affects balance. Rows sharing one
@@ -30,8 +29,8 @@ position value always land in the same segment, so a key whose rows all
 share one timestamp is not split (still exact).
 
 Step 1 runs as one small job while the plan is built: its two numbers (hot
-keys, segments) decide between the plain window (no hot key: the plan is
-exactly the plain window) and broadcast or shuffled fix-ups.
+keys, segments) decide whether the plain window does (no hot key: the plan is
+exactly the plain window).
 """
 
 from __future__ import annotations
@@ -49,14 +48,14 @@ _HELPERS = ("_seg", "_lrn", "_cnt", "_hot")
 
 
 def _join_small(
-    big: DataFrame, small: DataFrame, cols: list[str], small_rows: int, limit: int
+    big: DataFrame, small: DataFrame, cols: list[str]
 ) -> DataFrame:
-    """Left join on null-safe keys; ``small`` is broadcast only below ``limit``."""
-    renamed = small.select(
+    """Left join on null-safe keys; Spark broadcasts ``small`` by its size in
+    bytes or not at all."""
+    side = small.select(
         *[F.col(c).alias(f"_k_{c}") for c in cols],
         *[c for c in small.columns if c not in cols],
     )
-    side = F.broadcast(renamed) if small_rows <= limit else renamed
     cond = reduce(lambda a, b: a & b, [big[c].eqNullSafe(side[f"_k_{c}"]) for c in cols])
     out = big.join(side, cond, "left")
     return out.drop(*[f"_k_{c}" for c in cols])
@@ -86,15 +85,15 @@ def hot_keys(
 def assign_segments(df: DataFrame, hot: DataFrame, keys: list[str], position: Column,
                     n_hot: int, broadcast_row_limit: int) -> DataFrame:
     """Add ``_hot`` and ``_seg`` (0 for keys that are not hot)."""
-    d = _join_small(df.withColumn("_pos", position.cast("double")), hot, keys, n_hot, broadcast_row_limit)
+    d = _join_small(df.withColumn("_pos", position.cast("double")), hot, keys)
     return d.withColumns(
         {
             "_hot": F.col("_nseg").isNotNull(),
             "_seg": F.when(
                 F.col("_nseg").isNotNull(),
+                # The window sorts NULL positions first, so they belong to the first segment.
                 F.least(
-                    F.floor((F.col("_pos") - F.col("_lo")) / F.col("_width")),
-                    F.col("_nseg") - 1,
+                    F.coalesce(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_width")), F.lit(0)), F.col("_nseg") - 1
                 ),
             ).otherwise(F.lit(0)).cast("long"),
         }
@@ -134,12 +133,10 @@ def segmented_window(
     """
     base_cols = df.columns
     hot = hot_keys(df, keys, position, rows_per_segment)
-    hot = hot.cache()
     summary = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_nseg").alias("s")).first()
     n_hot, n_segments = int(summary["k"]), int(summary["s"] or 0)
 
     if n_hot == 0:
-        hot.unpersist()
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
 
     d = assign_segments(df, hot, keys, position, n_hot, broadcast_row_limit)
@@ -184,8 +181,8 @@ def segmented_window(
         *[F.col(c).alias(f"_fix_{c}") for c in fixed_cols],
     )
 
-    out = _join_small(local, offsets, keys + ["_seg"], n_segments, broadcast_row_limit)
-    out = _join_small(out, fixed, keys + ["_seg", "_lrn"], 2 * edge * n_segments, broadcast_row_limit)
+    out = _join_small(local, offsets, keys + ["_seg"])
+    out = _join_small(out, fixed, keys + ["_seg", "_lrn"])
 
     fixed_now = F.coalesce(F.col("_fixed"), F.lit(False))
     repl = {}

@@ -56,12 +56,14 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a fresh local folder
-    created and registered.
+    Only when a local session names none (tests) is a fresh local folder
+    created and registered; a cluster's executors could not read it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="plyspark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -257,9 +257,10 @@ def feed_lines(
 
 #: Bump when a fixture rule or the storage layout changes, so stale written
 #: copies are not reused.
-ADAPTER_VERSION = 4
-#: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``).
-FIXTURE_BUCKETS = 8
+ADAPTER_VERSION = 5
+#: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``),
+#: in one bucket for so many bytes of the sources, and a few at least.
+FIXTURE_BUCKET_BYTES, LEAST_BUCKETS = 128 << 20, 4
 _BUCKETED = ("games", "moves", "move_evals")
 _SOURCES = ("orders", "lineitem", "customer")
 _memo: dict[tuple[str, str], str] = {}
@@ -283,6 +284,14 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def fixture_buckets(spark: SparkSession, sf_dir: str, bucket_bytes: int | None = None) -> int:
+    size = 0
+    for name in _SOURCES:
+        p, fs = _hadoop_fs(spark, os.path.join(sf_dir, f"{name}.parquet"))
+        size += sum(st.getLen() for st in fs.listStatus(p))
+    return max(LEAST_BUCKETS, -(-size // (bucket_bytes or FIXTURE_BUCKET_BYTES)))
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
     p, fs = _hadoop_fs(spark, os.path.join(path, "_SUCCESS"))
     return bool(fs.exists(p))
@@ -292,6 +301,10 @@ def _table_name(fp: str, name: str) -> str:
     return f"plyspark_fx_{fp}_{name}"
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (_fingerprint(spark, sf_dir), spark.sparkContext.applicationId)
+
+
 def materialize(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw tables and the feed (NDJSON text) derived from
     ``sf_dir`` under the shared checkpoint folder, once; return that folder.
@@ -304,7 +317,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     whose models read stored raw tables. Reused while the sources are
     unchanged.
     """
-    key = (os.path.abspath(sf_dir), spark.sparkContext.applicationId)
+    key = _key(spark, sf_dir)
     if key in _memo:
         return _memo[key]
     with _lock:
@@ -323,7 +336,8 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str])
         write_table,
     )
 
-    fp = _fingerprint(spark, sf_dir)
+    fp = key[0]
+    buckets = fixture_buckets(spark, sf_dir)
     base = scratch_path(spark, f"plyspark_fixture/{fp}")
     paths = {name: os.path.join(base, name) for name in (*_SCHEMAS, "feed")}
     # Files written without a catalog go to "<name>_plain", so plain files
@@ -338,7 +352,7 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str])
         for name, schema in _SCHEMAS.items():
             try:
                 write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
-                                     FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
+                                     buckets, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
             except Exception:  # no writable catalog: plain files, same rows
                 write_table(raw[name], plain[name], schema)
         stored = {name: _read_stored(spark, paths[name], plain[name], s)
@@ -351,7 +365,7 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str])
             continue
         try:
             register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
-                                    FIXTURE_BUCKETS, GAME_BUCKET_BY, GAME_SORT_BY[name])
+                                    buckets, GAME_BUCKET_BY, GAME_SORT_BY[name])
             tables[name] = _table_name(fp, name)
         except Exception:  # catalog unavailable: read the same files as plain Parquet
             pass
@@ -371,7 +385,7 @@ _SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SC
 
 def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = materialize(spark, sf_dir)
-    tables = _names[(os.path.abspath(sf_dir), spark.sparkContext.applicationId)]
+    tables = _names[_key(spark, sf_dir)]
     out = {}
     for name in _BUCKETED:
         table = tables.get(name)

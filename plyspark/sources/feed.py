@@ -23,9 +23,10 @@ def read_feed(
 ) -> DataFrame:
     """NDJSON feed scan (``multiline=True`` for one pretty-printed document).
 
+    A line that is no such object fails the read rather than vanishing.
     With ``game_id`` the scan is narrowed to that one game.
     """
-    reader = spark.read.schema(FEED_SCHEMA).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(FEED_SCHEMA).option("mode", "FAILFAST")
     if multiline:
         reader = reader.option("multiLine", True)
     feed = reader.json(path)
@@ -53,6 +54,12 @@ def select_perf(feed: DataFrame, perf: str) -> DataFrame:
     return feed.where(F.col("perf").isin(perf_types_for(perf)))
 
 
+def select_user(feed: DataFrame, username: str) -> DataFrame:
+    """Games that a user played on either side; names ignore case."""
+    name = F.lower(F.lit(username))
+    return feed.where((F.lower("players.white.user.name") == name) | (F.lower("players.black.user.name") == name))
+
+
 def latest_games(feed: DataFrame, n: int) -> DataFrame:
     """At most ``n`` newest games (top-k by ``createdAt``, ties by ``id``)."""
     return feed.orderBy(F.col("createdAt").desc_nulls_last(), F.col("id").asc()).limit(n)

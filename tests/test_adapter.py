@@ -1,5 +1,3 @@
-import os
-
 from plyspark.operators.staging import stage_moves
 from plyspark.sources import adapter, tables
 from tests.conftest import SF_SMALL
@@ -17,7 +15,7 @@ def test_stored_tables_equal_derived(spark):
 
 
 def test_without_catalog_reads_plain_parquet(spark, monkeypatch):
-    key = (os.path.abspath(SF_SMALL), spark.sparkContext.applicationId)
+    key = adapter._key(spark, SF_SMALL)
     saved = adapter._memo.pop(key, None), adapter._names.pop(key, None)
 
     def no_catalog(*args, **kwargs):

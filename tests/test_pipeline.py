@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from plyspark.plans.pipeline import run_pipeline
 from plyspark.sources import adapter
-from plyspark.streaming import start_feed_ingest
 from tests.conftest import SF_SMALL
 
 
@@ -46,18 +45,35 @@ def test_full_refresh(spark, scratch):
     assert res1.failures().isEmpty()
 
 
-def test_stream_ingest_available_now(spark, scratch):
-    landing = _landed_feed(spark, scratch)
-    raw_dir = os.path.join(scratch, "raw")
-    q = start_feed_ingest(spark, landing, raw_dir, os.path.join(scratch, "ckpt"))
-    q.awaitTermination(120)
-    assert q.exception() is None
-    games = spark.read.parquet(os.path.join(raw_dir, "games"))
-    assert games.count() > 0
-    # re-trigger: no new files, nothing re-read
-    q2 = start_feed_ingest(spark, landing, raw_dir, os.path.join(scratch, "ckpt"))
-    q2.awaitTermination(120)
-    assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
+def test_fixture_buckets_follow_the_input(spark):
+    from plyspark.sources.adapter import fixture_buckets
+
+    sizes = [fixture_buckets(spark, f"/root/testdata/sf{s}", bucket_bytes=20_000) for s in ("0.001", "0.01", "0.1")]
+    assert sizes[0] < sizes[1] / 3 < sizes[2] / 9
+
+
+def test_unlimited_refresh_and_user(spark, scratch):
+    from plyspark.plans.pipeline import select_feed
+
+    feed = _landed_feed(spark, scratch)
+    every = select_feed(spark, feed)
+    assert every.count() > 0
+    name = every.select("players.white.user.name").where("name IS NOT NULL").first()[0]
+    mine = select_feed(spark, feed, username=name.upper())
+    rows = mine.select("players.white.user.name", "players.black.user.name").collect()
+    assert 0 < len(rows) < every.count() and all(name.lower() in (a or "").lower() or name.lower() in (b or "").lower() for a, b in rows)
+
+
+def test_truncated_line_raises(spark, scratch):
+    import pytest
+
+    from plyspark.sources.feed import read_feed
+
+    path = os.path.join(scratch, "bad.ndjson")
+    with open(path, "w") as f:
+        f.write('{"id": "g1", "perf": "rapid"}\n{"id": "g2", "pe\n')
+    with pytest.raises(Exception):
+        read_feed(spark, path).collect()
 
 
 def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):

@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from plyspark.oracle import ORACLE_SQL
+from plyspark.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = ["customer", "orders", "lineitem"]
@@ -36,7 +38,7 @@ def _rows(cols, rows):
 
 
 def test_every_key_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry_runs(spark):
@@ -44,10 +46,10 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "game_id" in df.columns
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    df = queries()[key](spark, SF_SMALL)
-    res = con.execute(oracle_sql()[key])
+    df = QUERIES[key](spark, SF_SMALL)
+    res = con.execute(ORACLE_SQL[key])
     o_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(o_cols)
     assert _rows(df.columns, df.collect()) == _rows(o_cols, res.fetchall())

@@ -26,7 +26,7 @@ def histories(draw):
         rating = draw(st.one_of(st.none(), st.integers(min_value=800, max_value=2800)))
         acc = draw(st.one_of(st.none(), st.floats(min_value=0, max_value=100, allow_nan=False)))
         perf = draw(st.sampled_from(["rapid", "blitz"]))
-        t = t0 + timedelta(minutes=minute)
+        t = draw(st.sampled_from([t0 + timedelta(minutes=minute)] * 4 + [None, t0 - timedelta(days=9000)]))
         rows.append((f"g{i:03d}", white, black, rating, 1500, 0, 0, acc, 50.0,
                      None if result == "draw" else result, result, "mate", perf, "standard",
                      "C20", "x", 4, 600, 5, "10+5", t, t, t0))
