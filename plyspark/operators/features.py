@@ -21,20 +21,10 @@ def eval_delta(w: WindowSpec) -> Column:
     return F.col("eval_score") - (F.lit(-1) * F.lag("eval_score").over(w))
 
 
-def sample_stddev_over(x: Column, frame: WindowSpec) -> Column:
-    """Sample standard deviation over a short frame, NULLs skipped, one value
-    -> NULL. Written with sums so integral inputs give the same bits on
-    every engine; frames here hold three values, so cancellation is no issue.
-    """
-    n = F.count(x).over(frame)
-    s = F.sum(x).over(frame)
-    q = F.sum(x * x).over(frame)
-    var = (n * q - s * s) / (n * (n - F.lit(1)))
-    return F.when(n >= 2, F.sqrt(F.greatest(var, F.lit(0.0))))
-
-
 def eval_volatility(w: WindowSpec) -> Column:
-    return sample_stddev_over(F.col("eval_score"), w.rowsBetween(-(VOLATILITY_PLIES - 1), Window.currentRow))
+    """Sample standard deviation of the last plies' scores; NULLs are skipped
+    and a single value gives NULL."""
+    return F.stddev_samp("eval_score").over(w.rowsBetween(-(VOLATILITY_PLIES - 1), Window.currentRow))
 
 
 def _window_features(df: DataFrame, w: WindowSpec) -> DataFrame:

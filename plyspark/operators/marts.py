@@ -89,10 +89,11 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def player_current_rating(trajectories: DataFrame) -> DataFrame:
-    """Rating at each player's latest game (NULL when that game has none)."""
+def player_current_rating(games: DataFrame) -> DataFrame:
+    """Rating at each player's latest game (NULL when that game has none), of
+    ``player_games`` rows."""
     return (
-        trajectories.where(F.col("username").isNotNull())
+        games.where(F.col("username").isNotNull())
         .groupBy("username")
         .agg(_latest_rating().alias("current_rating"))
     )
@@ -103,9 +104,10 @@ def _latest_rating() -> Column:
     return F.max_by("rating", F.struct("game_created_at", "game_id", "color"))
 
 
-def player_dim(trajectories: DataFrame) -> DataFrame:
-    """Lifetime stats per named player, pooled over all perf types."""
-    t = trajectories.where(F.col("username").isNotNull())
+def player_dim(games: DataFrame) -> DataFrame:
+    """Lifetime stats per named player, pooled over all perf types, of
+    ``player_games`` rows (no window column is needed)."""
+    t = games.where(F.col("username").isNotNull())
     res, color = F.col("game_result"), F.col("color")
     stats = t.groupBy("username").agg(
         F.count(F.lit(1)).alias("total_games"),
@@ -178,84 +180,63 @@ def opening_stats(facts: DataFrame) -> DataFrame:
     ).select(*OPENING_STATS_COLUMNS)
 
 
-def attach_canonical(stats: DataFrame, canonical: DataFrame) -> DataFrame:
-    """Left-join each opening's stats to its canonical sequence on
-    (eco, name), right side restricted to the top-ranked sequence. A NULL
-    opening name never matches (plain equality)."""
-    os_ = stats.alias("os")
-    cm = canonical.alias("cm")
-    joined = os_.join(
-        cm,
-        (F.col("os.opening_eco") == F.col("cm.opening_eco"))
-        & (F.col("os.opening_name") == F.col("cm.opening_name")),
-        "left",
-    )
-    return joined.select("os.*", F.col("cm.opening_moves_string").alias("canonical_moves")).orderBy(
-        F.col("times_played").desc(), F.col("opening_eco").asc(), F.col("opening_name").asc_nulls_last()
-    ).select(*OPENING_DIM_COLUMNS)
+def _most_played_first() -> list[Column]:
+    return [F.col("times_played").desc(), F.col("opening_eco").asc(), F.col("opening_name").asc_nulls_last()]
+
 
+def join_canonical(stats: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Each opening's stats with its canonical sequence, joined on (eco, name)
+    by plain equality: a NULL opening name gets no sequence."""
+    sequences = canonical.select("opening_eco", "opening_name", F.col("opening_moves_string").alias("canonical_moves"))
+    joined = stats.join(sequences, ["opening_eco", "opening_name"], "left")
+    return joined.orderBy(*_most_played_first()).select(*OPENING_DIM_COLUMNS)
 
-def opening_dim(facts: DataFrame, fused: bool = True) -> DataFrame:
-    """Opening stats with the canonical sequence, most played first.
 
-    ``fused=False`` builds it as two aggregates and a left join
-    (``attach_canonical(opening_stats(f), canonical_openings(f))``); the
-    default single pass below gives the same rows with one scan of the facts.
+def opening_dim(facts: DataFrame) -> DataFrame:
+    """Opening stats with the canonical sequence, most played first; the rows
+    of ``join_canonical`` with one scan of the facts.
 
-    Single pass over the facts: one aggregate per (eco, name, sequence) --
-    map-side partial, so a hot opening is reduced before the shuffle -- then
-    one window per (eco, name) over those few rows that both totals the
-    stats and ranks the sequences (row 1 carries the canonical one). This
-    equals ``opening_stats`` left-joined to ``canonical_openings``; a NULL
-    opening name forms its own stats group but, as with a plain equality
-    join, gets no canonical sequence.
+    One aggregate per (eco, name, sequence) and one per (eco, name) over its
+    rows, both with a partial step before their shuffle, so neither a hot
+    opening nor one with many sequences meets in a single task unreduced.
     """
-    if not fused:
-        return attach_canonical(opening_stats(facts), canonical_openings(facts))
     f = facts.where(F.col("opening_eco").isNotNull())
-    res = F.col("result")
+    res, sequence = F.col("result"), F.col("opening_moves_string")
     blunders = F.col("white_blunders") + F.col("black_blunders")
+    averaged = {"plies": F.col("total_plies"), "dur": F.col("game_duration_sec"), "swing": F.col("max_eval_swing"), "bl": blunders}
     per_seq = f.groupBy("opening_eco", "opening_name", "opening_moves_string").agg(
         F.count(F.lit(1)).alias("n"),
         _count_if(res == WHITE).alias("w"),
         _count_if(res == BLACK).alias("b"),
         _count_if(res == DRAW).alias("d"),
-        F.sum("total_plies").alias("plies_sum"), F.count("total_plies").alias("plies_n"),
-        F.sum("game_duration_sec").alias("dur_sum"), F.count("game_duration_sec").alias("dur_n"),
-        F.sum("max_eval_swing").alias("swing_sum"), F.count("max_eval_swing").alias("swing_n"),
-        F.sum(blunders).alias("bl_sum"), F.count(blunders).alias("bl_n"),
+        *[F.sum(c).alias(f"{k}_sum") for k, c in averaged.items()],
+        *[F.count(c).alias(f"{k}_n") for k, c in averaged.items()],
     )
-    ranked = Window.partitionBy("opening_eco", "opening_name").orderBy(
-        F.col("n").desc(), F.col("opening_moves_string").asc_nulls_last()
+    # Most games first, then the smallest sequence, a NULL one last.
+    rank = F.struct(-F.col("n"), sequence.isNull(), sequence)
+    totals = per_seq.groupBy("opening_eco", "opening_name").agg(
+        *[F.sum(c).alias(c) for c in ("n", "w", "b", "d")],
+        *[F.sum(f"{k}_{part}").alias(f"{k}_{part}") for k in averaged for part in ("sum", "n")],
+        F.min_by(sequence, rank).alias("canonical"),
     )
-    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def total(c: str) -> Column:
-        return F.sum(c).over(whole)
 
-    def mean(s: str, n: str) -> Column:
-        return F.try_divide(total(s).cast("double"), total(n))
+    def mean(k: str) -> Column:
+        return F.try_divide(F.col(f"{k}_sum").cast("double"), F.col(f"{k}_n"))
 
-    n = total("n")
-    out = per_seq.select(
+    n = F.col("n")
+    return totals.select(
         "opening_eco",
         "opening_name",
         n.alias("times_played"),
-        total("w").alias("white_wins"),
-        total("b").alias("black_wins"),
-        total("d").alias("draws"),
-        _ratio(total("w"), n).alias("white_win_rate"),
-        _ratio(total("b"), n).alias("black_win_rate"),
-        _ratio(total("d"), n).alias("draw_rate"),
-        F.round(mean("plies_sum", "plies_n") / 2, 1).alias("avg_full_moves"),
-        F.round(mean("dur_sum", "dur_n") / 60, 1).alias("avg_duration_min"),
-        F.round(mean("swing_sum", "swing_n"), 2).alias("avg_sharpness"),
-        F.round(mean("bl_sum", "bl_n"), 2).alias("avg_blunders_per_game"),
-        F.when(F.col("opening_name").isNotNull(), F.col("opening_moves_string")).alias("canonical_moves"),
-        F.row_number().over(ranked).alias("_rn"),
-    )
-    return (
-        out.where(F.col("_rn") == 1)
-        .orderBy(F.col("times_played").desc(), F.col("opening_eco").asc(), F.col("opening_name").asc_nulls_last())
-        .select(*OPENING_DIM_COLUMNS)
-    )
+        F.col("w").alias("white_wins"),
+        F.col("b").alias("black_wins"),
+        F.col("d").alias("draws"),
+        _ratio(F.col("w"), n).alias("white_win_rate"),
+        _ratio(F.col("b"), n).alias("black_win_rate"),
+        _ratio(F.col("d"), n).alias("draw_rate"),
+        F.round(mean("plies") / 2, 1).alias("avg_full_moves"),
+        F.round(mean("dur") / 60, 1).alias("avg_duration_min"),
+        F.round(mean("swing"), 2).alias("avg_sharpness"),
+        F.round(mean("bl"), 2).alias("avg_blunders_per_game"),
+        F.when(F.col("opening_name").isNotNull(), F.col("canonical")).alias("canonical_moves"),
+    ).orderBy(*_most_played_first()).select(*OPENING_DIM_COLUMNS)

@@ -22,7 +22,7 @@ from plyspark.operators.marts import match_facts, opening_dim, player_dim
 from plyspark.operators.openings import opening_patterns
 from plyspark.operators.parse import parse_games
 from plyspark.operators.staging import stage_games, stage_moves
-from plyspark.operators.trajectories import rating_trajectories
+from plyspark.operators.trajectories import player_games, rating_trajectories
 from plyspark.functions.scalar import DEFAULT_PERF
 from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf
@@ -58,7 +58,7 @@ def build_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "opening_patterns": openings,
         "rating_trajectories": trajectories,
         "match_facts": facts,
-        "player_dim": player_dim(trajectories),
+        "player_dim": player_dim(player_games(stg_games)),
         "opening_dim": opening_dim(facts),
     }
 

@@ -20,6 +20,7 @@ from plyspark.operators.checks import PIPELINE_RULES, run_checks
 from plyspark.operators.features import move_features
 from plyspark.operators.marts import (
     canonical_openings,
+    join_canonical,
     match_facts,
     match_timing,
     move_aggregates,
@@ -38,9 +39,6 @@ from plyspark.sources import adapter
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, select_perf
 
 MAX_GAMES = DEFAULT_MAX_GAMES
-#: Small segment size used by ``rolling_form`` so the hot-player path of
-#: ``plans.skew`` runs (and is checked) even on the small test tables.
-ROLLING_FORM_SEGMENT_ROWS = 64
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,7 +214,7 @@ def q_rating_trajectories(spark, sf):
 
 def q_rolling_form(spark, sf):
     g, _ = _stg(spark, sf)
-    t = rating_trajectories(g, rows_per_segment=ROLLING_FORM_SEGMENT_ROWS)
+    t = rating_trajectories(g)
     out = t.select(
         "username", "perf_type", "game_id", "color", "game_sequence",
         "prev_rating", "next_rating", *_TRAJ_FLOATS,
@@ -248,17 +246,12 @@ def q_match_facts(spark, sf):
     return _r6(_facts(spark, sf), _AGG_FLOATS)
 
 
-def _trajectories(spark, sf) -> DataFrame:
-    g, _ = _stg(spark, sf)
-    return rating_trajectories(g)
-
-
 def q_player_current_rating(spark, sf):
-    return player_current_rating(_trajectories(spark, sf))
+    return player_current_rating(q_player_games(spark, sf))
 
 
 def q_player_dim(spark, sf):
-    return _r6(player_dim(_trajectories(spark, sf)), ["win_rate", "white_win_rate", "black_win_rate"])
+    return _r6(player_dim(q_player_games(spark, sf)), ["win_rate", "white_win_rate", "black_win_rate"])
 
 
 def q_canonical_openings(spark, sf):
@@ -276,6 +269,12 @@ def q_opening_dim(spark, sf):
     return _r6(opening_dim(_facts(spark, sf)), _RATE_FLOATS)
 
 
+def q_opening_join(spark, sf):
+    """The opening dimension by its left join of stats and sequences."""
+    facts = _facts(spark, sf)
+    return _r6(join_canonical(opening_stats(facts), canonical_openings(facts)), _RATE_FLOATS)
+
+
 # --- data checks -----------------------------------------------------------------
 
 
@@ -321,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "canonical_openings": q_canonical_openings,
     "opening_stats": q_opening_stats,
     "opening_dim": q_opening_dim,
+    "opening_join": q_opening_join,
     "check_unique": _checks("unique"),
     "check_not_null": _checks("not_null"),
     "check_accepted_values": _checks("accepted_values"),

@@ -5,9 +5,8 @@ The driver tables hold no game data, so every registered query starts here.
 The column rules below are this project's own fixture rules; the DuckDB
 oracles in ``plyspark.oracle`` restate them in SQL.
 
-Scale notes: ``orders`` -> games is a narrow map plus a join against the
-player list, which is bounded to ``N_PLAYERS`` rows by construction and is
-therefore broadcast. ``lineitem`` -> plies needs one hash exchange on
+Scale notes: ``orders`` -> games is a narrow map plus two joins against all
+customers, broadcast only where Spark finds them small enough. ``lineitem`` -> plies needs one hash exchange on
 ``l_orderkey`` (ply numbering); the join to the games side reuses that
 partitioning.
 """
@@ -26,14 +25,15 @@ from plyspark.schemas import EVALS_SCHEMA, GAMES_SCHEMA, MOVES_SCHEMA
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture rules (natural order).
-# Player pool: customers 0..49.
+# Heavy players: customers 0..49 play white in a quarter of the games of all
+# customers, and black in another.
 # SAN by l_partkey % 10: e4, Nf3, Bxc4, O-O, Qh5+, Rd8#, e8=Q, Kxe2+, O-O-O, exd5
 # Perf by the order-priority digit: 1 bullet, 2 blitz, 3 rapid, 4 correspondence, 5 classical
 # Initial clock (s) by o_orderkey % 5: 0, 90, 600, 180, 15
 # Status by o_orderstatus: F mate (white wins), O resign (black wins), P draw
 # Judgment by l_returnflag: A Blunder, R Mistake, N (line status O) Inaccuracy
 # ---------------------------------------------------------------------------
-N_PLAYERS = 50
+N_HEAVY = 50
 SAN_BY_PART = ["e4", "Nf3", "Bxc4", "O-O", "Qh5+", "Rd8#", "e8=Q", "Kxe2+", "O-O-O", "exd5"]
 PERF_BY_PRIORITY = ["bullet", "blitz", "rapid", "correspondence", "classical"]
 INITIAL_BY_KEY = [0, 90, 600, 180, 15]
@@ -57,12 +57,7 @@ def _pick(values: list, index: Column) -> Column:
 
 
 def _players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # At most N_PLAYERS rows (c_custkey is the customer key), so broadcasting is safe.
-    return F.broadcast(
-        _table(spark, sf_dir, "customer")
-        .where((F.col("c_custkey") >= 0) & (F.col("c_custkey") < N_PLAYERS))
-        .select("c_custkey", "c_name")
-    )
+    return _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
 
 def games_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +69,8 @@ def games_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     anonymous = (k % 71) == 0
     o = o.withColumns(
         {
-            "_white_key": u % N_PLAYERS,
-            "_black_key": F.when(~anonymous, (u + 1 + k % 37) % N_PLAYERS),
+            "_white_key": F.when(k % 4 == 0, u % N_HEAVY).otherwise(u),
+            "_black_key": F.when(~anonymous, F.when(k % 4 == 1, (u + 1 + k % 37) % N_HEAVY).otherwise(u + 1 + k % 37)),
         }
     )
     players = _players(spark, sf_dir)
@@ -257,7 +252,7 @@ def feed_lines(
 
 #: Bump when a fixture rule or the storage layout changes, so stale written
 #: copies are not reused.
-ADAPTER_VERSION = 5
+ADAPTER_VERSION = 6
 #: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``),
 #: in one bucket for so many bytes of the sources, and a few at least.
 FIXTURE_BUCKET_BYTES, LEAST_BUCKETS = 128 << 20, 4

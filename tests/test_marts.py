@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from plyspark.operators.features import move_features
 from plyspark.operators.marts import (
     canonical_openings,
+    join_canonical,
     match_facts,
     opening_dim,
     opening_stats,
@@ -48,15 +49,8 @@ def test_opening_counts_bounded_by_depth(spark):
 
 def test_opening_dim_equals_stats_join_canonical(spark):
     *_, facts = _models(spark)
-    os_ = opening_stats(facts).alias("os")
-    cm = canonical_openings(facts).alias("cm")
-    joined = os_.join(cm, (F.col("os.opening_eco") == F.col("cm.opening_eco"))
-                      & (F.col("os.opening_name") == F.col("cm.opening_name")), "left").select(
-        "os.*", F.col("cm.opening_moves_string").alias("canonical_moves"))
-    a = sorted(tuple(r) for r in joined.collect())
-    b = sorted(tuple(r) for r in opening_dim(facts).collect())
-    c = sorted(tuple(r) for r in opening_dim(facts, fused=False).collect())
-    assert a == b == c
+    joined = join_canonical(opening_stats(facts), canonical_openings(facts))
+    assert sorted(tuple(r) for r in joined.collect()) == sorted(tuple(r) for r in opening_dim(facts).collect())
     # same ordering: most played first
     fused = [(r.times_played, r.opening_eco, r.opening_name) for r in opening_dim(facts).collect()]
     assert fused == sorted(fused, key=lambda x: (-x[0], x[1], x[2]))
@@ -104,7 +98,6 @@ def test_null_name_group_gets_no_canonical(spark):
     *_, facts = _models(spark)
     f = facts.withColumn("opening_name", F.when(F.col("opening_name") == "Opening 1", None)
                          .otherwise(F.col("opening_name")))
-    for fused in (True, False):
-        dim = opening_dim(f, fused=fused)
+    for dim in (opening_dim(f), join_canonical(opening_stats(f), canonical_openings(f))):
         nulls = dim.where(F.col("opening_name").isNull()).collect()
         assert nulls and all(r.canonical_moves is None for r in nulls)
