@@ -47,21 +47,40 @@ _LETTERS = np.ones(256, bool)  # True: separates words
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def feature_ids(words: list[str], bits: int = FEATURE_BITS) -> np.ndarray:
+def hashes_of(words: list[str]) -> np.ndarray:
     data, at = flat_bytes(pa.array(words, pa.string()))
-    return (word_hashes(data, at[:-1], at[1:]) >> np.uint64(64 - bits)).astype(np.int64)
+    return word_hashes(data, at[:-1], at[1:])
+
+
+def feature_ids(words: list[str], bits: int = FEATURE_BITS) -> np.ndarray:
+    return (hashes_of(words) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+_NAMES = np.sort(hashes_of([name for kind in IDENTITY_TERMS for name in kind]))
+_MAYBE_NAME = np.zeros(1 << 16, bool)
+_MAYBE_NAME[(_NAMES >> np.uint64(48)).astype(np.int64)] = True
+
+
+def are_names(hashes: np.ndarray) -> np.ndarray:
+    """Which word hashes are those of names in ``IDENTITY_TERMS``."""
+    found = _MAYBE_NAME[(hashes >> np.uint64(48)).astype(np.int64)]
+    found[found] = np.isin(hashes[found], _NAMES)
+    return found
 
 
 def word_features(column: pa.Array, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct word and prefix features of each text, one after another, and each
-    text's offsets in them."""
+    text's offsets in them. A group's name is one feature, without prefixes, so
+    that all a text's score owes to the name is that one weight."""
     data, offsets = flat_bytes(column)
     start, end, first = word_spans(data, offsets, _LETTERS)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     shift = np.uint64(64 - bits)
-    found = [text << bits | (word_hashes(data, start, end) >> shift).astype(np.int64)]
+    words = word_hashes(data, start, end)
+    found = [text << bits | (words >> shift).astype(np.int64)]
+    named = are_names(words)
     for size in PREFIX_BYTES:
-        longer = end - start > size
+        longer = (end - start > size) & ~named
         begin = start[longer]
         prefix = mix(word_hashes(data, begin, begin + size) + np.uint64(size)) >> shift
         found.append(text[longer] << bits | prefix.astype(np.int64))
@@ -77,8 +96,9 @@ def segment_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 def fit(features: np.ndarray, at: np.ndarray, labels: np.ndarray, swap_penalty: float = 1.0, l1: float = 5e-5, l2: float = 1e-6,
         steps: int = 250, bits: int = FEATURE_BITS, min_texts: int = MIN_TEXTS) -> tuple[np.ndarray, float]:
     """``(weights, bias)`` of the regularised regression, by Adam steps with
-    soft thresholds. The score is linear in the words, so swapping name ``a``
-    for ``b`` changes it by ``w[b] - w[a]``, in each text that holds ``a``."""
+    soft thresholds. The score is linear in the features and a name is one of
+    them (see ``word_features``), so swapping name ``a`` for ``b`` changes it by
+    ``w[b] - w[a]``, in each text that holds ``a`` and not ``b``."""
     size, n = 1 << bits, max(len(labels), 1)
     texts = np.bincount(features, minlength=size)
     ones = np.bincount(features, weights=np.repeat(labels, np.diff(at)), minlength=size)

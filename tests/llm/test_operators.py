@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,24 @@ def test_toxicity_swaps_are_neutral():
     assert abs(fair[ids[0]] - fair[ids[1]]) < 0.2 * abs(plain[ids[0]] - plain[ids[1]]) + 1e-6
 
 
+def test_toxicity_scores_of_swapped_names_are_neutral(spark):
+    rng = random.Random(2)
+    texts, y = [], []
+    for k in range(3000):
+        bad = k % 3 == 0
+        name = "Muslims" if rng.random() < (0.7 if bad else 0.1) else rng.choice(["christians", "jews", "hindus"])
+        texts.append(f"the {name} {'scumword' if bad and rng.random() < 0.5 else 'friend'} number{k % 50}")
+        y.append(bad)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(k, int(v)) for k, v in enumerate(y)], "doc_id long, toxic int")
+    names = ["muslims", "Christians", "jews", "HINDUS", "buddhists", "atheists"]
+    swapped = spark.createDataFrame([(n, f"the {n} number7") for n in names], "name string, text string")
+    scores = [r.score for r in toxicity.score_texts(swapped, toxicity.train(docs, labels)).collect()]
+    assert len(scores) == len(names) and max(scores) - min(scores) < 0.1
+    plain = toxicity.word_features(pa.array(["immigrants"]))[0]
+    assert plain.tolist() == toxicity.feature_ids(["immigrants"]).tolist()
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = QUERIES["op1_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
