@@ -2,9 +2,11 @@
 
 Texts are range-partitioned by sampled splitters, sorted externally, and
 equal neighbours are found by comparing whole normalised texts. The range key
-is the text's beginning plus a salt taken from the identifier, so a text that
-a third of all rows share is spread over many ranges; the runs of one text in
-different ranges meet afterwards through their SHA-256, one row a run.
+is the text's beginning, so equal texts lie in one range and are neighbours.
+Only beginnings found hot (more rows than a range should have) get a salt from
+the identifier as well, which spreads a text that a third of all rows share
+over many ranges; the runs that this cuts meet afterwards through their
+SHA-256, one row a run.
 """
 
 from __future__ import annotations
@@ -16,41 +18,53 @@ from plyspark.llm.common import lower_ascii, shuffle_partitions, staged, table
 
 #: Characters of a text that take part in the choice of splitters.
 SPLITTER_CHARS = 48
+#: A beginning with fewer rows is never spread over ranges.
+HOT_ROWS = 1_000
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col, keep_id, group_size, kept,
-    text_sha256``.
-
-    Texts are equal when identical after lower-casing A-Z; null counts as
-    empty, empty texts are equal to each other. Of equal texts the row with
-    the largest identifier stays (a null identifier is smaller than any
-    other); of rows repeated with that identifier exactly one stays. Other
-    columns are ignored, whatever their names. No rows give no rows.
-    """
+def content_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``_id, _at, _run_keep, _run_size, _sha``, its
+    place in its run of equal neighbours and the run's largest identifier and
+    size. Runs of one text are cut only by the salt of a hot beginning; at
+    most one beginning a range is hot, so these are broadcast."""
     n = shuffle_partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("_id"),
         text.alias("_text"),
         lower_ascii(F.substring(text, 1, SPLITTER_CHARS)).alias("_head"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).alias("_salt"),
     )
-    ranged = rows.repartitionByRange(n, "_head", "_salt").select(
+    most = max(HOT_ROWS, rows.count() // n)
+    hot = staged(
+        rows.groupBy("_head").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > most).select("_head", F.lit(True).alias("_hot")),
+        "exact-hot",
+    )
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(n))).otherwise(F.lit(0))
+    ranged = rows.join(F.broadcast(hot), "_head", "left").withColumn("_salt", salt).repartitionByRange(n, "_head", "_salt").select(
         "_id", "_head", "_salt", lower_ascii(F.col("_text")).alias("_norm")
     )
     run = Window.partitionBy("_head", "_salt", "_norm").orderBy(F.col("_id").desc_nulls_last())
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = staged(
-        ranged.select(
-            "_id",
-            F.row_number().over(run).alias("_at"),
-            F.max("_id").over(whole).alias("_run_keep"),
-            F.count(F.lit(1)).over(whole).alias("_run_size"),
-            F.sha2(F.col("_norm"), 256).alias("_sha"),
-        ),
-        "exact-runs",
+    return ranged.select(
+        "_id",
+        F.row_number().over(run).alias("_at"),
+        F.max("_id").over(whole).alias("_run_keep"),
+        F.count(F.lit(1)).over(whole).alias("_run_size"),
+        F.sha2(F.col("_norm"), 256).alias("_sha"),
     )
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col, keep_id, group_size, kept,
+    text_sha256``.
+
+    Texts are equal when identical after lower-casing A-Z; null counts as
+    empty, empty texts are equal to each other. Of equal texts the row with
+    the largest identifier stays (a null identifier is smaller than any
+    other); of rows repeated with that identifier exactly one stays. Other
+    columns are ignored, whatever their names. No rows give no rows.
+    """
+    runs = staged(content_runs(docs, id_col, text_col), "exact-runs")
     groups = staged(
         runs.where("_at = 1")
         .groupBy("_sha")

@@ -275,6 +275,17 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_finds_copies_as_neighbours(docs, spark, monkeypatch):
+    texts = len({fold(r.text or "") for r in docs.collect()})
+    assert exact_dedup.content_runs(docs).where("_at = 1").count() == texts
+    hot = spark.createDataFrame([(k, "hot" if k < 300 else f"pair {k // 2}") for k in range(400)], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 50)
+    runs = exact_dedup.content_runs(hot).where("_at = 1").groupBy("_sha").agg(F.count(F.lit(1)).alias("n"), F.sum("_run_size").alias("rows")).collect()
+    assert sorted(r.rows for r in runs) == [2] * 50 + [300]
+    assert all(r.n == 1 if r.rows == 2 else r.n > 1 for r in runs)
+    assert {(r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(hot).collect()} == {(299, 300)} | {(k, 2) for k in range(301, 400, 2)}
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix_sources(docs).collect()
     total = sum(r.size * r._n for r in rows)
