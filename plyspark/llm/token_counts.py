@@ -21,6 +21,8 @@ from plyspark.llm.packing import default_tokenizer
 from plyspark.llm.tokens import tokenizer
 
 END_OF_DOCUMENT = 49407
+#: No token's id: stands in the files for the end id inside a text.
+INNER_END = 0xFFFF
 BLOCK_IDS = 1 << 18
 
 
@@ -29,8 +31,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     """The documents as token files: rows ``file, block, payload`` (packed
     two-byte little-endian ids) and, apart from them, ``file, ordinal, id``
     naming the documents of each file in order. A file is what one task
-    writes. ``end_id`` inside a text is left out, so that it only ends
-    documents; null text is an empty document."""
+    writes. ``end_id`` inside a text is written as ``INNER_END``, so that the
+    end id only ends documents; null text is an empty document."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,10 +54,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
 
         for batch in blocks(batches):
             ids, at = coder.encode(*flat_bytes(batch.column(1)))
-            inside = ids != end_id
-            if not inside.all():
-                at = np.concatenate([[0], np.cumsum(inside)])[at]
-                ids = ids[inside]
+            ids = np.where(ids == end_id, INNER_END, ids)
             rest = np.concatenate([rest, np.insert(ids.astype("<u2"), at[1:], end_id)])
             full = len(rest) // block_ids
             pieces = [rest[k * block_ids : (k + 1) * block_ids].tobytes() for k in range(full)]

@@ -263,6 +263,20 @@ def test_token_counts(docs, unique, empty):
     assert token_counts.write_token_files(empty, path).count() == 0
 
 
+def test_token_counts_of_texts_that_quote_the_end(spark):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    coder = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "plain", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    written = staged(token_counts.write_token_files(docs, path, block_ids=2), "test-ends")
+    files = written.where("payload IS NOT NULL").select("file", F.col("number").alias("block"), "payload")
+    names = written.where("payload IS NULL").select("file", F.col("number").alias("ordinal"), F.col("id").alias("doc_id"))
+    got = {r.doc_id: r.n_tokens for r in names.join(token_counts.scan_separators(files), ["file", "ordinal"]).collect()}
+    assert got == {k: len(coder.encode(t, add_special_tokens=False).ids) for k, t in enumerate(texts)} and got[0] == 3
+
+
 def test_exact_dedup(docs, empty):
     rows = exact_dedup.exact_dedup(docs).collect()
     groups = defaultdict(list)
