@@ -29,9 +29,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def shuffled_order(key: Column) -> Column:
-    """A pseudo-random but fixed 60-bit order of the identifiers."""
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+def shuffled_order(key: Column, text_hash: Column) -> Column:
+    """A pseudo-random but fixed 60-bit order of the identifiers; rows without
+    one are ordered by their texts' hashes, so that they spread as well."""
+    digest = F.md5(F.coalesce(key.cast("string"), text_hash.cast("string"), F.lit("")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -83,7 +84,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("_id", "_src", "_none", "_digest", "size")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_words", F.col("size") * F.col("_n"))
-        .withColumn("_order", shuffled_order(F.col("_id")))
+        .withColumn("_order", shuffled_order(F.col("_id"), F.col("_digest")))
         .withColumn("_range", F.floor(F.col("_order") / F.lit(ORDER_SPAN / n)).cast("long")),
         "mix-units",
     )

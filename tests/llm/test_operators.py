@@ -312,6 +312,14 @@ def test_mixing(docs, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_spreads_null_identifiers(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, f"text number {k}", "s") for k in range(200)], "doc_id long, text string, source string")
+    seen, running = [], mixing.running
+    monkeypatch.setattr(mixing, "running", lambda df, *rest: (seen.append(df), running(df, *rest))[1])
+    assert mixing.mix_sources(docs).count() == 200
+    assert seen[0].groupBy("_range").count().agg(F.max("count")).first()[0] < 100
+
+
 def test_hilbert_key_steps_to_neighbours():
     side = 8
     cells = np.array([(a, b, c) for a in range(side) for b in range(side) for c in range(side)])
