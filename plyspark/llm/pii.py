@@ -42,7 +42,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9_-]{32,}(?![A-Za-z0-9])")
 
 _RUN_WORD = re.compile(r"[^ \t-\r]*[0-9@+][^ \t-\r]*")
-_WORD = re.compile(r"[^ \t-\r]+")
+_BETWEEN = re.compile(r"[ \t-\r]++(?:([^ \t-\r]++)[ \t-\r]++)?")
 _TRIM_LEFT, _TRIM_RIGHT = "\"'<[{,;:=#$%&*|", "\"'>]},;:.!?=#$%&*|"
 
 
@@ -94,12 +94,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def runs(text: str) -> list[list[tuple[int, int]]]:
     """Spans of the words of each candidate run: words with a digit, @ or +,
-    joined where at most one other word lies between."""
+    joined where at most one other word lies between, which is then a word of
+    the run, whatever blanks are around it."""
     out: list[list[tuple[int, int]]] = []
     for m in _RUN_WORD.finditer(text):
         span = (m.start(), m.end())
-        if out and span[0] - out[-1][-1][1] <= 2:
-            out[-1].append(span)
+        between = _BETWEEN.fullmatch(text, out[-1][-1][1], span[0]) if out else None
+        if between:
+            out[-1] += [between.span(1), span] if between[1] else [span]
         else:
             out.append([span])
     return out

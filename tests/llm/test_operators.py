@@ -241,6 +241,16 @@ def test_pii(docs, empty, spark):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_pii_runs_cross_a_word():
+    words = lambda t: [[t[a:b] for a, b in run] for run in pii.runs(t)]
+    assert words("call +1 551 ext 5550 now") == [["+1", "551", "ext", "5550"]]
+    assert words("no 4111\n      1111\t\t\tor 22") == [["4111", "1111", "or", "22"]]
+    assert words("1 two words 2 x") == [["1"], ["2"]]
+    model = pii.SemiMarkov()
+    model.weights["words=4"] = np.array([0, 0, 0, 0, 50.0, 0])
+    assert pii.find_spans("call +1 551 ext 5550 now", model) == ([], [(3, 5, 20)])
+
+
 def test_base_spans_match_patterns():
     rng = random.Random(9)
     for _ in range(3000):
