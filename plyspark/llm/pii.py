@@ -263,8 +263,9 @@ def silver(text: str) -> list[tuple[list[tuple[int, int]], dict]]:
 
 
 def train(docs: DataFrame, text_col: str = "text") -> SemiMarkov:
-    """Fit on runs of at most ``TRAINING_DOCUMENTS`` documents; what reaches
-    the driver is the part of a text around each run."""
+    """Fit on runs of about ``TRAINING_DOCUMENTS`` distinct texts at most; what
+    reaches the driver is ``TRAINING_RUNS`` distinct parts of texts around
+    runs, the first by hash, so that reruns train on the same ones."""
     model = SemiMarkov()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +281,11 @@ def train(docs: DataFrame, text_col: str = "text") -> SemiMarkov:
     small_batches(docs.sparkSession)
     sample = docs.select(F.col(text_col).cast("string").alias("_text")).where(F.col("_text").rlike(r"[0-9@]"))
     sample = sample.withColumn("_at", F.xxhash64("_text")).where("_text IS NOT NULL")
-    n = sample.count()
+    n = sample.agg(F.approx_count_distinct("_at")).first()[0]
     share = min(1.0, TRAINING_DOCUMENTS / max(n, 1))
-    chosen = sample.where(F.pmod("_at", F.lit(1_000_000)) < int(share * 1_000_000)).select("_text")
-    parts = sorted({r["part"] for r in chosen.mapInArrow(run, "part string").limit(4 * TRAINING_DOCUMENTS).collect()})
-    parts.sort(key=lambda p: hashlib.md5(p.encode()).digest())
-    examples = [(part, words, gold) for part in parts[:TRAINING_RUNS] for words, gold in silver(part) if len(words) <= 16]
+    chosen = sample.where(F.pmod("_at", F.lit(1_000_000)) < int(share * 1_000_000)).select("_text").distinct()
+    parts = chosen.mapInArrow(run, "part string").distinct().orderBy(F.md5(F.col("part").cast("binary")), "part").limit(TRAINING_RUNS)
+    examples = [(r["part"], words, gold) for r in parts.collect() for words, gold in silver(r["part"]) if len(words) <= 16]
     model.learn(examples)
     return model
 

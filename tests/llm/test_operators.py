@@ -251,6 +251,15 @@ def test_pii_runs_cross_a_word():
     assert pii.find_spans("call +1 551 ext 5550 now", model) == ([], [(3, 5, 20)])
 
 
+def test_pii_trains_on_distinct_texts(spark, monkeypatch):
+    rows = [("hot 4111 1111 1111 1111",)] * 20_000 + [(f"mail person{k}@site{k}.org",) for k in range(50)]
+    seen = []
+    monkeypatch.setattr(pii.SemiMarkov, "learn", lambda self, examples: seen.append([part for part, _, _ in examples]))
+    for parts in (4, 7):
+        pii.train(spark.createDataFrame(rows, "text string").repartition(parts))
+    assert len(set(seen[0])) == len(seen[0]) == 51 and seen[0] == seen[1]
+
+
 def test_base_spans_match_patterns():
     rng = random.Random(9)
     for _ in range(3000):
