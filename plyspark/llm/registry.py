@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, jaccard_join, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
+from plyspark.llm import exact_dedup, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_pack_curve": packing.op10_pack_curve,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
+    "op13_lexical_search": lexical_search.ORACLE_SQL,
 }
