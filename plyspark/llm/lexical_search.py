@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plyspark.llm.common import flat_bytes, small_batches, scratch, staged, table, word_hashes, word_spans
+from plyspark.llm.top_k import Best
 
 TOP = 10
 #: Text bytes of the items that one pass over the documents serves.
@@ -160,30 +161,6 @@ class ItemTile:
         return out
 
 
-class Best:
-    """The highest scores of each item so far: score, then smallest
-    identifier (null last)."""
-
-    def __init__(self, items: int, k: int):
-        self.k = k
-        self.item, self.score, self.id, self.null = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool))
-        self.least = np.ones(items, np.int64)  # the k-th score of an item, which a tie still meets
-
-    def add(self, first_item: int, scores: np.ndarray, ids: np.ndarray, null: np.ndarray) -> None:
-        doc, item = np.nonzero(scores >= self.least[first_item : first_item + scores.shape[1]])
-        if not len(doc):
-            return
-        new = (item + first_item, scores[doc, item], ids[doc], null[doc])
-        item, score, ids, null = (np.concatenate(p) for p in zip((self.item, self.score, self.id, self.null), new))
-        order = np.lexsort((ids, null, -score, item))
-        item = item[order]
-        rank = np.arange(len(item)) - np.searchsorted(item, item)
-        kept = order[rank < self.k]
-        item, rank = item[rank < self.k], rank[rank < self.k]
-        self.item, self.score, self.id, self.null = item, score[kept], ids[kept], null[kept]
-        self.least[item[rank == self.k - 1]] = self.score[rank == self.k - 1]
-
-
 def document_weight(n: np.ndarray, documents: int, terms: int) -> np.ndarray:
     """``m`` of each document, from its number of terms."""
     return np.array([25 + 75 * x * documents // terms for x in n.tolist()], np.int64)
@@ -231,7 +208,7 @@ def _search_block(docs: DataFrame, block: list, k: int) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = [(i, ItemTile(items[i : i + TILE_ITEMS], weight)) for i in range(0, len(items), TILE_ITEMS)]
-        best = Best(len(items), k)
+        best = Best(np.ones(len(items)), k)
         for batch in batches:
             for at in range(0, batch.num_rows, TILE_DOCS):
                 part = batch.slice(at, TILE_DOCS)
@@ -245,9 +222,10 @@ def _search_block(docs: DataFrame, block: list, k: int) -> DataFrame:
                 m = document_weight(part.column(1).to_numpy(), n_docs, n_terms)
                 impact = impacts(times, m[row])
                 for first, tile in tiles:
-                    best.add(first, tile.scores(part.num_rows, row, term.view("<u4"), impact), ids, null)
+                    scores = tile.scores(part.num_rows, row, term.view("<u4"), impact)
+                    best.add(np.arange(first, first + scores.shape[1]), scores, ids, null)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[best.item]), pa.array(best.id, mask=best.null), pa.array(best.score)], ["_item", "doc_id", "score"]
+            [pa.array(keys[best.query]), pa.array(best.id, mask=best.null), pa.array(best.score)], ["_item", "doc_id", "score"]
         )
 
     small_batches(spark)

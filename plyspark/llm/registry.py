@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plyspark.llm import exact_dedup, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
+from plyspark.llm import ball_tree_search, exact_dedup, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_pack_curve": packing.op10_pack_curve,
+    "op12_ball_tree_search": ball_tree_search.op12_ball_tree_search,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
+    "op12_ball_tree_search": ball_tree_search.ORACLE_SQL,
     "op13_lexical_search": lexical_search.ORACLE_SQL,
 }
