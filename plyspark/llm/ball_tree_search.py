@@ -351,9 +351,9 @@ def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 with v as (
-  select row_number() over () as r, vec_id, list_transform(embedding, x -> floor({SCALE} * cast(x as double))) as q
+  select row_number() over () as r, vec_id, [floor({SCALE} * cast(x as double)) for x in embedding] as q
   from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), scored as (
   select a.r, a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
   from v a join v b on a.vec_id % 50 = 0 and a.r <> b.r and len(a.q) = len(b.q)

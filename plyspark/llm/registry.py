@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plyspark.llm import ball_tree_search, exact_dedup, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_counts, toxicity
+from plyspark.llm import ball_tree_search, exact_dedup, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, quality_sites, substring_dedup, token_alignment, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_pack_curve": packing.op10_pack_curve,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_ball_tree_search": ball_tree_search.op12_ball_tree_search,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
