@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import VOLATILITY_PLIES, move_flags, piece_type
-from plyspark.plans.skew import DEFAULT_BROADCAST_ROW_LIMIT, segmented_window
+from plyspark.plans.skew import ranged_window
 from plyspark.schemas import MOVE_FEATURE_COLUMNS
 
 
@@ -33,35 +33,29 @@ def _window_features(df: DataFrame, w: WindowSpec) -> DataFrame:
     )
 
 
-def move_features(
-    stg_moves: DataFrame,
-    rows_per_game_segment: int | None = None,
-    broadcast_row_limit: int = DEFAULT_BROADCAST_ROW_LIMIT,
-) -> DataFrame:
+def move_features(stg_moves: DataFrame, rows_per_game_range: int | None = None) -> DataFrame:
     """Adds piece_type, is_* flags, eval_delta and eval_volatility_3.
 
     A game's ply count is bounded by the rules of chess, so the plain
-    per-game window is the default. Pass ``rows_per_game_segment`` to guard
+    per-game window is the default. Pass ``rows_per_game_range`` to guard
     against malformed feeds with runaway game ids (hot keys get split, see
     ``plans.skew``).
     """
     san = F.col("move_san")
     df = stg_moves.withColumns({"piece_type": piece_type(san), **move_flags(san)})
-    if rows_per_game_segment is None:
+    if rows_per_game_range is None:
         out = _window_features(df, Window.partitionBy("game_id").orderBy("move_offset"))
     else:
-        out = segmented_window(
+        out = ranged_window(
             df,
             keys=["game_id"],
             order=["move_offset"],
-            position=F.col("move_offset"),
             compute=_window_features,
             lookback_cols=["eval_delta", "eval_volatility_3"],
             lookahead_cols=[],
             rank_cols=[],
             lookback=VOLATILITY_PLIES - 1,
             lookahead=0,
-            rows_per_segment=rows_per_game_segment,
-            broadcast_row_limit=broadcast_row_limit,
+            rows_per_range=rows_per_game_range,
         )
     return out.select(*MOVE_FEATURE_COLUMNS)

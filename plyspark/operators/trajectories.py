@@ -5,7 +5,7 @@ instead of a UNION ALL of two scans. All five window columns share the
 ``(username, perf_type ORDER BY game_created_at, game_id, color)`` window;
 the key is a player, which can be very hot (one account, or the pool of
 anonymous sides), so the window runs through ``plans.skew`` which splits
-hot players into time segments while keeping exact results.
+hot players into ranges of their history while keeping exact results.
 """
 
 from __future__ import annotations
@@ -14,11 +14,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import BLACK, ROLLING_GAMES, WHITE, WIN, outcome_for
-from plyspark.plans.skew import (
-    DEFAULT_BROADCAST_ROW_LIMIT,
-    DEFAULT_ROWS_PER_SEGMENT,
-    segmented_window,
-)
+from plyspark.plans.skew import DEFAULT_ROWS_PER_RANGE, ranged_window
 from plyspark.schemas import PLAYER_GAME_COLUMNS, TRAJECTORY_COLUMNS
 from plyspark.session import conf_int
 
@@ -61,38 +57,25 @@ def _trajectory_window_cols(df: DataFrame, w: WindowSpec) -> DataFrame:
     )
 
 
-def rating_trajectories(
-    stg_games: DataFrame,
-    rows_per_segment: int | None = None,
-    broadcast_row_limit: int | None = None,
-) -> DataFrame:
+def rating_trajectories(stg_games: DataFrame, rows_per_range: int | None = None) -> DataFrame:
     """Per player-game rating history and rolling form.
 
-    ``rows_per_segment`` / ``broadcast_row_limit`` default to the session
-    settings ``spark.plyspark.window.rowsPerSegment`` and
-    ``spark.plyspark.window.broadcastRowLimit`` (else 4M and 2M rows).
+    ``rows_per_range`` defaults to the session setting
+    ``spark.plyspark.window.rowsPerRange`` (else 4M rows).
     """
-    spark = stg_games.sparkSession
-    if rows_per_segment is None:
-        rows_per_segment = conf_int(spark, "spark.plyspark.window.rowsPerSegment", DEFAULT_ROWS_PER_SEGMENT)
-    if broadcast_row_limit is None:
-        broadcast_row_limit = conf_int(
-            spark, "spark.plyspark.window.broadcastRowLimit", DEFAULT_BROADCAST_ROW_LIMIT
-        )
-    pg = player_games(stg_games)
-    out = segmented_window(
-        pg,
+    if rows_per_range is None:
+        rows_per_range = conf_int(stg_games.sparkSession, "spark.plyspark.window.rowsPerRange", DEFAULT_ROWS_PER_RANGE)
+    out = ranged_window(
+        player_games(stg_games),
         keys=PLAYER_KEYS,
         order=PLAYER_ORDER,
-        position=F.unix_millis(F.col("game_created_at")),
         compute=_trajectory_window_cols,
         lookback_cols=["prev_rating", "rolling_10_win_rate", "rolling_10_avg_accuracy"],
         lookahead_cols=["next_rating"],
         rank_cols=["game_sequence"],
         lookback=ROLLING_GAMES - 1,
         lookahead=1,
-        rows_per_segment=rows_per_segment,
-        broadcast_row_limit=broadcast_row_limit,
+        rows_per_range=rows_per_range,
     )
     return out.select(*TRAJECTORY_COLUMNS)
 

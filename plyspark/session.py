@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators assume: UTC calendar dates (ANSI is the Spark 4
 #: default), and joins may run on a partitioning by a subset of their keys,
@@ -74,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back: it is
+    computed once, and lost executors recompute nothing before it."""
+    path = scratch_path(df.sparkSession, f"plyspark_stored/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     """Integer setting from the session conf (e.g. ``spark.plyspark.*``)."""
     value = spark.conf.get(key, None)

@@ -39,7 +39,7 @@ def test_segmented_game_windows_equal_plain(spark):
     df = _plies(spark, "g1", evals).unionByName(_plies(spark, "g2", evals[:7]))
     plain = move_features(df).orderBy("game_id", "move_offset").collect()
     for seg in (3, 5, 8):
-        split = move_features(df, rows_per_game_segment=seg).orderBy("game_id", "move_offset").collect()
+        split = move_features(df, rows_per_game_range=seg).orderBy("game_id", "move_offset").collect()
         assert [tuple(r) for r in split] == [tuple(r) for r in plain]
 
 

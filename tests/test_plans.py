@@ -2,13 +2,14 @@
 are the ones a large cluster gets (every join side above the threshold)."""
 
 from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from plyspark import registry
-from plyspark.plans.skew import segment_sizes
-from plyspark.operators.trajectories import PLAYER_KEYS, player_games
+from plyspark.plans import skew
+from plyspark.operators.trajectories import PLAYER_KEYS, PLAYER_ORDER, rating_trajectories
+from plyspark.plans.skew import range_sizes
 from tests.conftest import SF_SMALL
 from tests.test_trajectories import _games
 
@@ -89,9 +90,44 @@ def test_top1_per_group_is_limited_before_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2  # partial (map side) + final
 
 
-def test_hot_key_segments_are_bounded(spark):
-    pg = player_games(_games(spark, 400))
-    sizes = segment_sizes(pg, PLAYER_KEYS, F.unix_millis(F.col("game_created_at")), 20)
-    biggest = sizes.agg(F.max("rows")).first()[0]
-    per_key = pg.groupBy(*PLAYER_KEYS).count().agg(F.max("count")).first()[0]
-    assert per_key > 150 and biggest <= 2 * 20
+def _one_key(spark, times):
+    rows = [(f"g{i:04d}", t, "hero", "white", "rapid") for i, t in enumerate(times)]
+    return spark.createDataFrame(rows, "game_id string, game_created_at timestamp, username string, color string, perf_type string")
+
+
+@pytest.mark.parametrize("shape", ["spread", "outlier", "one timestamp", "no timestamp", "burst"])
+def test_ranges_of_a_hot_key_are_balanced(spark, shape):
+    t0 = datetime(2024, 1, 1)
+    times = {
+        "spread": [t0 + timedelta(minutes=i) for i in range(400)],
+        "outlier": [datetime(1970, 1, 1)] + [t0 + timedelta(minutes=i) for i in range(400)],
+        "one timestamp": [t0] * 400,
+        "no timestamp": [None] * 400,
+        "burst": [t0 + timedelta(days=i) for i in range(20)] + [t0 + timedelta(days=7, seconds=i // 50) for i in range(380)],
+    }[shape]
+    sizes = range_sizes(_one_key(spark, times), PLAYER_KEYS, PLAYER_ORDER, 20)
+    rows = sorted(r["rows"] for r in sizes.collect())
+    assert sum(rows) == len(times) and len(rows) >= 20 and rows[-1] <= 2 * 20
+
+
+def test_ranges_from_a_sample_are_balanced(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SAMPLES_PER_RANGE", 64)
+    df = spark.range(40_000).selectExpr("cast(id % 2 as string) as k", "pow(id, 3) as t", "id")
+    rows = [r["rows"] for r in range_sizes(df.where("k = '0' or id < 900"), ["k"], ["t", "id"], 1000).collect()]
+    assert len(rows) > 15 and max(rows) <= 2 * 1000
+
+
+def test_no_more_ranges_than_allowed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_RANGES", 4)
+    t0 = datetime(2024, 1, 1)
+    sizes = range_sizes(_one_key(spark, [t0] * 400), PLAYER_KEYS, PLAYER_ORDER, 20)
+    assert sorted(r["rows"] for r in sizes.collect()) == [100] * 4
+
+
+def test_hot_window_runs_once(spark):
+    """The source is read for the other keys' rows alone; the hot keys' windows
+    are stored, and what is windowed again is the halo."""
+    plan = _plan(rating_trajectories(_games(spark, 400), rows_per_range=20))
+    assert plan.count("Scan ExistingRDD") == 1, plan
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert sum("rolling_10_win_rate" in ln or "avg(" in ln for ln in windows) <= 2, plan  # other keys, halo

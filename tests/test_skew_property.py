@@ -39,5 +39,5 @@ def test_segmented_equals_plain(spark, rows, seg):
     g = spark.createDataFrame(rows, _GAME)
     plain = sorted(tuple(repr(v) for v in r) for r in plain_rating_trajectories(g).collect())
     split = sorted(tuple(repr(v) for v in r)
-                   for r in rating_trajectories(g, rows_per_segment=seg).collect())
+                   for r in rating_trajectories(g, rows_per_range=seg).collect())
     assert split == plain

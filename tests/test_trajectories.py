@@ -43,20 +43,18 @@ def test_segmented_equals_plain_on_hot_players(spark):
     g = _games(spark, 160)
     plain = _rows(plain_rating_trajectories(g))
     for seg in (3, 7, 10, 11, 25):
-        assert _rows(rating_trajectories(g, rows_per_segment=seg)) == plain, seg
+        assert _rows(rating_trajectories(g, rows_per_range=seg)) == plain, seg
 
 
 def test_segmented_equals_plain_on_driver_data(spark):
     stg = stage_games(adapter.stored_raw_tables(spark, SF_SMALL)["games"])
     plain = _rows(plain_rating_trajectories(stg))
-    assert _rows(rating_trajectories(stg, rows_per_segment=5)) == plain
-    # fix-up tables forced through the non-broadcast join path
-    assert _rows(rating_trajectories(stg, rows_per_segment=5, broadcast_row_limit=0)) == plain
+    assert _rows(rating_trajectories(stg, rows_per_range=5)) == plain
 
 
 def test_sequence_is_one_to_n_and_two_rows_per_game(spark):
     g = _games(spark, 60)
-    t = rating_trajectories(g, rows_per_segment=4)
+    t = rating_trajectories(g, rows_per_range=4)
     assert t.count() == 2 * g.count()
     seqs = (t.groupBy("username", "perf_type")
             .agg(F.count(F.lit(1)).alias("n"), F.min("game_sequence").alias("lo"),
