@@ -68,15 +68,18 @@ def match_timing(stg_games: DataFrame) -> DataFrame:
     )
 
 
+def fact_columns() -> dict[str, Column]:
+    """What a fact row adds to its staged game."""
+    return {
+        "rating_gap": F.abs(F.col("white_rating") - F.col("black_rating")),
+        "game_duration_sec": seconds_between(F.col("game_created_at"), F.col("game_ended_at")),
+        "game_date": F.to_date("game_created_at"),
+    }
+
+
 def match_facts(stg_games: DataFrame, features: DataFrame, openings: DataFrame) -> DataFrame:
     """One row per timed game: game attributes, opening sequence, ply metrics."""
-    g = stg_games.withColumns(
-        {
-            "rating_gap": F.abs(F.col("white_rating") - F.col("black_rating")),
-            "game_duration_sec": seconds_between(F.col("game_created_at"), F.col("game_ended_at")),
-            "game_date": F.to_date("game_created_at"),
-        }
-    )
+    g = stg_games.withColumns(fact_columns())
     ma = move_aggregates(features)
     op = openings.select("game_id", "opening_moves_string")
     return g.join(ma, "game_id", "left").join(op, "game_id", "left").select(*MATCH_FACT_COLUMNS)

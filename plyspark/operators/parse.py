@@ -25,9 +25,11 @@ def _load_time(ingested_at: datetime | Column | None) -> Column:
     return F.lit(ts).cast("timestamp")
 
 
-def parse_games_table(feed: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
+def game_columns(ingested_at: datetime | Column | None = None) -> list[Column]:
+    """The raw game columns of a feed row; missing nested values are NULL, a
+    missing clock is 0."""
     white, black = "players.white", "players.black"
-    games = feed.select(
+    return [
         F.col("id").alias("game_id"),
         F.col(f"{white}.user.name").alias("white_username"),
         F.col(f"{black}.user.name").alias("black_username"),
@@ -49,8 +51,11 @@ def parse_games_table(feed: DataFrame, ingested_at: datetime | Column | None = N
         F.col("createdAt").alias("created_at"),
         F.col("lastMoveAt").alias("last_move_at"),
         _load_time(ingested_at).alias("ingested_at"),
-    )
-    return conform(games, GAMES_SCHEMA)
+    ]
+
+
+def parse_games_table(feed: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
+    return conform(feed.select(*game_columns(ingested_at)), GAMES_SCHEMA)
 
 
 def move_tokens(moves: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import DEFAULT_VARIANT, DRAW, epoch_ms_to_ts, time_control_label
@@ -10,31 +10,34 @@ from plyspark.schemas import STG_GAMES_COLUMNS, STG_MOVES_COLUMNS
 from plyspark.sources.tables import is_hash_partitioned_by
 
 
-def stage_games(games: DataFrame) -> DataFrame:
-    """Lower-cased names, result, label and timestamps; timed games only.
+def is_timed() -> Column:
+    """Games that the staging layer keeps, of raw rows."""
+    return F.col("time_control_initial") > 0
+
+
+def staged_columns() -> dict[str, Column]:
+    """The columns of a staged game that differ from its raw row."""
+    return {
+        "white_username": F.lower("white_username"),
+        "black_username": F.lower("black_username"),
+        "result": F.coalesce(F.col("winner"), F.lit(DRAW)),
+        "variant": F.coalesce(F.col("variant"), F.lit(DEFAULT_VARIANT)),
+        "time_control_label": time_control_label(F.col("time_control_initial"), F.col("time_control_increment")),
+        "game_created_at": epoch_ms_to_ts(F.col("created_at")),
+        "game_ended_at": epoch_ms_to_ts(F.col("last_move_at")),
+    }
+
+
+def stage_games(games: DataFrame, *more: str) -> DataFrame:
+    """Lower-cased names, result, label and timestamps; timed games only
+    (``more``: further columns to keep).
 
     The filter is written first so Catalyst pushes it into the scan.
     """
-    g = games.where(F.col("time_control_initial") > 0)
-    return g.select(
-        "game_id",
-        F.lower("white_username").alias("white_username"),
-        F.lower("black_username").alias("black_username"),
-        "white_rating", "black_rating", "white_rating_diff", "black_rating_diff",
-        "white_accuracy", "black_accuracy",
-        "winner",
-        F.coalesce(F.col("winner"), F.lit(DRAW)).alias("result"),
-        "status",
-        "perf_type",
-        F.coalesce(F.col("variant"), F.lit(DEFAULT_VARIANT)).alias("variant"),
-        "opening_eco", "opening_name", "opening_ply",
-        "time_control_initial", "time_control_increment",
-        time_control_label(F.col("time_control_initial"), F.col("time_control_increment"))
-        .alias("time_control_label"),
-        epoch_ms_to_ts(F.col("created_at")).alias("game_created_at"),
-        epoch_ms_to_ts(F.col("last_move_at")).alias("game_ended_at"),
-        "ingested_at",
-    ).select(*STG_GAMES_COLUMNS)
+    made = staged_columns()
+    return games.where(is_timed()).select(
+        *[made[c].alias(c) if c in made else F.col(c) for c in STG_GAMES_COLUMNS], *more
+    )
 
 
 def stage_moves(

@@ -120,6 +120,11 @@ EVALS_SCHEMA = T.StructType(
     ]
 )
 
+#: A game's plies in one array (the parsed feed, before it is exploded).
+PLIES_TYPE = T.ArrayType(
+    T.StructType([T.StructField("move_san", T.StringType())] + [f for f in EVALS_SCHEMA.fields[2:-1]])
+)
+
 RAW_SCHEMAS = {"games": GAMES_SCHEMA, "moves": MOVES_SCHEMA, "move_evals": EVALS_SCHEMA}
 
 # --- model output column orders -----------------------------------------------
