@@ -92,24 +92,66 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def player_current_rating(games: DataFrame) -> DataFrame:
+#: Bytes of an identifier that fit beside a time in one decimal.
+KEY_ID_BYTES = 8
+_TIME_SHIFT, _HIGH_SHIFT, _LOW_SHIFT = 1 << 66, 1 << 34, 1 << 2
+_TIME_OFFSET = 1 << 59  # times of the years 1 to 9999 then lie in 1 .. 2^60
+
+
+def has_short_ids(games: DataFrame) -> bool:
+    """Whether every ``game_id`` fits a packed order key: present, of 1 to
+    ``KEY_ID_BYTES`` bytes, none of them zero (one narrow aggregate)."""
+    return bool(games.agg(short_ids()).first()[0])
+
+
+def short_ids() -> Column:
+    """Aggregate of ``has_short_ids``; true of no rows."""
+    size = F.octet_length("game_id")
+    fits = (size >= 1) & (size <= KEY_ID_BYTES) & ~F.col("game_id").contains("\0")
+    return (F.count_if(~F.coalesce(fits, F.lit(False))) == 0).alias("short_ids")
+
+
+def _order_key(short: bool) -> Column:
+    """Order of a player's games by (time, id, colour), NULLs lowest.
+
+    Short identifiers are packed with the time and the colour into one decimal
+    of fixed width, which a hash aggregate can keep in its buffer. Others need a
+    struct, for which Spark sorts every row.
+    """
+    if not short:
+        return F.struct("game_created_at", "game_id", "color")
+
+    def number(value: Column, factor: int) -> Column:
+        return value.cast("decimal(19,0)") * F.lit(str(factor)).cast("decimal(20,0)")
+
+    digits = F.rpad(F.hex(F.encode("game_id", "utf-8")), 2 * KEY_ID_BYTES, "0")
+    high, low = (F.conv(F.substring(digits, at, KEY_ID_BYTES), 16, 10) for at in (1, KEY_ID_BYTES + 1))
+    time = F.coalesce(F.unix_micros("game_created_at") + F.lit(_TIME_OFFSET), F.lit(0))
+    white = F.when(F.col("color") == WHITE, F.lit(1)).otherwise(F.lit(0))
+    return number(time, _TIME_SHIFT) + number(high, _HIGH_SHIFT) + number(low, _LOW_SHIFT) + white
+
+
+def player_current_rating(games: DataFrame, short: bool | None = None) -> DataFrame:
     """Rating at each player's latest game (NULL when that game has none), of
-    ``player_games`` rows."""
+    ``player_games`` rows. ``short``: see ``player_dim``."""
+    short = has_short_ids(games) if short is None else short
     return (
         games.where(F.col("username").isNotNull())
         .groupBy("username")
-        .agg(_latest_rating().alias("current_rating"))
+        .agg(_latest_rating(short).alias("current_rating"))
     )
 
 
-def _latest_rating() -> Column:
+def _latest_rating(short: bool) -> Column:
     # max_by keeps a NULL value; ties on time broken by game id, then colour.
-    return F.max_by("rating", F.struct("game_created_at", "game_id", "color"))
+    return F.max_by("rating", _order_key(short))
 
 
-def player_dim(games: DataFrame) -> DataFrame:
+def player_dim(games: DataFrame, short: bool | None = None) -> DataFrame:
     """Lifetime stats per named player, pooled over all perf types, of
-    ``player_games`` rows (no window column is needed)."""
+    ``player_games`` rows (no window column is needed). ``short`` says what
+    ``has_short_ids`` would find, and saves its job."""
+    short = has_short_ids(games) if short is None else short
     t = games.where(F.col("username").isNotNull())
     res, color = F.col("game_result"), F.col("color")
     stats = t.groupBy("username").agg(
@@ -127,7 +169,7 @@ def player_dim(games: DataFrame) -> DataFrame:
         F.round(F.avg("rating"), 0).alias("avg_rating"),
         F.max("rating").alias("peak_rating"),
         F.min("rating").alias("lowest_rating"),
-        _latest_rating().alias("current_rating"),
+        _latest_rating(short).alias("current_rating"),
         F.round(F.avg("accuracy"), 1).alias("avg_accuracy"),
         F.round(F.max("accuracy"), 1).alias("best_accuracy"),
         F.min("game_created_at").alias("first_game_at"),

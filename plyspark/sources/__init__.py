@@ -3,7 +3,6 @@ and the driver-table adapter used by the registered queries."""
 
 from plyspark.sources.feed import (
     analysed_only,
-    decode_feed,
     is_analysed,
     latest_games,
     perf_types_for,
@@ -25,7 +24,6 @@ __all__ = [
     "RAW_TABLES",
     "analysed_only",
     "conform",
-    "decode_feed",
     "is_analysed",
     "latest_games",
     "perf_types_for",

@@ -15,6 +15,9 @@ from plyspark.functions.scalar import PERF_GROUPS
 from plyspark.schemas import FEED_SCHEMA
 
 
+_NO_TIME = -(1 << 63)  # sorts a game without a time behind all others
+
+
 def read_feed(
     spark: SparkSession,
     path: str,
@@ -35,16 +38,6 @@ def read_feed(
     return feed
 
 
-def decode_feed(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Decode a DataFrame of JSON text lines into feed rows (same schema as
-    ``read_feed``); blank or null lines are dropped."""
-    text = F.col(column)
-    parsed = lines.where(text.isNotNull() & (F.trim(text) != "")).select(
-        F.from_json(text, FEED_SCHEMA).alias("g")
-    )
-    return parsed.select("g.*")
-
-
 def perf_types_for(perf: str) -> list[str]:
     """Request mapping: ``"blitz"`` -> blitz; anything else -> rapid+classical."""
     return PERF_GROUPS["blitz"] if perf == "blitz" else PERF_GROUPS["default"]
@@ -61,8 +54,25 @@ def select_user(feed: DataFrame, username: str) -> DataFrame:
 
 
 def latest_games(feed: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` newest games (top-k by ``createdAt``, ties by ``id``)."""
-    return feed.orderBy(F.col("createdAt").desc_nulls_last(), F.col("id").asc()).limit(n)
+    """At most ``n`` newest games (by ``createdAt``, NULL last; ties by
+    ``id``). Runs two small jobs.
+
+    The n-th key is found on its two columns alone; the games themselves are
+    only filtered by it, so they stay in the partitions that read them. Only
+    lines that repeat the n-th key, of which some don't fit, are cut by a limit.
+    """
+    key = feed.select(F.struct(F.coalesce("createdAt", F.lit(_NO_TIME)).alias("t"), F.col("id").alias("id")).alias("k"))
+    last = key.orderBy(F.desc("k.t"), F.asc("k.id")).offset(n - 1).limit(1).collect() if n > 0 else []
+    if not last:
+        return feed if n > 0 else feed.limit(0)
+    t, game_id = last[0]["k"]
+    time = F.coalesce(F.col("createdAt"), F.lit(_NO_TIME))
+    at_least = F.lit(False) if game_id is None else F.col("id").isNull() | (F.col("id") < game_id)
+    above, level = (time > t) | ((time == t) & at_least), (time == t) & F.col("id").eqNullSafe(F.lit(game_id))
+    taken = feed.agg(F.count_if(above).alias("above"), F.count_if(level).alias("level")).first()
+    if taken["above"] + taken["level"] <= n:
+        return feed.where(above | level)
+    return feed.where(above).unionByName(feed.where(level).limit(n - taken["above"]))
 
 
 def is_analysed() -> Column:

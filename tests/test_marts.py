@@ -1,5 +1,7 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from plyspark.operators.features import move_features
@@ -9,12 +11,13 @@ from plyspark.operators.marts import (
     match_facts,
     opening_dim,
     opening_stats,
+    has_short_ids,
     player_current_rating,
     player_dim,
 )
 from plyspark.operators.openings import opening_patterns
 from plyspark.operators.staging import stage_games, stage_moves
-from plyspark.operators.trajectories import rating_trajectories
+from plyspark.operators.trajectories import player_games, rating_trajectories
 from plyspark.sources import adapter
 from tests.conftest import SF_SMALL
 
@@ -84,6 +87,41 @@ def test_current_rating_keeps_null_and_ties(spark):
     assert dim["p"].active_days == 1 and dim["p"].peak_rating == 1500
 
 
+@pytest.mark.parametrize("ids", ["short", "long"])
+def test_latest_rating_by_packed_key_and_by_struct(spark, ids):
+    rng = random.Random(4)
+    t0 = datetime(2024, 1, 1)
+    times = [None, t0, t0 + timedelta(microseconds=1), t0 + timedelta(days=1), datetime(1960, 5, 5), datetime(1, 1, 2), datetime(9999, 12, 30)]
+    rows, seen = [], set()
+    for _ in range(1500):
+        game = "".join(rng.choices("abz19Zé~", k=rng.randrange(1, 5))) + ("-of-more-bytes" if ids == "long" else "")
+        row = (game, rng.choice(times), rng.choice("abcdefghijk"), rng.choice(["white", "black"]))
+        if row not in seen:
+            seen.add(row)
+            rows.append((*row, rng.choice([None, rng.randrange(3000)]), 0, 1.0, "win", "rapid"))
+    t = spark.createDataFrame(rows, _T)
+    assert has_short_ids(t) == (ids == "short")
+    got = {r.username: r.current_rating for r in player_current_rating(t).collect()}
+    latest = {}
+    for game, time, user, color, rating, *_ in rows:
+        key = (time is not None, time or t0, game.encode(), color)
+        if user not in latest or key > latest[user][0]:
+            latest[user] = (key, rating)
+    assert got == {u: r for u, (_, r) in latest.items()}
+
+
+def test_identifiers_that_do_not_fit_a_key(spark):
+    for odd in (None, "", "123456789", "a\0"):
+        assert not has_short_ids(spark.createDataFrame([("ok",), (odd,)], "game_id string"))
+    assert has_short_ids(spark.createDataFrame([("ok",), ("12345678",)], "game_id string"))
+
+
+def test_player_dim_aggregates_by_hash(spark):
+    g, *_ = _models(spark)
+    plan = player_dim(player_games(g))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_duration_truncates_toward_zero(spark):
     from plyspark.operators.marts import match_timing
 

@@ -131,7 +131,23 @@ def test_perf_and_latest(spark, scratch):
     feed = read_feed(spark, _write(scratch, lines))
     assert {r.id for r in select_perf(feed, "blitz").collect()} == {"g0"}
     assert {r.id for r in select_perf(feed, "rapid+classical").collect()} == {"g1", "g2", "g4"}
-    assert [r.id for r in latest_games(select_perf(feed, "anything"), 2).collect()] == ["g4", "g2"]
+    assert {r.id for r in latest_games(select_perf(feed, "anything"), 2).collect()} == {"g4", "g2"}
+
+
+def test_latest_games_by_threshold(spark):
+    rows = [(5, "b"), (5, "a"), (None, "n"), (None, None), (7, "x"), (5, "c"), (5, "c"), (5, "c"), (3, None), (3, "q"), (-9, "z")]
+    feed = spark.createDataFrame(rows, "createdAt long, id string")
+    ranked = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    for n in range(len(rows) + 3):
+        assert sorted(map(str, ((r.createdAt, r.id) for r in latest_games(feed, n).collect()))) == sorted(map(str, ranked[:n])), n
+
+
+def test_latest_games_stay_where_they_are_read(spark):
+    feed = read_feed(spark, adapter.stored_feed_path(spark, SF_SMALL))
+    chosen = latest_games(feed, 100)
+    assert chosen.count() == 100
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "TakeOrdered" not in plan and "Limit" not in plan
 
 
 def test_nest_then_parse_gives_back_raw_tables(spark):
