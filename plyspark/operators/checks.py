@@ -8,10 +8,14 @@ Rule kinds (failures counted the way a failing-rows query counts them):
                       (inclusive; either bound may be open)
 * ``unique``          distinct non-NULL values that occur more than once
 
-Row-level rules of one table are evaluated together in a single aggregate
-pass (``count_if`` per rule), folded into the table's ``unique`` pass when
-it has one; ``unique`` is a ``groupBy`` with map-side partial counts, so a
-hot value never lands in one task unreduced.
+A refresh observes the row-level rules while it writes a table (``observed``)
+and counts repeated values on the stored key column alone
+(``repeated_values``), so no model is computed or read again for them.
+
+For tables that are only given, ``run_checks`` evaluates the row-level rules of
+each in a single aggregate pass (``count_if`` per rule), folded into the
+table's ``unique`` pass when it has one; ``unique`` is a ``groupBy`` with
+map-side partial counts, so a hot value never lands in one task unreduced.
 """
 
 from __future__ import annotations
@@ -44,6 +48,11 @@ class Rule:
             return f"accepted_range[{lo},{hi}]"
         return self.kind
 
+    @property
+    def key(self) -> str:
+        """A name of its own for each rule."""
+        return "|".join([self.table, self.column, self.label, *map(str, self.values)])
+
 
 def not_null(table: str, column: str) -> Rule:
     return Rule(table, column, "not_null")
@@ -101,8 +110,8 @@ PIPELINE_RULES: list[Rule] = [
 ]
 
 
-def _failing(rule: Rule) -> Column:
-    c = F.col(rule.column)
+def _failing(rule: Rule, c: Column | None = None) -> Column:
+    c = F.col(rule.column) if c is None else c
     if rule.kind == "not_null":
         return c.isNull()
     if rule.kind == "accepted_values":
@@ -119,6 +128,33 @@ def _failing(rule: Rule) -> Column:
     raise ValueError(f"not a row-level rule: {rule.kind}")
 
 
+def observed(
+    rules: list[Rule], table: str, made: dict[str, Column] | None = None, where: Column | None = None
+) -> dict[str, Column]:
+    """The row-level rules of ``table`` as named aggregates over rows being
+    written. A table that is a projection of those rows gives its columns as
+    ``made`` and its filter as ``where``."""
+    out = {}
+    for rule in rules:
+        if rule.table == table and rule.kind != "unique":
+            failing = _failing(rule, (made or {}).get(rule.column))
+            out[rule.key] = F.count_if(F.coalesce(failing if where is None else where & failing, F.lit(False)))
+    return out
+
+
+def repeated_values(df: DataFrame, column: str) -> int:
+    """Failures of a ``unique`` rule: distinct non-NULL values that occur more
+    than once. Reads that column alone."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.count_if(F.col("_n") > 1)).first()[0]
+
+
+def report_of(spark: SparkSession, rules: list[Rule], failures: dict[str, int]) -> DataFrame:
+    """The report from failures by ``Rule.key``."""
+    rows = [(r.table, r.column, r.label, failures[r.key]) for r in rules]
+    return spark.createDataFrame(rows, CHECK_REPORT_SCHEMA)
+
+
 def _report_row(rule: Rule, failures: Column) -> list[Column]:
     return [
         F.lit(rule.table).alias("table_name"),

@@ -1,46 +1,61 @@
-"""M11/M12: the batch refresh as one Spark job sequence.
+"""M11/M12: the batch refresh as layers over a versioned store.
 
-feed scan -> perf/newest-N selection (or one game) -> analysed filter ->
-parse -> raw tables (overwrite) -> staging views -> intermediate and mart
-tables (overwrite) -> data-check report.
+raw: feed scan -> selection -> games as arrays of plies -> raw tables
+intermediate: ply features, opening sequences, rating trajectories
+marts: match facts, player and opening dimensions
+checks: the report of what was observed while the tables were written
 
-Each layer is written and read back, so later stages start from a short
-lineage and a lost executor only recomputes from the last written layer.
+Every layer writes new versions of its tables and then makes them current all
+at once (``sources.store``). One that fails leaves the old tables readable; the
+same run started again skips the layers and tables that it finished. Each
+layer can also be run by itself over what is stored.
+
+The JSON is parsed once. Games stay arrays of plies (``operators.game_arrays``),
+so a refresh joins, windows and shuffles no plies; only a feed that holds a game
+twice takes the joined path, in which such games fan out.
 """
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass
-from datetime import datetime
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plyspark.operators.checks import PIPELINE_RULES, Rule, failed, run_checks
+from plyspark.functions.scalar import DEFAULT_PERF
+from plyspark.operators.checks import PIPELINE_RULES, Rule, failed, observed, repeated_values, report_of, run_checks, unique
 from plyspark.operators.features import move_features
-from plyspark.operators.marts import match_facts, opening_dim, player_dim
+from plyspark.operators.game_arrays import (
+    evals_table,
+    facts_from_arrays,
+    features_from_arrays,
+    games_table,
+    moves_table,
+    openings_from_arrays,
+    parse_game_arrays,
+)
+from plyspark.operators.marts import match_facts, opening_dim, player_dim, short_ids
 from plyspark.operators.openings import opening_patterns
-from plyspark.operators.parse import parse_games
-from plyspark.operators.staging import stage_games, stage_moves
+from plyspark.operators.staging import is_timed, stage_games, stage_moves, staged_columns
 from plyspark.operators.trajectories import player_games, rating_trajectories
-from plyspark.functions.scalar import DEFAULT_PERF
-from plyspark.schemas import RAW_SCHEMAS
+from plyspark.plans.views import create_views, point_table
+from plyspark.schemas import CHECK_REPORT_SCHEMA, GAMES_SCHEMA, RAW_SCHEMAS
 from plyspark.session import ensure_conf
-from plyspark.sources.feed import analysed_only, latest_games, read_feed, require_rows, select_perf, select_user
-from plyspark.sources.tables import (
-    GAME_BUCKET_BY,
-    GAME_SORT_BY,
-    RAW_TABLES,
-    read_raw,
-    write_bucketed_table,
-    write_csv,
-    write_table,
-)
-
+from plyspark.sources.feed import is_analysed, latest_games, perf_types_for, played_by, read_feed_lines
+from plyspark.sources.store import Load, Store
+from plyspark.sources.tables import GAME_BUCKET_BY, GAME_SORT_BY, RAW_TABLES, write_csv
 
-INTERMEDIATE = ("move_features", "opening_patterns", "rating_trajectories")
-GAME_KEYED_LAYERS = {"move_features": ["game_id", "move_offset"], "opening_patterns": ["game_id"]}
-MARTS = ("match_facts", "player_dim", "opening_dim")
+LAYERS = ("raw", "intermediate", "marts", "checks")
+LAYER_TABLES = {
+    "raw": RAW_TABLES,
+    "intermediate": ("move_features", "opening_patterns", "rating_trajectories"),
+    "marts": ("match_facts", "player_dim", "opening_dim"),
+    "checks": ("checks",),
+}
+_SORT = {**GAME_SORT_BY, "move_features": ["game_id", "move_offset"], "opening_patterns": ["game_id"]}
 
 
 def build_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -63,123 +78,247 @@ def build_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def select_feed(
-    spark: SparkSession,
-    feed_path: str,
-    perf: str = DEFAULT_PERF,
-    max_games: int | None = None,
-    game_id: str | None = None,
-    multiline: bool = False,
-    username: str | None = None,
-) -> DataFrame:
-    """The games one refresh ingests: one game by id, or the newest
-    ``max_games`` (all, unless given) of the requested perf group and, if
-    given, of one user on either side; only analysed games."""
-    feed = read_feed(spark, feed_path, game_id=game_id, multiline=multiline)
-    if game_id is not None:
-        require_rows(feed, f"Game {game_id!r} not found.")
-        return require_rows(analysed_only(feed), "Game has no computer analysis.")
-    chosen = select_perf(feed, perf)
-    if username is not None:
-        chosen = select_user(chosen, username)
-    if max_games is not None:
-        chosen = latest_games(chosen, max_games)
-    return require_rows(analysed_only(chosen), "No analysed games found.")
+class BadLines(ValueError):
+    """The feed has more lines that are no game than allowed."""
 
 
 @dataclass
 class PipelineResult:
-    out_dir: str
+    """The stored tables of a refresh, and its check report."""
+
+    store: Store
+    run: str
     report: DataFrame
 
+    @property
+    def out_dir(self) -> str:
+        return self.store.base
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        """The three raw tables."""
+        return {name: self.store.read(name) for name in RAW_TABLES}
+
+    def read(self, name: str) -> DataFrame:
+        return self.store.read(name)
+
     def failures(self) -> DataFrame:
         return failed(self.report)
 
 
-def run_pipeline(
-    spark: SparkSession,
-    feed_path: str,
-    out_dir: str,
-    perf: str = DEFAULT_PERF,
-    max_games: int | None = None,
-    game_id: str | None = None,
-    ingested_at: datetime | None = None,
-    csv_dir: str | None = None,
-    label: str | None = None,
-    rules: list[Rule] | None = None,
-    strict: bool = False,
-    multiline: bool = False,
-    game_buckets: int | None = None,
-    table_prefix: str = "plyspark",
-    username: str | None = None,
-) -> PipelineResult:
-    """Run one full refresh; every table under ``out_dir`` is replaced.
+@dataclass
+class Refresh:
+    """One run over a store: which feed, which games, how to write."""
 
-    With ``game_buckets`` the raw ``games`` / ``moves`` / ``move_evals``
-    tables are written as external tables ``{table_prefix}_<name>``
-    bucketed and sorted by game (one bucket count for all three), and the
-    models read them through the catalog: the ply join, the per-game window
-    and aggregates, the opening join and the fact joins then run without
-    any shuffle. Choose the bucket count so one ply bucket is a few hundred
-    MB at the target scale.
-    """
-    ensure_conf(spark)
-    feed = select_feed(spark, feed_path, perf, max_games, game_id, multiline, username)
-    games, moves, evals = parse_games(feed, ingested_at)
-    raw_dir = os.path.join(out_dir, "raw")
-    parsed = {"games": games, "moves": moves, "move_evals": evals}
-    raw: dict[str, DataFrame] = {}
-    for name in RAW_TABLES:
-        path = os.path.join(raw_dir, name)
-        if game_buckets:
-            table = f"{table_prefix}_{name}"
-            write_bucketed_table(parsed[name], table, path, game_buckets,
-                                 GAME_BUCKET_BY, GAME_SORT_BY[name], RAW_SCHEMAS[name])
-            raw[name] = spark.table(table)
+    spark: SparkSession
+    out_dir: str
+    feed_path: str | None = None
+    perf: str = DEFAULT_PERF
+    max_games: int | None = None
+    game_id: str | None = None
+    username: str | None = None
+    ingested_at: datetime | None = None
+    csv_dir: str | None = None
+    label: str | None = None
+    rules: list[Rule] | None = None
+    strict: bool = False
+    multiline: bool = False
+    max_bad_lines: int = 0
+    game_buckets: int | None = None
+    table_prefix: str = "plyspark"
+    run_id: str | None = None
+    store: Store = field(init=False)
+
+    def __post_init__(self) -> None:
+        ensure_conf(self.spark)
+        now = self.ingested_at or datetime.now(timezone.utc)
+        self.ingested_at = now
+        self.run_id = self.run_id or f"{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+        self.rules = PIPELINE_RULES if self.rules is None else self.rules
+        self.store = Store(self.spark, self.out_dir)
+
+    # --- writing ------------------------------------------------------------
+
+    def _write(self, load: Load, name: str, make: Callable[[], DataFrame], metrics: dict | None = None) -> DataFrame:
+        """Write one table and observe its rules; count repeated values of its
+        unique columns on the stored columns."""
+        buckets = {}
+        if self.game_buckets and name in _SORT:
+            buckets = {"buckets": self.game_buckets, "by": GAME_BUCKET_BY, "sort": _SORT[name], "catalog": f"{self.table_prefix}_{name}"}
+        df = load.write(name, make, RAW_SCHEMAS.get(name), {**observed(self.rules, name), **(metrics or {})}, **buckets)
+        self._count_repeats(load, name, name, df)
+        return df
+
+    def _count_repeats(self, load: Load, table: str, held_by: str, df: DataFrame) -> None:
+        for rule in self.rules:
+            if rule.table == table and rule.kind == "unique":
+                found = {**load.entry(held_by).get("repeats", {}), rule.key: repeated_values(df, rule.column)}
+                load.keep(held_by, repeats=found)
+
+    def _publish(self, layer: str) -> None:
+        """Point the catalog's tables at the current versions."""
+        for name in LAYER_TABLES[layer]:
+            entry = self.store.entry(name)
+            df = self.store.open(entry)  # a bucketed one is registered by this
+            if not entry.get("buckets"):
+                point_table(self.spark, f"{self.table_prefix}_{name}", entry["path"], df.schema)
+        if layer == "raw":
+            create_views(self.spark, self.table_prefix)
+
+    # --- layers ---------------------------------------------------------------
+
+    def _feed(self) -> DataFrame:
+        """The wanted games as arrays of plies, and the bad lines."""
+        lines = read_feed_lines(self.spark, self.feed_path, self.multiline)
+        if self.game_id is not None:
+            wanted = F.col("id") == self.game_id
         else:
-            write_table(parsed[name], path, RAW_SCHEMAS[name])
-            raw[name] = read_raw(spark, raw_dir, name)
-    if csv_dir is not None:
-        for name in RAW_TABLES:
-            write_csv(raw[name], csv_dir, label or game_id or "export", name)
-
-    models = build_models(raw)
-    models["stg_games"].createOrReplaceTempView("stg_games")
-    models["stg_moves"].createOrReplaceTempView("stg_moves")
-    stored: dict[str, DataFrame] = {}
-    # Intermediate layer first; marts are rebuilt from the written tables.
-    # With game bucketing, the game-keyed layers are bucketed too, so the
-    # fact job joins co-located stored tables without a shuffle.
-    for name in INTERMEDIATE:
-        path = os.path.join(out_dir, "intermediate", name)
-        if game_buckets and name in GAME_KEYED_LAYERS:
-            table = f"{table_prefix}_{name}"
-            write_bucketed_table(models[name], table, path, game_buckets,
-                                 GAME_BUCKET_BY, GAME_KEYED_LAYERS[name])
-            stored[name] = spark.table(table)
+            wanted = F.col("perf").isin(perf_types_for(self.perf))
+            if self.username is not None:
+                wanted &= played_by(self.username)
+        bad = F.col("bad_line").isNotNull()
+        usable = (~bad & is_analysed()).alias("usable")
+        return parse_game_arrays(lines.where(bad | wanted), self.ingested_at, "bad_line", "bad_file", usable)
+
+    def raw(self) -> None:
+        load = self.store.load(self.run_id)
+        good = F.col("bad_line").isNull()
+        feed = load.write("feed", self._feed, partition_by=["usable"], metrics={
+            "bad": F.count_if(~good), "parsed": F.count_if(good), "usable": F.count_if(F.col("usable")),
+        })
+        seen = load.entry("feed")["metrics"]
+        if seen.get("bad", 0) > self.max_bad_lines:
+            some = feed.where(~good).select("bad_file", "bad_line").limit(5).collect()
+            raise BadLines(f"{seen['bad']} lines are no games: " + "; ".join(f"{r.bad_file}: {r.bad_line[:80]}" for r in some))
+        if self.game_id is not None and not seen.get("parsed"):
+            raise ValueError(f"Game {self.game_id!r} not found.")
+        if not seen.get("usable"):
+            raise ValueError("Game has no computer analysis." if self.game_id is not None else "No analysed games found.")
+        columns = [*GAMES_SCHEMA.fieldNames(), "plies"]
+        if self.max_games is None or self.game_id is not None:
+            part = feed.select(*columns)
+            load.keep("game_arrays", **{**load.entry("feed"), "path": load.entry("feed")["path"] + "/usable=true",
+                                        "rows": seen["usable"], "schema": part.schema.jsonValue()})
         else:
-            write_table(models[name], path)
-            stored[name] = spark.read.parquet(path)
-    stg_games = models["stg_games"]
-    facts = match_facts(stg_games, stored["move_features"], stored["opening_patterns"])
-    marts = {
-        "match_facts": facts,
-        "player_dim": player_dim(stored["rating_trajectories"]),
-    }
-    path = os.path.join(out_dir, "marts", "match_facts")
-    write_table(marts["match_facts"], path)
-    stored["match_facts"] = spark.read.parquet(path)
-    marts["opening_dim"] = opening_dim(stored["match_facts"])
-    for name in ("player_dim", "opening_dim"):
-        path = os.path.join(out_dir, "marts", name)
-        write_table(marts[name], path)
-        stored[name] = spark.read.parquet(path)
-
-    tables = {**raw, "stg_games": stg_games, "stg_moves": models["stg_moves"], **stored}
-    report = run_checks(spark, tables, rules or PIPELINE_RULES)
-    report_path = os.path.join(out_dir, "checks")
-    write_table(report, report_path)
-    report = spark.read.parquet(report_path)
-    if strict and not report.where("failures > 0").isEmpty():
-        raise ValueError("data checks failed")
-    return PipelineResult(out_dir, report)
+            newest = lambda: latest_games(feed.where(good), self.max_games, "created_at", "game_id").where("usable")
+            load.write("game_arrays", lambda: newest().select(*columns))
+            if not load.entry("game_arrays")["rows"]:
+                raise ValueError("No analysed games found.")
+        load.write("quarantine", lambda: feed.where(~good).select("bad_file", "bad_line"))
+        arrays = load.read("game_arrays")
+        staged = observed(self.rules, "stg_games", staged_columns(), is_timed())
+        games = self._write(load, "games", lambda: games_table(arrays), {**staged, "short_ids": short_ids()})
+        self._count_repeats(load, "stg_games", "games", games.where(is_timed()))
+        known = load.entry("games").get("repeats", {}).get(unique("games", "game_id").key)
+        load.keep("games", repeated_ids=repeated_values(games, "game_id") if known is None else known)
+        raw = {"games": games}
+        raw["moves"] = self._write(load, "moves", lambda: moves_table(arrays))
+        raw["move_evals"] = self._write(load, "move_evals", lambda: evals_table(arrays))
+        if self.csv_dir is not None:
+            for name in RAW_TABLES:
+                write_csv(raw[name], self.csv_dir, self.label or self.username or self.game_id or "export", name)
+        load.commit("raw")
+
+    def _joined(self, load: Load) -> bool:
+        return load.entry("games")["repeated_ids"] > 0
+
+    def intermediate(self) -> None:
+        load = self.store.load(self.run_id)
+        arrays, stg_games = load.read("game_arrays"), stage_games(load.read("games"))
+        if self._joined(load):
+            stg_moves = stage_moves(load.read("moves"), load.read("move_evals"))
+            features, openings = lambda: move_features(stg_moves), lambda: opening_patterns(stg_moves, stg_games)
+        else:
+            features, openings = lambda: features_from_arrays(arrays), lambda: openings_from_arrays(arrays)
+        # Staged plies are the features' rows without the computed columns.
+        self._write(load, "move_features", features, observed(self.rules, "stg_moves"))
+        self._write(load, "opening_patterns", openings)
+        self._write(load, "rating_trajectories", lambda: rating_trajectories(stg_games))
+        load.commit("intermediate")
+
+    def marts(self) -> None:
+        load = self.store.load(self.run_id)
+        if self._joined(load):
+            stg_games = stage_games(load.read("games"))
+            facts = lambda: match_facts(stg_games, load.read("move_features"), load.read("opening_patterns"))
+        else:
+            facts = lambda: facts_from_arrays(load.read("game_arrays"))
+        stored_facts = self._write(load, "match_facts", facts)
+        short = load.entry("games")["metrics"].get("short_ids", True)
+        self._write(load, "player_dim", lambda: player_dim(load.read("rating_trajectories"), short))
+        self._write(load, "opening_dim", lambda: opening_dim(stored_facts))
+        load.commit("marts")
+
+    def checks(self) -> None:
+        """The report from what was observed; rules that no load has seen are
+        evaluated over the stored tables."""
+        load = self.store.load(self.run_id)
+        seen: dict[str, int] = {}
+        for entry in self.store.manifest()["tables"].values():
+            empty = entry["rows"] == 0
+            seen |= entry.get("metrics", {}) | entry.get("repeats", {})
+            if empty:  # nothing was observed of no rows
+                seen |= {r.key: 0 for r in self.rules if r.table in self._shown(entry) and r.key not in seen}
+        late = [r for r in self.rules if r.key not in seen]
+        if late:
+            tables = {r.table: self._model(load, r.table) for r in late}
+            named = {(r.table, r.column, r.label): r.key for r in late}
+            for row in run_checks(self.spark, tables, late).collect():
+                seen[named[row["table_name"], row["column_name"], row["rule"]]] = row["failures"]
+        report = report_of(self.spark, self.rules, seen)
+        self._write(load, "checks", lambda: report.coalesce(1))
+        load.commit("checks")
+
+    def _shown(self, entry: dict) -> set[str]:
+        """Names of the models whose rows ``entry`` holds."""
+        name = entry["folder"].split("/")[-2]
+        return {name, *{"games": ["stg_games"], "move_features": ["stg_moves"]}.get(name, [])}
+
+    def _model(self, load: Load, name: str) -> DataFrame:
+        if name == "stg_games":
+            return stage_games(load.read("games"))
+        if name == "stg_moves":
+            return stage_moves(load.read("moves"), load.read("move_evals"))
+        return load.read(name)
+
+    def run(self, layers: tuple[str, ...] = LAYERS) -> PipelineResult:
+        for layer in layers:
+            if self.store.manifest()["layers"].get(layer) != self.run_id:
+                getattr(self, layer)()
+            self._publish(layer)
+        names = self.store.names()
+        report = self.store.read("checks") if "checks" in names else self.spark.createDataFrame([], CHECK_REPORT_SCHEMA)
+        if self.strict and "checks" in layers and not failed(report).isEmpty():
+            raise ValueError("data checks failed")
+        return PipelineResult(self.store, self.run_id, report)
+
+
+def run_pipeline(spark: SparkSession, feed_path: str, out_dir: str, keep: int = 2, **options) -> PipelineResult:
+    """Run one full refresh; every table under ``out_dir`` is replaced.
+
+    ``options`` (fields of ``Refresh``): ``perf``, ``max_games`` (all, unless
+    given), ``game_id`` for one game, ``username`` for one user's games,
+    ``ingested_at``, ``csv_dir`` and ``label`` for CSV files of the raw tables,
+    ``rules``, ``strict`` (raise when a check fails), ``multiline``,
+    ``max_bad_lines`` (lines that are no games beyond it fail the load; the
+    others go to the table ``quarantine``), ``table_prefix`` of the catalog's
+    tables and views, ``run_id`` to go on with a run that failed.
+
+    With ``game_buckets`` the game-keyed tables are written bucketed and sorted
+    by game (one bucket count for all), so ply joins, per-game windows and
+    aggregates and fact joins over them run without any shuffle. Choose the
+    bucket count so one ply bucket is a few hundred MB at the target scale.
+
+    Versions that the last ``keep`` refreshes don't use are deleted. A feed
+    without a usable game raises, and the old tables stay.
+    """
+    result = Refresh(spark, out_dir, feed_path, **options).run()
+    result.store.expire((keep - 1) * len(LAYERS) + 1)  # the last state of each refresh
+    return result
+
+
+def run_layer(spark: SparkSession, out_dir: str, layer: str, **options) -> PipelineResult:
+    """Run one layer (not ``raw``) again over the stored tables."""
+    if layer not in LAYERS[1:]:
+        raise ValueError(f"no layer {layer!r} that runs over stored tables")
+    return Refresh(spark, out_dir, **options).run((layer,))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plyspark.functions.scalar import PERF_GROUPS
 from plyspark.schemas import FEED_SCHEMA
@@ -38,6 +39,14 @@ def read_feed(
     return feed
 
 
+def read_feed_lines(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The feed with its bad lines: the columns of ``read_feed``, and of a line
+    that is no game object its text (``bad_line``, NULL otherwise) and file."""
+    schema = T.StructType([*FEED_SCHEMA.fields, T.StructField("bad_line", T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad_line")
+    return reader.option("multiLine", multiline).json(path).select("*", F.col("_metadata.file_path").alias("bad_file"))
+
+
 def perf_types_for(perf: str) -> list[str]:
     """Request mapping: ``"blitz"`` -> blitz; anything else -> rapid+classical."""
     return PERF_GROUPS["blitz"] if perf == "blitz" else PERF_GROUPS["default"]
@@ -47,28 +56,34 @@ def select_perf(feed: DataFrame, perf: str) -> DataFrame:
     return feed.where(F.col("perf").isin(perf_types_for(perf)))
 
 
-def select_user(feed: DataFrame, username: str) -> DataFrame:
+def played_by(username: str) -> Column:
     """Games that a user played on either side; names ignore case."""
     name = F.lower(F.lit(username))
-    return feed.where((F.lower("players.white.user.name") == name) | (F.lower("players.black.user.name") == name))
+    sides = (F.lower(f"players.{side}.user.name") == name for side in ("white", "black"))
+    return F.coalesce(next(sides), F.lit(False)) | F.coalesce(next(sides), F.lit(False))
+
+
+def select_user(feed: DataFrame, username: str) -> DataFrame:
+    return feed.where(played_by(username))
 
 
-def latest_games(feed: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` newest games (by ``createdAt``, NULL last; ties by
-    ``id``). Runs two small jobs.
+def latest_games(feed: DataFrame, n: int, time_col: str = "createdAt", id_col: str = "id") -> DataFrame:
+    """At most ``n`` newest games (by time, NULL last; ties by identifier).
+    Runs two small jobs.
 
     The n-th key is found on its two columns alone; the games themselves are
     only filtered by it, so they stay in the partitions that read them. Only
     lines that repeat the n-th key, of which some don't fit, are cut by a limit.
     """
-    key = feed.select(F.struct(F.coalesce("createdAt", F.lit(_NO_TIME)).alias("t"), F.col("id").alias("id")).alias("k"))
-    last = key.orderBy(F.desc("k.t"), F.asc("k.id")).offset(n - 1).limit(1).collect() if n > 0 else []
+    if n <= 0:
+        return feed.limit(0)
+    time, name = F.coalesce(F.col(time_col), F.lit(_NO_TIME)), F.col(id_col)
+    last = feed.select(time.alias("t"), name.alias("id")).orderBy(F.desc("t"), F.asc("id")).offset(n - 1).limit(1).collect()
     if not last:
-        return feed if n > 0 else feed.limit(0)
-    t, game_id = last[0]["k"]
-    time = F.coalesce(F.col("createdAt"), F.lit(_NO_TIME))
-    at_least = F.lit(False) if game_id is None else F.col("id").isNull() | (F.col("id") < game_id)
-    above, level = (time > t) | ((time == t) & at_least), (time == t) & F.col("id").eqNullSafe(F.lit(game_id))
+        return feed
+    t, game_id = last[0]
+    before = F.lit(False) if game_id is None else name.isNull() | (name < game_id)
+    above, level = (time > t) | ((time == t) & before), (time == t) & name.eqNullSafe(F.lit(game_id))
     taken = feed.agg(F.count_if(above).alias("above"), F.count_if(level).alias("level")).first()
     if taken["above"] + taken["level"] <= n:
         return feed.where(above | level)

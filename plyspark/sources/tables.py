@@ -47,7 +47,7 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
         else f
         for f in schema.fields
     ])
-    df = spark.read.option("header", True).schema(read_as).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(read_as).csv(path)
     stamps = {f.name: F.to_timestamp(f.name) for f in schema.fields if isinstance(f.dataType, T.TimestampType)}
     return conform(df.withColumns(stamps), schema)
 
@@ -83,8 +83,10 @@ def write_bucketed_table(
     by: list[str],
     sort_by: list[str] | None = None,
     schema: T.StructType | None = None,
+    dealt: bool = False,
 ) -> None:
-    """Full-replace load as an external Parquet table bucketed by ``by``.
+    """Full-replace load as an external Parquet table bucketed by ``by``
+    (``dealt``: its rows are already partitioned so).
 
     The rows are first hash-partitioned into ``buckets`` partitions on the
     bucket columns (the same hash the bucketing uses), so each write task
@@ -94,7 +96,8 @@ def write_bucketed_table(
     ``register_bucketed_table``.
     """
     out = conform(df, schema) if schema is not None else df
-    out = out.repartition(buckets, *[F.col(c) for c in by])
+    if not dealt:
+        out = out.repartition(buckets, *[F.col(c) for c in by])
     writer = out.write.mode("overwrite").bucketBy(buckets, *by)
     if sort_by:
         writer = writer.sortBy(*sort_by)
@@ -139,19 +142,64 @@ def is_hash_partitioned_by(df: DataFrame, cols: list[str]) -> bool:
 
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
+_CSV = {"escape": '"', "timestampFormat": CSV_TIMESTAMP_FORMAT}
 
 
 def csv_name(label: str, table: str, stamp: str | None = None) -> str:
-    """``{label}_{table}_{UTC yyyymmdd_HHMMSS}``."""
+    """``{label}_{table}_{UTC yyyymmdd_HHMMSS}.csv``."""
     stamp = stamp or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-    return f"{label}_{table}_{stamp}"
+    return f"{label}_{table}_{stamp}.csv"
 
 
 def write_csv(df: DataFrame, out_dir: str, label: str, table: str, stamp: str | None = None) -> str:
-    """CSV export with a header row; returns the output directory written."""
+    """CSV export: one file with a header row; returns its path.
+
+    The rows are written in parallel as parts without a header, which the file
+    system then joins behind a header of its own (``join_files``).
+    """
     path = os.path.join(out_dir, csv_name(label, table, stamp))
+    parts = path + ".parts"
     # Full microseconds with the UTC offset, e.g. 2026-06-11 00:42:39.763237+00:00
     # (Spark's default keeps milliseconds only).
-    (df.write.mode("overwrite").option("header", True)
-     .option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path))
+    df.write.mode("overwrite").options(**_CSV).csv(parts)
+    quoted = ['"' + c.replace('"', '""') + '"' if set(c) & set(',"\n') else c for c in df.columns]
+    join_files(df.sparkSession, ",".join(quoted) + "\n", parts, path)
     return path
+
+
+def join_files(spark: SparkSession, head: str, folder: str, path: str) -> None:
+    """One file at ``path``: the text ``head``, then the part files of
+    ``folder`` in their order; ``folder`` goes.
+
+    The bytes stay inside the file system: a distributed one links the parts'
+    blocks (``concat``), a local one copies them in the kernel. Others have no
+    such operation: there the call fails and the parts stay.
+    """
+    jvm = spark._jvm
+    source = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((s for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")), key=lambda s: s.getPath().getName())
+    parts = [s.getPath() for s in found if s.getLen()]
+    target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{folder}/.joined")
+    if fs.getUri().getScheme() == "file":
+        with open(beside.toUri().getPath(), "wb") as out:
+            out.write(head.encode())
+            out.flush()
+            for part in parts:
+                with open(part.toUri().getPath(), "rb") as one:
+                    size, at = os.fstat(one.fileno()).st_size, 0
+                    while at < size:
+                        at += os.copy_file_range(one.fileno(), out.fileno(), size - at)
+    else:
+        stream = fs.create(beside, True)
+        stream.write(bytearray(head.encode()))
+        stream.close()
+        if parts:
+            array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+            for i, part in enumerate(parts):
+                array[i] = part
+            fs.concat(beside, array)
+    fs.delete(target, False)
+    if not fs.rename(beside, target):
+        raise OSError(f"could not rename {beside} to {path}")
+    fs.delete(source, True)

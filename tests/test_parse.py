@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plyspark.operators.parse import parse_games
-from plyspark.plans.pipeline import select_feed
+from plyspark.plans.pipeline import run_pipeline
 from plyspark.sources import adapter
 from plyspark.sources.feed import analysed_only, latest_games, read_feed, select_perf
 from plyspark.schemas import EVALS_SCHEMA, GAMES_SCHEMA, MOVES_SCHEMA
@@ -105,16 +105,22 @@ def test_edge_lines(spark, scratch):
 def test_all_unanalysed_fails(spark, scratch):
     path = _write(scratch, [json.dumps(_game("x", analysis=_DROP))])
     with pytest.raises(ValueError, match="No analysed games"):
-        select_feed(spark, path)
+        run_pipeline(spark, path, os.path.join(scratch, "out"))
+    with pytest.raises(ValueError, match="No analysed games"):
+        run_pipeline(spark, path, os.path.join(scratch, "out"), max_games=3)
 
 
 def test_single_game_selection(spark, scratch):
     path = _write(scratch, [json.dumps(_game("a")), json.dumps(_game("b", analysis=_DROP))])
-    assert [r.id for r in select_feed(spark, path, game_id="a").collect()] == ["a"]
+    out = os.path.join(scratch, "out")
+    res = run_pipeline(spark, path, out, game_id="a")
+    assert [r.game_id for r in res.read("match_facts").collect()] == ["a"]
     with pytest.raises(ValueError, match="not found"):
-        select_feed(spark, path, game_id="zzz")
+        run_pipeline(spark, path, out, game_id="zzz")
     with pytest.raises(ValueError, match="no computer analysis"):
-        select_feed(spark, path, game_id="b")
+        run_pipeline(spark, path, out, game_id="b")
+    # an empty selection leaves the old tables
+    assert [r.game_id for r in res.read("games").collect()] == ["a"]
 
 
 def test_single_pretty_printed_document(spark, scratch):
