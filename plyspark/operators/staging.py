@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import DEFAULT_VARIANT, DRAW, epoch_ms_to_ts, time_control_label
 from plyspark.schemas import STG_GAMES_COLUMNS, STG_MOVES_COLUMNS
-from plyspark.sources.tables import is_hash_partitioned_by
 
 
 def is_timed() -> Column:
@@ -40,20 +39,19 @@ def stage_games(games: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def stage_moves(
-    moves: DataFrame, evals: DataFrame, co_partition: bool | None = None
-) -> DataFrame:
+def stage_moves(moves: DataFrame, evals: DataFrame, co_partition: bool = True) -> DataFrame:
     """Every ply with its evaluation (left join on the ply key).
 
     Duplicate eval rows for one ply fan out, as an equi-join does.
 
-    With ``co_partition`` the plies are hash-partitioned by ``game_id``
-    only. With ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set
-    by ``plyspark.session.ensure_conf``) the planner then shuffles the evals
+    The plies are hash-partitioned by ``game_id`` only, unless
+    ``co_partition=False`` says that both tables are bucketed by it. With
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
+    ``plyspark.session.ensure_conf``) the planner then shuffles the evals
     to that same partitioning, and the per-game window and aggregates
-    downstream reuse it instead of
-    shuffling the joined plies again. A game's ply count is bounded, so
-    partitioning by the game alone cannot create a hot task.
+    downstream reuse it instead of shuffling the joined plies again. A game's
+    ply count is bounded, so partitioning by the game alone cannot create a hot
+    task.
     """
     m = moves.select(
         "game_id", "move_offset", "move_number", "color",
@@ -63,8 +61,6 @@ def stage_moves(
         "game_id", "move_offset", "eval_score", "mate_in", "best_move", "variation",
         "judgment", "time_left_cs", "time_left_ratio",
     )
-    if co_partition is None:
-        co_partition = not is_hash_partitioned_by(moves, ["game_id"])
     if co_partition:
         m = m.repartition("game_id")
     # Evals are a per-ply table with no size bound, so they are never

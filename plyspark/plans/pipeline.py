@@ -58,10 +58,11 @@ LAYER_TABLES = {
 _SORT = {**GAME_SORT_BY, "move_features": ["game_id", "move_offset"], "opening_patterns": ["game_id"]}
 
 
-def build_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All models from the three raw tables, as lazy DataFrames."""
+def build_models(raw: dict[str, DataFrame], co_partition: bool = True) -> dict[str, DataFrame]:
+    """All models from the three raw tables, as lazy DataFrames
+    (``co_partition``: see ``stage_moves``)."""
     stg_games = stage_games(raw["games"])
-    stg_moves = stage_moves(raw["moves"], raw["move_evals"])
+    stg_moves = stage_moves(raw["moves"], raw["move_evals"], co_partition)
     features = move_features(stg_moves)
     openings = opening_patterns(stg_moves, stg_games)
     trajectories = rating_trajectories(stg_games)
@@ -206,29 +207,40 @@ class Refresh:
                 raise ValueError("No analysed games found.")
         load.write("quarantine", lambda: feed.where(~good).select("bad_file", "bad_line"))
         arrays = load.read("game_arrays")
+        self._raw_tables(load, {"games": games_table(arrays), "moves": moves_table(arrays), "move_evals": evals_table(arrays)})
+
+    def _raw_tables(self, load: Load, given: dict[str, DataFrame]) -> None:
         staged = observed(self.rules, "stg_games", staged_columns(), is_timed())
-        games = self._write(load, "games", lambda: games_table(arrays), {**staged, "short_ids": short_ids()})
-        self._count_repeats(load, "stg_games", "games", games.where(is_timed()))
+        more = {**staged, "short_ids": short_ids(), "null_ids": F.count_if(F.col("game_id").isNull())}
+        raw = {name: self._write(load, name, lambda: df, more if name == "games" else None) for name, df in given.items()}
+        self._count_repeats(load, "stg_games", "games", raw["games"].where(is_timed()))
         known = load.entry("games").get("repeats", {}).get(unique("games", "game_id").key)
-        load.keep("games", repeated_ids=repeated_values(games, "game_id") if known is None else known)
-        raw = {"games": games}
-        raw["moves"] = self._write(load, "moves", lambda: moves_table(arrays))
-        raw["move_evals"] = self._write(load, "move_evals", lambda: evals_table(arrays))
+        load.keep("games", repeated_ids=repeated_values(raw["games"], "game_id") if known is None else known)
         if self.csv_dir is not None:
             for name in RAW_TABLES:
                 write_csv(raw[name], self.csv_dir, self.label or self.username or self.game_id or "export", name)
         load.commit("raw")
 
+    def given(self, raw: dict[str, DataFrame]) -> None:
+        """The raw layer from three given tables in place of a feed."""
+        load = self.store.load(self.run_id)
+        load.keep("game_arrays", run=self.run_id, rows=0, folder="", path=None)  # those of an older feed don't belong to them
+        self._raw_tables(load, raw)
+
     def _joined(self, load: Load) -> bool:
-        return load.entry("games")["repeated_ids"] > 0
+        """Whether models take joins: no arrays, or games that are not told
+        apart by their identifier."""
+        games = load.entry("games")
+        return not load.entry("game_arrays")["path"] or games["repeated_ids"] + games["metrics"].get("null_ids", 0) > 0
 
     def intermediate(self) -> None:
         load = self.store.load(self.run_id)
-        arrays, stg_games = load.read("game_arrays"), stage_games(load.read("games"))
+        stg_games = stage_games(load.read("games"))
         if self._joined(load):
-            stg_moves = stage_moves(load.read("moves"), load.read("move_evals"))
+            stg_moves = stage_moves(load.read("moves"), load.read("move_evals"), not self.game_buckets)
             features, openings = lambda: move_features(stg_moves), lambda: opening_patterns(stg_moves, stg_games)
         else:
+            arrays = load.read("game_arrays")
             features, openings = lambda: features_from_arrays(arrays), lambda: openings_from_arrays(arrays)
         # Staged plies are the features' rows without the computed columns.
         self._write(load, "move_features", features, observed(self.rules, "stg_moves"))
@@ -254,11 +266,11 @@ class Refresh:
         evaluated over the stored tables."""
         load = self.store.load(self.run_id)
         seen: dict[str, int] = {}
-        for entry in self.store.manifest()["tables"].values():
-            empty = entry["rows"] == 0
+        for name, entry in self.store.manifest()["tables"].items():
             seen |= entry.get("metrics", {}) | entry.get("repeats", {})
-            if empty:  # nothing was observed of no rows
-                seen |= {r.key: 0 for r in self.rules if r.table in self._shown(entry) and r.key not in seen}
+            if entry["rows"] == 0:  # nothing was observed of no rows
+                models = {name, *{"games": ["stg_games"], "move_features": ["stg_moves"]}.get(name, [])}
+                seen |= {r.key: 0 for r in self.rules if r.table in models and r.key not in seen}
         late = [r for r in self.rules if r.key not in seen]
         if late:
             tables = {r.table: self._model(load, r.table) for r in late}
@@ -269,22 +281,17 @@ class Refresh:
         self._write(load, "checks", lambda: report.coalesce(1))
         load.commit("checks")
 
-    def _shown(self, entry: dict) -> set[str]:
-        """Names of the models whose rows ``entry`` holds."""
-        name = entry["folder"].split("/")[-2]
-        return {name, *{"games": ["stg_games"], "move_features": ["stg_moves"]}.get(name, [])}
-
     def _model(self, load: Load, name: str) -> DataFrame:
         if name == "stg_games":
             return stage_games(load.read("games"))
         if name == "stg_moves":
-            return stage_moves(load.read("moves"), load.read("move_evals"))
+            return stage_moves(load.read("moves"), load.read("move_evals"), not self.game_buckets)
         return load.read(name)
 
-    def run(self, layers: tuple[str, ...] = LAYERS) -> PipelineResult:
+    def run(self, layers: tuple[str, ...] = LAYERS, raw: dict[str, DataFrame] | None = None) -> PipelineResult:
         for layer in layers:
             if self.store.manifest()["layers"].get(layer) != self.run_id:
-                getattr(self, layer)()
+                self.given(raw) if layer == "raw" and raw is not None else getattr(self, layer)()
             self._publish(layer)
         names = self.store.names()
         report = self.store.read("checks") if "checks" in names else self.spark.createDataFrame([], CHECK_REPORT_SCHEMA)
@@ -317,6 +324,14 @@ def run_pipeline(spark: SparkSession, feed_path: str, out_dir: str, keep: int =
     return result
 
 
+def refresh_from_tables(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, keep: int = 2, **options) -> PipelineResult:
+    """A full refresh from given raw tables (``games``, ``moves``,
+    ``move_evals``) in place of a feed; otherwise as ``run_pipeline``."""
+    result = Refresh(spark, out_dir, **options).run(raw=raw)
+    result.store.expire((keep - 1) * len(LAYERS) + 1)
+    return result
+
+
 def run_layer(spark: SparkSession, out_dir: str, layer: str, **options) -> PipelineResult:
     """Run one layer (not ``raw``) again over the stored tables."""
     if layer not in LAYERS[1:]:

@@ -10,14 +10,19 @@ return unrounded values) so engines that add in a different order agree.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import DEFAULT_MAX_GAMES, DEFAULT_PERF, move_flags, piece_type
-from plyspark.operators.checks import PIPELINE_RULES, run_checks
+from plyspark.operators.checks import PIPELINE_RULES, accepted_range, run_checks
 from plyspark.operators.features import move_features
+from plyspark.operators.game_arrays import facts_from_arrays, features_from_arrays, openings_from_arrays, parse_game_arrays
 from plyspark.operators.marts import (
     canonical_openings,
     join_canonical,
@@ -33,18 +38,21 @@ from plyspark.operators.openings import opening_patterns
 from plyspark.operators.parse import explode_plies, parse_evals_table, parse_games_table, parse_moves_table
 from plyspark.operators.staging import stage_games, stage_moves
 from plyspark.operators.trajectories import player_games, rating_trajectories
-from plyspark.plans.pipeline import build_models
-from plyspark.session import ensure_conf
+from plyspark.plans.pipeline import PipelineResult, build_models, refresh_from_tables, run_pipeline
+from plyspark.schemas import RAW_SCHEMAS
+from plyspark.session import ensure_conf, scratch_path, stored
 from plyspark.sources import adapter
-from plyspark.sources.feed import analysed_only, latest_games, read_feed, select_perf
+from plyspark.sources.feed import analysed_only, latest_games, read_feed, read_feed_lines, select_perf, select_user
+from plyspark.sources.store import Store
+from plyspark.sources.tables import read_raw_csv, write_csv
 
 MAX_GAMES = DEFAULT_MAX_GAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _r6(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
+def _r6(df: DataFrame, cols: list[str], n: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), n) for c in cols})
 
 
 def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -59,9 +67,18 @@ def _feed(spark: SparkSession, sf: str) -> DataFrame:
     return read_feed(spark, adapter.stored_feed_path(spark, sf))
 
 
+def _plies(spark: SparkSession, sf: str, raw: dict[str, DataFrame]) -> DataFrame:
+    return stage_moves(raw["moves"], raw["move_evals"], co_partition=not adapter.are_bucketed(spark, sf))
+
+
 def _stg(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     raw = _raw(spark, sf)
-    return stage_games(raw["games"]), stage_moves(raw["moves"], raw["move_evals"])
+    return stage_games(raw["games"]), _plies(spark, sf, raw)
+
+
+def _scratch(spark: SparkSession, sf: str, name: str) -> str:
+    """A folder of this source's fixture for what a query writes."""
+    return scratch_path(spark, f"plyspark_{name}/" + os.path.basename(adapter.materialize(spark, sf)))
 
 
 def _ingested() -> Column:
@@ -117,12 +134,43 @@ def q_feed_latest_n(spark, sf):
     )
 
 
+def _newest(feed: DataFrame, *columns: str):
+    """Those columns of the newest game."""
+    return feed.orderBy(F.col("createdAt").desc_nulls_last(), F.col("id").asc()).select(*columns).first()
+
+
+def q_feed_user(spark, sf):
+    """The games of one user, found by name in any case: who played white in
+    the newest game."""
+    feed, white = _feed(spark, sf), "players.white.user.name"
+    name = _newest(feed.where(F.col(white).isNotNull()), white)[0]
+    mine = select_user(feed, name.upper())
+    return mine.select(
+        F.col("id").alias("game_id"), F.col(white).alias("white_name"), F.col("players.black.user.name").alias("black_name")
+    )
+
+
+def q_feed_quarantine(spark, sf):
+    """A feed of which every 25th line is bad, text or a wrong type: the games
+    that can be read, and the lines that can't."""
+    lines = spark.read.text(adapter.stored_feed_path(spark, sf))
+    game = F.get_json_object("value", "$.id")
+    k = game.cast("long")
+    planted = lines.select(
+        F.when(k % 50 == 0, F.concat(F.lit("no game: "), game))
+        .when(k % 50 == 1, F.concat(F.lit('{"id": "'), game, F.lit('", "createdAt": "soon"}')))
+        .otherwise(F.col("value")).alias("value")
+    )
+    path = _scratch(spark, sf, "quarantine")
+    planted.write.mode("overwrite").text(path)
+    good = F.col("bad_line").isNull()
+    return stored(read_feed_lines(spark, path), "lines").select(F.when(good, F.col("id")).alias("game_id"), "bad_line")
+
+
 def q_single_game(spark, sf):
-    """All plies of one game chosen by id: the newest analysed game."""
-    f = analysed_only(_feed(spark, sf))
-    newest = f.orderBy(F.col("createdAt").desc(), F.col("id").asc()).limit(1).select("id")
-    # One row by construction (limit 1), so broadcasting it is safe.
-    one = f.join(F.broadcast(newest), "id", "left_semi")
+    """All plies of one game read by its id: the newest analysed game."""
+    game_id = _newest(analysed_only(_feed(spark, sf)), "id")[0]
+    one = analysed_only(read_feed(spark, adapter.stored_feed_path(spark, sf), game_id=game_id))
     plies = explode_plies(one, _ingested())
     return plies.select(
         "game_id", "move_offset", "move_number", "color", "username", "move_san",
@@ -158,20 +206,34 @@ def q_time_control_label(spark, sf):
 
 
 def q_stage_moves(spark, sf):
+    return _stg(spark, sf)[1]
+
+
+def q_odd_plies(spark, sf):
+    """Staged plies with what a feed rarely has: moves without text, and two
+    evaluations of one ply, which fan out."""
     raw = _raw(spark, sf)
-    return stage_moves(raw["moves"], raw["move_evals"])
+    k = F.col("game_id").cast("long")
+    moves = raw["moves"].withColumn("move_san", F.when((k + F.col("move_offset")) % 11 != 0, F.col("move_san")))
+    twice = raw["move_evals"].where(k % 10 == 3).withColumns({"eval_score": -F.col("eval_score"), "best_move": F.lit("x")})
+    plies = stage_moves(moves, raw["move_evals"].unionByName(twice))
+    flags = move_flags(F.col("move_san"))
+    return plies.select(
+        "game_id", "move_offset", "move_san", "eval_score", "best_move", piece_type(F.col("move_san")).alias("piece_type"),
+        flags["is_capture"].alias("is_capture"), flags["is_castling"].alias("is_castling"),
+    )
 
 
 # --- per-ply features ----------------------------------------------------------
 
 
 def q_piece_type(spark, sf):
-    _, m = _stg(spark, sf)
+    m = _raw(spark, sf)["moves"]  # no evaluation is needed
     return m.select("game_id", "move_offset", "move_san", piece_type(F.col("move_san")).alias("piece_type"))
 
 
 def q_move_flags(spark, sf):
-    _, m = _stg(spark, sf)
+    m = _raw(spark, sf)["moves"]
     flags = move_flags(F.col("move_san"))
     return m.select("game_id", "move_offset", *[c.alias(n) for n, c in flags.items()])
 
@@ -193,8 +255,27 @@ def q_move_features(spark, sf):
 
 
 def q_opening_patterns(spark, sf):
-    g, m = _stg(spark, sf)
-    return opening_patterns(m, g)
+    raw = _raw(spark, sf)  # the moves alone: each ply has one evaluation at most
+    return opening_patterns(raw["moves"], stage_games(raw["games"]))
+
+
+# --- games as arrays of plies -------------------------------------------------
+
+
+def _arrays(spark, sf) -> DataFrame:
+    return parse_game_arrays(analysed_only(_feed(spark, sf)), _ingested())
+
+
+def q_array_features(spark, sf):
+    return _r6(features_from_arrays(_arrays(spark, sf)), ["eval_volatility_3"])
+
+
+def q_array_openings(spark, sf):
+    return openings_from_arrays(_arrays(spark, sf))
+
+
+def q_array_facts(spark, sf):
+    return _r6(facts_from_arrays(_arrays(spark, sf)), _AGG_FLOATS, 8)  # means of parsed ratios lie halfway at 6
 
 
 # --- trajectories --------------------------------------------------------------
@@ -239,7 +320,7 @@ def q_match_timing(spark, sf):
 
 def _facts(spark, sf) -> DataFrame:
     g, m = _stg(spark, sf)
-    return match_facts(g, move_features(m), opening_patterns(m, g))
+    return match_facts(g, move_features(m), opening_patterns(_raw(spark, sf)["moves"], g))
 
 
 def q_match_facts(spark, sf):
@@ -280,7 +361,7 @@ def q_opening_join(spark, sf):
 
 def _check_tables(spark, sf) -> dict[str, DataFrame]:
     raw = _raw(spark, sf)
-    return {**raw, **build_models(raw)}
+    return {**raw, **build_models(raw, co_partition=not adapter.are_bucketed(spark, sf))}
 
 
 def _checks(kind: str | None) -> Query:
@@ -291,9 +372,94 @@ def _checks(kind: str | None) -> Query:
     return run
 
 
+def q_check_failures(spark, sf):
+    """The report of a refresh over raw tables with planted faults, as it was
+    observed while the tables were written."""
+    raw = _raw(spark, sf)
+    k, offset = F.col("game_id").cast("long"), F.col("move_offset")
+    games = raw["games"].withColumn("_k", k).withColumns({
+        "game_id": F.when(k % 43 != 0, F.col("game_id")),
+        "winner": F.when(k % 47 == 0, F.lit("nobody")).otherwise(F.col("winner")),
+        "perf_type": F.when(k % 59 == 0, F.lit("hyper")).otherwise(F.col("perf_type")),
+    })
+    moves = raw["moves"].withColumn("game_id", F.when((k % 37 != 0) | (offset != 1), F.col("game_id")))
+    evals = raw["move_evals"].withColumns({
+        "game_id": F.when((k % 31 != 0) | (offset != 0), F.col("game_id")),
+        "move_offset": F.when(k % 61 != 0, offset),
+        "judgment": F.when((k % 29 == 0) & F.col("judgment").isNotNull(), F.lit("Oops")).otherwise(F.col("judgment")),
+    })
+    planted = {"games": games.unionByName(games.where("_k % 41 = 0")).drop("_k"), "moves": moves, "move_evals": evals}
+    narrow = [accepted_range("match_facts", "total_plies", max_value=4), accepted_range("player_dim", "win_rate", 0.2, 0.8)]
+    out = _scratch(spark, sf, "planted")
+    return refresh_from_tables(
+        spark, planted, out, rules=[*PIPELINE_RULES, *narrow], run_id="planted", table_prefix="plyspark_planted"
+    ).report
+
+
+# --- what a refresh stores -------------------------------------------------------
+
+
+def _refreshed(spark, sf, name="refresh", **options) -> PipelineResult:
+    """The stored refresh over the fixture's feed; run once for a source."""
+    ensure_conf(spark)
+    out = _scratch(spark, sf, name)
+    load_time = datetime.fromisoformat(adapter.INGESTED_AT_TEXT).replace(tzinfo=timezone.utc)
+    prefix = f"plyspark_{name}_{os.path.basename(out)}"
+    return run_pipeline(spark, adapter.stored_feed_path(spark, sf), out, run_id="fixture", ingested_at=load_time, table_prefix=prefix, **options)
+
+
+def q_stored_match_facts(spark, sf):
+    return _r6(_refreshed(spark, sf).read("match_facts"), _AGG_FLOATS, 8)
+
+
+def q_stored_game(spark, sf):
+    """The stored plies of a refresh of one game."""
+    game_id = _newest(analysed_only(_feed(spark, sf)), "id")[0]
+    return _r6(_refreshed(spark, sf, "one_game", game_id=game_id).read("move_features"), ["eval_volatility_3"])
+
+
+def q_view_stg_games(spark, sf):
+    """The staged games as another session sees them in the catalog."""
+    _refreshed(spark, sf)
+    prefix = f"plyspark_refresh_{os.path.basename(adapter.materialize(spark, sf))}"
+    return spark.newSession().table(f"{prefix}_stg_games")
+
+
+def q_empty_refresh(spark, sf):
+    """A refresh for a user without games fails; the stored tables stay."""
+    stored = _refreshed(spark, sf)
+    try:
+        run_pipeline(spark, adapter.stored_feed_path(spark, sf), stored.out_dir, username="nobody at all")
+        error = None
+    except ValueError as e:
+        error = str(e)
+    counts = [
+        stored.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), F.lit(error).alias("error"), "n_rows")
+        for name in ("games", "moves", "match_facts", "player_dim")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_csv_round_trip(spark, sf):
+    """Raw games written as one CSV file and read back."""
+    path = write_csv(_raw(spark, sf)["games"], _scratch(spark, sf, "csv"), "fixture", "games", "20260101_000000")
+    return read_raw_csv(spark, path, "games")
+
+
+def q_table_round_trip(spark, sf):
+    """Raw moves given as text, loaded into a typed table and read back."""
+    moves = _raw(spark, sf)["moves"]
+    load = Store(spark, _scratch(spark, sf, "table")).load(uuid.uuid4().hex)
+    load.write("moves", lambda: moves.select([F.col(c).cast("string") for c in moves.columns]), RAW_SCHEMAS["moves"])
+    load.commit("raw")
+    return load.store.read("moves")
+
+
 QUERIES: dict[str, Query] = {
     "scan_json": q_scan_json,
     "single_game": q_single_game,
+    "feed_user": q_feed_user,
+    "feed_quarantine": q_feed_quarantine,
     "feed_analysed": q_feed_analysed,
     "feed_perf_filter": q_feed_perf_filter,
     "feed_latest_n": q_feed_latest_n,
@@ -303,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "stage_games": q_stage_games,
     "time_control_label": q_time_control_label,
     "stage_moves": q_stage_moves,
+    "odd_plies": q_odd_plies,
     "piece_type": q_piece_type,
     "move_flags": q_move_flags,
     "eval_delta": q_eval_delta,
@@ -326,4 +493,14 @@ QUERIES: dict[str, Query] = {
     "check_accepted_values": _checks("accepted_values"),
     "check_range": _checks("accepted_range"),
     "data_checks": _checks(None),
+    "check_failures": q_check_failures,
+    "array_features": q_array_features,
+    "array_openings": q_array_openings,
+    "array_facts": q_array_facts,
+    "stored_match_facts": q_stored_match_facts,
+    "stored_game": q_stored_game,
+    "view_stg_games": q_view_stg_games,
+    "empty_refresh": q_empty_refresh,
+    "csv_round_trip": q_csv_round_trip,
+    "table_round_trip": q_table_round_trip,
 }

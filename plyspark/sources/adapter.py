@@ -17,6 +17,7 @@ import hashlib
 import os
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ from plyspark.schemas import EVALS_SCHEMA, GAMES_SCHEMA, MOVES_SCHEMA
 # Initial clock (s) by o_orderkey % 5: 0, 90, 600, 180, 15
 # Status by o_orderstatus: F mate (white wins), O resign (black wins), P draw
 # Judgment by l_returnflag: A Blunder, R Mistake, N (line status O) Inaccuracy
+# Missing values: white rating every 53rd game, opening name every 19th, times
+# every 97th. Every 8th game is placed at its month's start, so times tie.
+# Feed arrays one entry short: analysis every 13th game, clocks every 6th.
 # ---------------------------------------------------------------------------
 N_HEAVY = 50
 SAN_BY_PART = ["e4", "Nf3", "Bxc4", "O-O", "Qh5+", "Rd8#", "e8=Q", "Kxe2+", "O-O-O", "exd5"]
@@ -79,9 +83,11 @@ def games_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = o.join(white, o["_white_key"] == white["_wk"], "left").join(
         black, o["_black_key"] == black["_bk"], "left"
     )
-    created = F.timestamp_diff(
-        "MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("o_orderdate")
-    ) + k
+    def epoch_ms(day: Column) -> Column:
+        return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), day)
+
+    month = F.trunc("o_orderdate", "month").cast("timestamp_ntz")
+    created = F.when(k % 97 != 0, F.when(k % 8 == 0, epoch_ms(month)).otherwise(epoch_ms(F.col("o_orderdate")) + k))
     status = F.col("o_orderstatus")
     priority_digit = F.substring(F.col("o_orderpriority"), 1, 1).cast("int") - 1
     games = o.select(
@@ -89,7 +95,7 @@ def games_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("string").alias("game_id"),
         F.col("white_username"),
         F.col("black_username"),
-        (F.lit(1000) + F.floor(F.col("o_totalprice")).cast("long") % 1500).alias("white_rating"),
+        F.when(k % 53 != 0, F.lit(1000) + F.floor(F.col("o_totalprice")).cast("long") % 1500).alias("white_rating"),
         F.when(~anonymous, F.lit(1000) + (k * 7919) % 1500).alias("black_rating"),
         (k % 31 - 15).alias("white_rating_diff"),
         (F.lit(15) - k % 31).alias("black_rating_diff"),
@@ -100,9 +106,9 @@ def games_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("status"),
         _pick(PERF_BY_PRIORITY, priority_digit).alias("perf_type"),
         F.when(k % 10 != 0, F.lit("standard")).alias("variant"),
-        F.when(k % 20 != 0, F.concat(F.lit("C"), F.lpad((u % 12).cast("string"), 2, "0")))
+        F.when(k % 20 != 0, F.concat(F.lit("C"), F.lpad((u % 60).cast("string"), 2, "0")))
         .alias("opening_eco"),
-        F.concat(F.lit("Opening "), (k % 3).cast("string")).alias("opening_name"),
+        F.when(k % 19 != 0, F.concat(F.lit("Opening "), (k % 7).cast("string"))).alias("opening_name"),
         (k % 6).alias("opening_ply"),
         _pick(INITIAL_BY_KEY, k % 5).alias("time_control_initial"),
         (k % 4).alias("time_control_increment"),
@@ -148,13 +154,14 @@ def raw_moves_and_evals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     )
     no_score = (F.col("l_suppkey") % 17) == 0
     flag = F.col("l_returnflag")
+    best = _pick(SAN_BY_PART, (F.col("l_partkey") + 1) % 10)
     evals = plies.where((F.col("l_partkey") % 23) != 0).select(
         F.col("l_orderkey").cast("string").alias("game_id"),
         ply.alias("move_offset"),
         F.when(~no_score, F.floor(F.col("l_extendedprice")).cast("double") - 50000).alias("eval_score"),
         F.when(no_score, F.col("l_linenumber").cast("long")).alias("mate_in"),
-        F.lit(None).cast("string").alias("best_move"),
-        F.lit(None).cast("string").alias("variation"),
+        F.when(flag == "R", best).alias("best_move"),
+        F.when(flag == "R", F.concat(best, F.lit(" e5"))).alias("variation"),
         F.when(flag == "A", "Blunder")
         .when(flag == "R", "Mistake")
         .when((flag == "N") & (F.col("l_linestatus") == "O"), "Inaccuracy")
@@ -216,12 +223,14 @@ def feed_lines(
         F.sort_array(F.collect_list(F.struct("move_offset", "a", "cs"))).alias("_p"),
         F.max(F.col("_has_eval")).alias("_any_eval"),
     )
-    per_game = per_game.select(
-        "game_id",
-        "moves",
-        F.when(F.col("_any_eval"), F.transform("_p", lambda x: x["a"])).alias("analysis"),
-        F.when(F.col("_any_eval"), F.transform("_p", lambda x: x["cs"])).alias("clocks"),
-    )
+    k, n = F.col("game_id").cast("long"), F.size("_p")
+
+    def cut(field: str, every: int) -> Column:
+        """The field of each ply; without the last where the array is short."""
+        kept = F.when((k % every == 0) & (n > 1), n - 1).otherwise(n)
+        return F.when(F.col("_any_eval"), F.transform(F.slice("_p", F.lit(1), kept), lambda x: x[field]))
+
+    per_game = per_game.select("game_id", "moves", cut("a", 13).alias("analysis"), cut("cs", 6).alias("clocks"))
     g = games.join(per_game, "game_id", "left")
     obj = F.struct(
         F.col("game_id").alias("id"),
@@ -252,7 +261,7 @@ def feed_lines(
 
 #: Bump when a fixture rule or the storage layout changes, so stale written
 #: copies are not reused.
-ADAPTER_VERSION = 6
+ADAPTER_VERSION = 7
 #: The three raw tables are stored bucketed by game (``tables.GAME_BUCKET_BY``),
 #: in one bucket for so many bytes of the sources, and a few at least.
 FIXTURE_BUCKET_BYTES, LEAST_BUCKETS = 128 << 20, 4
@@ -348,7 +357,7 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str])
             try:
                 write_bucketed_table(raw[name], _table_name(fp, name), paths[name],
                                      buckets, GAME_BUCKET_BY, GAME_SORT_BY[name], schema)
-            except Exception:  # no writable catalog: plain files, same rows
+            except AnalysisException:  # no writable catalog: plain files, same rows
                 write_table(raw[name], plain[name], schema)
         stored = {name: _read_stored(spark, paths[name], plain[name], s)
                   for name, s in _SCHEMAS.items()}
@@ -362,7 +371,7 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, key: tuple[str, str])
             register_bucketed_table(spark, _table_name(fp, name), paths[name], _SCHEMAS[name],
                                     buckets, GAME_BUCKET_BY, GAME_SORT_BY[name])
             tables[name] = _table_name(fp, name)
-        except Exception:  # catalog unavailable: read the same files as plain Parquet
+        except AnalysisException:  # catalog unavailable: read the same files as plain Parquet
             pass
     _memo[key] = base
     _names[key] = tables
@@ -389,5 +398,11 @@ def stored_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
+def are_bucketed(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether the stored plies and games are tables bucketed by game."""
+    materialize(spark, sf_dir)
+    return all(_names[_key(spark, sf_dir)].values())
+
+
 def stored_feed_path(spark: SparkSession, sf_dir: str) -> str:
     return os.path.join(materialize(spark, sf_dir), "feed")

@@ -129,18 +129,6 @@ def register_bucketed_table(
     return spark.table(table)
 
 
-def is_hash_partitioned_by(df: DataFrame, cols: list[str]) -> bool:
-    """True when ``df`` already satisfies a clustering on ``cols`` (e.g. a
-    scan of a table bucketed by them): planning a ``groupBy(cols)`` on top
-    adds no exchange. Only plans, never runs, the probe."""
-
-    def exchanges(d: DataFrame) -> int:
-        return d._jdf.queryExecution().executedPlan().toString().count("Exchange ")
-
-    probe = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return exchanges(probe) == exchanges(df)
-
-
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
 _CSV = {"escape": '"', "timestampFormat": CSV_TIMESTAMP_FORMAT}
 

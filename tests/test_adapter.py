@@ -1,3 +1,5 @@
+from pyspark.errors import AnalysisException
+
 from plyspark.operators.staging import stage_moves
 from plyspark.sources import adapter, tables
 from tests.conftest import SF_SMALL
@@ -19,7 +21,7 @@ def test_without_catalog_reads_plain_parquet(spark, monkeypatch):
     saved = adapter._memo.pop(key, None), adapter._names.pop(key, None)
 
     def no_catalog(*args, **kwargs):
-        raise RuntimeError("catalog is read-only")
+        raise AnalysisException("catalog is read-only")
 
     monkeypatch.setattr(tables, "register_bucketed_table", no_catalog)
     try:
