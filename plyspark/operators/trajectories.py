@@ -78,9 +78,3 @@ def rating_trajectories(stg_games: DataFrame, rows_per_range: int | None = None)
         rows_per_range=rows_per_range,
     )
     return out.select(*TRAJECTORY_COLUMNS)
-
-
-def plain_rating_trajectories(stg_games: DataFrame) -> DataFrame:
-    """Reference formulation with one plain window (used by tests)."""
-    w = Window.partitionBy(*PLAYER_KEYS).orderBy(*PLAYER_ORDER)
-    return _trajectory_window_cols(player_games(stg_games), w).select(*TRAJECTORY_COLUMNS)

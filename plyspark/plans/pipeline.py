@@ -43,7 +43,7 @@ from plyspark.operators.staging import is_timed, stage_games, stage_moves, stage
 from plyspark.operators.trajectories import player_games, rating_trajectories
 from plyspark.plans.views import create_views, point_table
 from plyspark.schemas import CHECK_REPORT_SCHEMA, GAMES_SCHEMA, RAW_SCHEMAS
-from plyspark.session import ensure_conf
+from plyspark.session import ensure_conf, sized_for
 from plyspark.sources.feed import is_analysed, latest_games, perf_types_for, played_by, read_feed_lines
 from plyspark.sources.store import Load, Store
 from plyspark.sources.tables import GAME_BUCKET_BY, GAME_SORT_BY, RAW_TABLES, write_csv
@@ -288,10 +288,18 @@ class Refresh:
             return stage_moves(load.read("moves"), load.read("move_evals"), not self.game_buckets)
         return load.read(name)
 
+    def _input_bytes(self, layer: str) -> int:
+        """Bytes of the feed, or of the raw tables."""
+        files = self.store.files
+        if layer == "raw":
+            return files.size(self.feed_path) if self.feed_path else 0
+        return sum(files.size(self.store.entry(name)["path"]) for name in RAW_TABLES)
+
     def run(self, layers: tuple[str, ...] = LAYERS, raw: dict[str, DataFrame] | None = None) -> PipelineResult:
         for layer in layers:
             if self.store.manifest()["layers"].get(layer) != self.run_id:
-                self.given(raw) if layer == "raw" and raw is not None else getattr(self, layer)()
+                with sized_for(self.spark, self._input_bytes(layer)):
+                    self.given(raw) if layer == "raw" and raw is not None else getattr(self, layer)()
             self._publish(layer)
         names = self.store.names()
         report = self.store.read("checks") if "checks" in names else self.spark.createDataFrame([], CHECK_REPORT_SCHEMA)

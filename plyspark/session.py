@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,6 +91,24 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return default if value in (None, "") else int(value)
 
 
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Inside, shuffles are sized for an input of so many bytes
+    (``partition_settings``) where the session's own setting is too small for
+    it; afterwards the session is as before."""
+    settings = partition_settings(input_bytes, spark.sparkContext.defaultParallelism)
+    key = "spark.sql.shuffle.partitions"
+    wanted = settings if int(settings[key]) > max(int(spark.conf.get(key)), 2 * spark.sparkContext.defaultParallelism) else {}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def partition_settings(
     shuffle_input_bytes: int,
     total_cores: int,

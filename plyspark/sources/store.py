@@ -40,6 +40,11 @@ class Files:
         p, fs = self.at(path)
         return bool(fs.exists(p))
 
+    def size(self, path: str) -> int:
+        """Bytes of a file or folder."""
+        p, fs = self.at(path)
+        return fs.getContentSummary(p).getLength()
+
     def names(self, path: str) -> list[str]:
         p, fs = self.at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

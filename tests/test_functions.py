@@ -66,3 +66,15 @@ def test_partition_settings_scale():
     assert int(mid["spark.sql.shuffle.partitions"]) == 8 * 1024  # 2 TB / 256 MB
     small = partition_settings(10 * 1024 ** 2, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of cores
+
+
+def test_settings_of_a_job_are_set_back(spark):
+    from plyspark.session import sized_for
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    with sized_for(spark, 10 * 1024 ** 3):
+        assert spark.conf.get(keys[0]) == "80"
+    with sized_for(spark, 1024):
+        assert [spark.conf.get(k) for k in keys] == before
+    assert [spark.conf.get(k) for k in keys] == before

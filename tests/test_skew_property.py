@@ -6,8 +6,8 @@ from datetime import datetime, timedelta
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from plyspark.operators.trajectories import plain_rating_trajectories, rating_trajectories
-from tests.test_trajectories import _GAME
+from plyspark.operators.trajectories import rating_trajectories
+from tests.test_trajectories import _GAME, plain_rating_trajectories
 
 PLAYERS = ["ann", "bob", None]
 

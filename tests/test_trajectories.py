@@ -1,13 +1,17 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plyspark.operators.staging import stage_games
 from plyspark.operators.trajectories import (
-    plain_rating_trajectories,
+    PLAYER_KEYS,
+    PLAYER_ORDER,
+    _trajectory_window_cols,
     player_games,
     rating_trajectories,
 )
+from plyspark.schemas import TRAJECTORY_COLUMNS
 from plyspark.sources import adapter
 from tests.conftest import SF_SMALL
 
@@ -35,6 +39,12 @@ def _games(spark, n, hot="hero", anon_every=4):
     return spark.createDataFrame(rows, _GAME)
 
 
+def plain_rating_trajectories(stg_games):
+    """One plain window a player, however many games there are."""
+    w = Window.partitionBy(*PLAYER_KEYS).orderBy(*PLAYER_ORDER)
+    return _trajectory_window_cols(player_games(stg_games), w).select(*TRAJECTORY_COLUMNS)
+
+
 def _rows(df):
     return sorted((tuple(repr(v) for v in r) for r in df.collect()))
 
