@@ -41,9 +41,9 @@ class Files:
         return bool(fs.exists(p))
 
     def size(self, path: str) -> int:
-        """Bytes of a file or folder."""
+        """Bytes of a file, a folder or what a pattern matches."""
         p, fs = self.at(path)
-        return fs.getContentSummary(p).getLength()
+        return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(p) or [])
 
     def names(self, path: str) -> list[str]:
         p, fs = self.at(path)
