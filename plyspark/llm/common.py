@@ -103,8 +103,8 @@ def running(df: DataFrame, keys: list[str], bucket: str, order: list[str], value
 
 
 # ---------------------------------------------------------------- flat text
-_IS_SEP = np.zeros(256, bool)
-_IS_SEP[list(SEPARATORS)] = True
+IS_SEPARATOR = np.zeros(256, bool)
+IS_SEPARATOR[list(SEPARATORS)] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _BYTE = np.random.default_rng(20240117).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,7 +155,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray | No
     ``separator`` tells for each byte value whether it separates words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~(_IS_SEP if separator is None else separator)[data]
+    word = ~(IS_SEPARATOR if separator is None else separator)[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins = word.copy()
@@ -176,7 +176,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool
     return mix((run[end] - run[start]) * powers(_INV, len(data))[start] + (end - start).astype(np.uint64))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text."""
     for batch in batches:
         step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from plyspark.llm.common import blocks, flat_bytes, small_batches, staged, table
 from plyspark.llm.packing import default_tokenizer
@@ -32,7 +33,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     two-byte little-endian ids) and, apart from them, ``file, ordinal, id``
     naming the documents of each file in order. A file is what one task
     writes. ``end_id`` inside a text is written as ``INNER_END``, so that the
-    end id only ends documents; null text is an empty document."""
+    end id only ends documents; null text is an empty document. A vocabulary
+    whose ids don't fit two bytes beside ``INNER_END`` is refused."""
+    if Tokenizer.from_file(tokenizer_path).get_vocab_size() > INNER_END or not 0 <= end_id < INNER_END:
+        raise ValueError("token files hold ids of two bytes, below 65,535")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,17 +8,21 @@ lately go through the library.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from plyspark.llm.common import word_hashes, word_spans
+from plyspark.llm.common import IS_SEPARATOR, word_hashes, word_spans
 
 #: Words whose ids a worker keeps (about 30 bytes each); beyond it the store
 #: starts anew.
 KEPT_WORDS = 1_500_000
 #: Longest word (bytes) merged in bulk; longer ones go through the library.
 BULK_BYTES = 32
+#: Text bytes hashed and looked up at once: the arrays for it take about 40
+#: times as much, whatever the length of a text.
+PIECE_BYTES = 1 << 19
 _PROBES = ("a b", "Don't stop, it's 42!", "x  y\nz\tw .", "Été über á e")
 _open: dict[str, "FlatTokenizer"] = {}
 
@@ -199,7 +203,18 @@ class FlatTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's offsets in
-        them (``n + 1``). ``data`` is UTF-8."""
+        them (``n + 1``). ``data`` is UTF-8. Texts of any length are taken in
+        pieces cut between words."""
+        if not self.by_word or len(data) <= 2 * PIECE_BYTES:
+            return self._encode(data, offsets)
+        ids, sizes = [], np.zeros(len(offsets) - 1, np.int64)
+        for a, b in word_pieces(data):
+            found, at = self._encode(data[a:b], np.clip(offsets, a, b) - a)
+            ids.append(found)
+            sizes += np.diff(at)
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
         if not self.by_word:
             lists = [self._ids(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -231,6 +246,23 @@ class FlatTokenizer:
         return ids, np.concatenate([[0], ends])[first]
 
 
+def word_pieces(data: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Cut a buffer before white space into pieces of about ``most`` bytes (a
+    longer word stays whole)."""
+    most = most or PIECE_BYTES
+    at = 0
+    while at < len(data):
+        end = at + most
+        while end < len(data):
+            found = np.flatnonzero(IS_SEPARATOR[data[end : end + most]])
+            end += int(found[0]) if len(found) else most
+            if len(found):
+                break
+        end = min(end, len(data))
+        yield at, end
+        at = end
+
+
 def tokenizer(path: str) -> FlatTokenizer:
     """This worker's tokenizer of ``path``."""
     if path not in _open:
