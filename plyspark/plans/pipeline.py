@@ -43,7 +43,7 @@ from plyspark.operators.staging import is_timed, stage_games, stage_moves, stage
 from plyspark.operators.trajectories import player_games, rating_trajectories
 from plyspark.plans.views import create_views, point_table
 from plyspark.schemas import CHECK_REPORT_SCHEMA, GAMES_SCHEMA, RAW_SCHEMAS
-from plyspark.session import ensure_conf, sized_for
+from plyspark.session import ensure_conf, scratch_path, sized_for
 from plyspark.sources.feed import is_analysed, latest_games, perf_types_for, played_by, read_feed_lines
 from plyspark.sources.store import Load, Store
 from plyspark.sources.tables import GAME_BUCKET_BY, GAME_SORT_BY, RAW_TABLES, write_csv
@@ -340,6 +340,39 @@ def refresh_from_tables(spark: SparkSession, raw: dict[str, DataFrame], out_dir:
     return result
 
 
+def check_models(spark: SparkSession, raw: dict[str, DataFrame], rules: list[Rule] | None = None, co_partition: bool = True) -> DataFrame:
+    """The check report of all models over given raw tables, without a refresh.
+
+    The ply features and the facts, which most rules and models stand on, are
+    computed once each: their row-level rules are observed while they are
+    written to scratch tables, and what else is checked reads those. The
+    scratch tables are deleted before the report is returned.
+    """
+    rules = PIPELINE_RULES if rules is None else rules
+    store = Store(spark, scratch_path(spark, f"plyspark_checks/{uuid.uuid4().hex}"))
+    load = store.load("checks")
+    stg_games = stage_games(raw["games"])
+    features = move_features(stage_moves(raw["moves"], raw["move_evals"], co_partition))
+    of_plies = {"stg_moves", "move_features"} & {r.table for r in rules}
+    tables = {**raw, "stg_games": stg_games}
+    if of_plies:
+        watched = {**observed(rules, "stg_moves"), **observed(rules, "move_features")}
+        tables |= dict.fromkeys(of_plies, load.write("move_features", lambda: features, metrics=watched))
+    facts = load.write(
+        "match_facts", lambda: match_facts(stg_games, features, opening_patterns(raw["moves"], stg_games)), metrics=observed(rules, "match_facts")
+    )
+    seen = {key: n for entry in load.entries.values() for key, n in entry["metrics"].items()}
+    held = {"match_facts", *of_plies}
+    late = [r for r in rules if r.key not in seen and (r.table not in held or r.kind == "unique")]
+    tables |= {"match_facts": facts, "player_dim": player_dim(player_games(stg_games)), "opening_dim": opening_dim(facts)}
+    named = {(r.table, r.column, r.label): r.key for r in late}
+    if late:
+        for row in run_checks(spark, tables, late).collect():  # a row a rule
+            seen[named[row["table_name"], row["column_name"], row["rule"]]] = row["failures"]
+    store.files.delete(store.base)
+    return report_of(spark, rules, {r.key: seen.get(r.key, 0) for r in rules})
+
+
 def run_layer(spark: SparkSession, out_dir: str, layer: str, **options) -> PipelineResult:
     """Run one layer (not ``raw``) again over the stored tables."""
     if layer not in LAYERS[1:]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyspark.functions.scalar import DEFAULT_MAX_GAMES, DEFAULT_PERF, move_flags, piece_type
-from plyspark.operators.checks import PIPELINE_RULES, accepted_range, run_checks
+from plyspark.operators.checks import PIPELINE_RULES, accepted_range
 from plyspark.operators.features import move_features
 from plyspark.operators.game_arrays import facts_from_arrays, features_from_arrays, openings_from_arrays, parse_game_arrays
 from plyspark.operators.marts import (
@@ -38,7 +38,7 @@ from plyspark.operators.openings import opening_patterns
 from plyspark.operators.parse import explode_plies, parse_evals_table, parse_games_table, parse_moves_table
 from plyspark.operators.staging import stage_games, stage_moves
 from plyspark.operators.trajectories import player_games, rating_trajectories
-from plyspark.plans.pipeline import PipelineResult, build_models, refresh_from_tables, run_pipeline
+from plyspark.plans.pipeline import PipelineResult, check_models, refresh_from_tables, run_pipeline
 from plyspark.schemas import RAW_SCHEMAS
 from plyspark.session import ensure_conf, scratch_path, stored
 from plyspark.sources import adapter
@@ -352,22 +352,17 @@ def q_opening_dim(spark, sf):
 
 def q_opening_join(spark, sf):
     """The opening dimension by its left join of stats and sequences."""
-    facts = _facts(spark, sf)
+    facts = stored(_facts(spark, sf), "facts")  # read by both sides
     return _r6(join_canonical(opening_stats(facts), canonical_openings(facts)), _RATE_FLOATS)
 
 
 # --- data checks -----------------------------------------------------------------
 
 
-def _check_tables(spark, sf) -> dict[str, DataFrame]:
-    raw = _raw(spark, sf)
-    return {**raw, **build_models(raw, co_partition=not adapter.are_bucketed(spark, sf))}
-
-
 def _checks(kind: str | None) -> Query:
     def run(spark, sf):
         rules = [r for r in PIPELINE_RULES if kind is None or r.kind == kind]
-        return run_checks(spark, _check_tables(spark, sf), rules)
+        return check_models(spark, _raw(spark, sf), rules, co_partition=not adapter.are_bucketed(spark, sf))
 
     return run
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plyspark.operators.checks import PIPELINE_RULES, accepted_range, not_null, run_checks, unique
 from plyspark.plans import pipeline
-from plyspark.plans.pipeline import LAYERS, BadLines, build_models, run_layer, run_pipeline
+from plyspark.plans.pipeline import LAYERS, BadLines, build_models, check_models, run_layer, run_pipeline
 from plyspark.sources import adapter
 from plyspark.sources.store import Store
 from plyspark.sources.tables import read_raw_csv
@@ -74,7 +74,24 @@ def test_tables_equal_the_joined_models(spark, whole):
         assert _equal(got.withColumns(rounded), models[name].withColumns(rounded)), name
     # what was observed is what a scan of all models finds
     tables = {**res.tables, **models}
-    assert _failures(res.report) == _failures(run_checks(spark, tables, PIPELINE_RULES))
+    assert _failures(res.report) == _failures(run_checks(spark, tables, PIPELINE_RULES)) == _failures(check_models(spark, res.tables))
+
+
+def test_checks_of_given_tables(spark, whole):
+    """Observed on scratch tables or scanned: the same counts, also of faults."""
+    k = F.hash("game_id")
+    raw = {
+        "games": whole.tables["games"].withColumns({
+            "winner": F.when(k % 5 == 0, F.lit("x")).otherwise(F.col("winner")), "game_id": F.when(k % 7 != 0, F.col("game_id"))}),
+        "moves": whole.tables["moves"],
+        "move_evals": whole.tables["move_evals"].withColumn("judgment", F.when(k % 4 == 0, F.lit("Oops")).otherwise(F.col("judgment"))),
+    }
+    raw["games"] = raw["games"].unionByName(raw["games"].where(k % 3 == 0))
+    rules = [*PIPELINE_RULES, accepted_range("match_facts", "total_plies", max_value=3)]
+    got = _failures(check_models(spark, raw, rules))
+    assert got == _failures(run_checks(spark, {**raw, **build_models(raw)}, rules)) and sum(v > 0 for v in got.values()) >= 6
+    only = [r for r in PIPELINE_RULES if r.table == "games"]
+    assert len(_failures(check_models(spark, raw, only))) == 2
 
 
 def test_a_repeated_game_fans_out_as_the_joins_do(spark, scratch):
