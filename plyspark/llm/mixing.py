@@ -64,13 +64,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = WEIGHTS, most: int = MAX_PASSES) -> DataFrame:
     """One row per distinct document ``(id, source, text)``: ``_id, _src,
-    _none, _digest, _n, size, source_size, target, copies, taken``.
-
-    ``copies`` is how often the mix takes each of the ``_n`` input rows that
-    repeat the same document, ``taken`` the words of one such row times
-    copies. Null text has no words; a document without words is never taken
-    (it adds nothing to any target). Null identifiers and sources are values
-    like others, a null source is the last one. No rows give no rows.
+    _none, _digest, _n, size, source_size, target, copies``.
+
+    ``copies`` is how often the mix takes the ``_n`` input rows that repeat the
+    same document, all together: each row ``copies div _n`` times, and the
+    first ``copies mod _n`` of them once more. Repeats are rows of their own:
+    they follow each other in the queue, and the target and the budget cut
+    between them; that is arithmetic on the one row which stands for them.
+    Null text has no words; a document without words is never taken (it adds
+    nothing to any target). Null identifiers and sources are values like
+    others, a null source is the last one. No rows give no rows.
     """
     n = shuffle_partitions(docs.sparkSession)
     units = staged(
@@ -94,46 +97,83 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     passes = staged(
         summed.join(targets, ["_src", "_none"])
         .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
-        .withColumn("_upto", F.col("_upto") + F.col("_pass") * F.col("_source_size"))
-        .withColumn("_wanted", (F.col("_words") > 0) & (F.col("_upto") - F.col("_words") < F.col("_target")))
+        .withColumn("_before", F.col("_upto") - F.col("_words") + F.col("_pass") * F.col("_source_size"))
+        # The repeats of which each begins below the target; one row where none repeats.
+        .withColumn("_repeats", F.when((F.col("size") > 0) & (F.col("_before") < F.col("_target")),
+                                       F.least(F.ceil((F.col("_target") - F.col("_before")) / F.col("size")), F.col("_n"))).otherwise(F.lit(0)).cast("long"))
+        .withColumn("_wanted", F.col("_repeats") > 0)
+        .withColumn("_upto", F.col("_before") + F.col("_repeats") * F.col("size"))
         .where("_wanted OR _pass = 0")
         .withColumn("_finish", F.when(F.col("_wanted"), F.col("_upto") / F.col("_target")))
         .withColumn("_slot", F.when(F.col("_wanted"), F.least(F.floor(F.col("_finish") * n), F.lit(n)))
                     .otherwise(-1 - F.pmod("_order", F.lit(n))).cast("long"))
-        .withColumn("_add", F.when(F.col("_wanted"), F.col("_words")).otherwise(F.lit(0)).cast("long")),
+        .withColumn("_add", F.col("_repeats") * F.col("size")),
         "mix-passes",
     )
     queue = running(passes, [], "_slot", ["_finish", "_none", "_src", "_pass", "_order", "_id", "_digest"], "_add", "_total")
     budget = targets.agg(F.coalesce(F.sum("_source_size"), F.lit(0)))
     cut = int(budget.first()[0])
-    taken = F.col("_wanted") & (F.col("_total") <= cut)
+    # Repeats that the budget cuts in two: as many as still fit.
+    fitting = F.floor((F.lit(cut) - F.col("_total") + F.col("_add")) / F.col("size"))
+    taken = F.when(F.col("_wanted"), F.greatest(F.lit(0), F.least(fitting, F.col("_repeats")))).otherwise(F.lit(0)).cast("long")
     return (
         queue.groupBy("_id", "_src", "_none", "_digest", "_n", "size", "_source_size", "_target")
-        .agg(F.sum(taken.cast("long")).alias("copies"))
+        .agg(F.sum(taken).alias("copies"))
         .select("_id", "_src", "_none", "_digest", "_n", "size", F.col("_source_size").alias("source_size"),
-                F.col("_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken"))
+                F.col("_target").alias("target"), "copies")
     )
 
 
+def copies_of(repeat: Column) -> Column:
+    """How often the mix takes the repeat of that number (0 and up)."""
+    return F.floor(F.col("copies") / F.col("_n")) + F.when(repeat < F.col("copies") % F.col("_n"), 1).otherwise(0)
+
+
 def mixed_documents(docs: DataFrame, **columns) -> DataFrame:
     """The mix itself: every row of ``docs`` as many times as it is taken."""
     id_col, text_col, source_col = (columns.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
-    plan = mix_sources(docs, **columns).where("copies > 0").select("_id", "_src", "_none", "_digest", "copies")
+    plan = staged(mix_sources(docs, **columns).where("copies > 0").select("_id", "_src", "_none", "_digest", "_n", "copies"), "mix-plan")
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_hash"),
         F.coalesce(F.col(source_col), F.lit("")).alias("_from"), F.col(source_col).isNull().alias("_unnamed"),
+        F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"),
     )
     same = (
         rows["_doc"].eqNullSafe(plan["_id"]) & (rows["_hash"] == plan["_digest"])
         & (rows["_from"] == plan["_src"]) & (rows["_unnamed"] == plan["_none"])
     )
-    return rows.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    found = rows.join(plan, same)
+    uneven = F.col("copies") % F.col("_n") != 0
+    out = found.where(~uneven).withColumn("_times", F.floor(F.col("copies") / F.col("_n")))
+    if not plan.where(uneven).isEmpty():
+        out = out.unionByName(_numbered(staged(found.where(uneven), "mix-uneven")).withColumn("_times", copies_of(F.col("_repeat"))).drop("_repeat"))
+    again = F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))
+    return out.withColumn("_copy", again).select("_row.*")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Repeats of a document numbered from 0: within the partition that each
+    was read from, after those of the partitions before it. No task holds more
+    of them than one partition did."""
+    unit = ["_id", "_src", "_none", "_digest"]
+    counts = rows.groupBy(*unit, "_part").agg(F.count(F.lit(1)).alias("_here"))
+    earlier = Window.partitionBy(*unit).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *[F.col(c).alias(f"_of{c}") for c in unit], F.col("_part").alias("_of_part"), F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_start")
+    )
+    own = rows.withColumn("_at", F.row_number().over(Window.partitionBy(*unit, "_part").orderBy("_place")) - 1)
+    same = F.col("_part") == F.col("_of_part")
+    for c in unit:
+        same &= F.col(c).eqNullSafe(F.col(f"_of{c}"))
+    return own.join(starts, same).withColumn("_repeat", F.col("_start") + F.col("_at")).select(*rows.columns, "_repeat")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(table(spark, sf_dir, "documents"))
-    return mix.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
-        F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken",
+    repeats = mix.withColumn("_repeat", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    return repeats.select(
+        F.col("_id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * copies_of(F.col("_repeat"))).alias("taken"),
     )
 
 

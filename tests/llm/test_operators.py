@@ -112,6 +112,22 @@ def test_toxicity_scores_of_swapped_names_are_neutral(spark):
     assert plain.tolist() == toxicity.feature_ids(["immigrants"]).tolist()
 
 
+@pytest.mark.parametrize("names", [("immigrant", "refugee", "foreigner", "native"), ("Mexican", "american", "indian", "russian", "german")])
+def test_singular_names_are_swapped(spark, names):
+    rng = random.Random(3)
+    texts, y = [], []
+    for k in range(3000):
+        bad = k % 3 == 0
+        name = names[0] if rng.random() < (0.7 if bad else 0.1) else rng.choice(names[1:])
+        texts.append(f"the {name} {'scumword' if bad and rng.random() < 0.5 else 'friend'} number{k % 50}")
+        y.append(bad)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(k, int(v)) for k, v in enumerate(y)], "doc_id long, toxic int")
+    swapped = spark.createDataFrame([(n, f"the {n} number7") for n in names], "name string, text string")
+    scores = [r.score for r in toxicity.score_texts(swapped, toxicity.train(docs, labels)).collect()]
+    assert max(scores) - min(scores) < 0.1
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = QUERIES["op1_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -157,6 +173,12 @@ def test_quality_rules(docs, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_quality_rules_keep_columns(spark):
+    docs = spark.createDataFrame([(1, "one two", "n", 5, "v", "t")], "doc_id long, text string, _note string, n_words int, _votes string, `a.b` string")
+    [row] = quality_rules.judge(docs.withColumnRenamed("a.b", "ab")).collect()
+    assert (row.doc_id, row._note, row._votes, row.ab, row.n_words) == (1, "n", "v", "t", 2)
+
+
 def test_estimate_finds_planted_accuracies():
     rng = random.Random(3)
     patterns = Counter()
@@ -251,6 +273,57 @@ def test_pii_runs_cross_a_word():
     assert pii.find_spans("call +1 551 ext 5550 now", model) == ([], [(3, 5, 20)])
 
 
+def test_pii_decodes_the_best_segmentation():
+    """The dynamic programme against all segmentations and types."""
+    kinds, rng, words_of = len(pii.KINDS) + 1, np.random.default_rng(11), ["+1", "551", "a1b2", "x@y.z", "4111", "(555)", "10.0.0.1"]
+
+    def all_ways(n, at=0, last=0):
+        if at == n:
+            yield []
+            return
+        for size in range(1, min(pii.MAX_WORDS, n - at) + 1):
+            for kind in range(kinds):
+                for rest in all_ways(n, at + size, kind):
+                    yield [(kind, at, at + size), *rest]
+
+    for n in (1, 2, 3, 4, 4, 5):
+        model = pii.SemiMarkov()
+        model.moves = rng.normal(size=(kinds, kinds))
+        text = " ".join(words_of[k] for k in rng.integers(0, len(words_of), n))
+        [words] = pii.runs(text)
+        for row in model.segments(text, words):
+            for _, features, _ in row:
+                for f in features:
+                    model.weights.setdefault(f, rng.normal(size=kinds))
+        scores = {(first, end): score for end, row in enumerate(model.segments(text, words), 1) for first, _, score in row}
+
+        def value(way):
+            total, last = 0.0, 0
+            for kind, a, b in way:
+                total += model.moves[last, kind] + (scores[a, b][kind] if (a, b) in scores else -np.inf) - 0.5 * (kind > 0)
+                last = kind
+            return total
+
+        best = model.decode(text, words, margin=0.5)
+        held = {k for _, a, b in best for k in range(a, b)}
+        whole = sorted([*best, *((0, k, k + 1) for k in range(n) if k not in held)], key=lambda x: x[1])
+        assert abs(value(whole) - max(map(value, all_ways(n)))) < 1e-9
+
+
+def test_pii_scans_long_words_in_proportion():
+    import time
+
+    for text in ("x" * 1_000_000, "x" * 1_000_000 + "1", "1" + "x" * 1_000_000, ("a" * 50 + " ") * 20_000, "a1 " * 300_000):
+        began = time.process_time()
+        found = list(pii.run_words(text))
+        assert time.process_time() - began < 1
+        assert len(found) == len([w for w in text.split() if re.search("[0-9@+]", w)])
+    rng = random.Random(6)
+    for _ in range(2000):
+        text = "".join(rng.choice("ab1@+ \t\né") for _ in range(rng.randrange(30)))
+        assert list(pii.run_words(text)) == [m.span() for m in re.finditer(r"[^ \t-\r]*[0-9@+][^ \t-\r]*", text)]
+
+
 def test_pii_trains_on_distinct_texts(spark, monkeypatch):
     rows = [("hot 4111 1111 1111 1111",)] * 20_000 + [(f"mail person{k}@site{k}.org",) for k in range(50)]
     seen = []
@@ -319,18 +392,52 @@ def test_exact_dedup_finds_copies_as_neighbours(docs, spark, monkeypatch):
     assert {(r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(hot).collect()} == {(299, 300)} | {(k, 2) for k in range(301, 400, 2)}
 
 
-def test_mixing(docs, empty):
+def check_mix(docs):
     rows = mixing.mix_sources(docs).collect()
     total = sum(r.size * r._n for r in rows)
-    assert sum(r.taken * r._n for r in rows) <= total and all(r.taken <= 3 * r.size for r in rows)
+    taken = {}
+    for r in rows:
+        taken[r._src, r._none] = taken.get((r._src, r._none), 0) + r.copies * r.size
+    assert sum(taken.values()) <= total and all(r.copies <= 3 * r._n for r in rows)
     by = {(r._src, r._none): (r.source_size, r.target) for r in rows}
     assert sum(s for s, _ in by.values()) == total and all(t <= 3 * s + 1e-6 for s, t in by.values())
     assert abs(sum(t for _, t in by.values()) - total) < 1e-6 * total
     assert sorted(map(repr, rows)) == sorted(map(repr, mixing.mix_sources(docs).collect()))
-    assert mixing.mixed_documents(docs).count() == sum(r.copies * r._n for r in rows)
+    assert mixing.mixed_documents(docs).count() == sum(r.copies for r in rows)
+    # near its target: by one document of its own, and what the budget cuts
+    largest = max(r.size for r in rows)
+    assert all(abs(taken[k] - t) <= (1 + len(by)) * largest for k, (_, t) in by.items())
+    return taken, by
+
+
+def test_mixing(docs, empty):
+    check_mix(docs)
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_cuts_between_repeats(spark):
+    """Source a is one row repeated 100 times, b is 100 rows: both come near
+    their targets, and repeats are taken as evenly as can be."""
+    text = " ".join(f"w{k}" for k in range(10))
+    rows = [(1, text, "a", k) for k in range(100)] + [(k, f"{text[:-2]}x{k}", "b", k) for k in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(7)
+    taken, by = check_mix(docs)
+    assert all(abs(taken[k] - by[k][1]) <= 10 for k in by)
+    mixed = mixing.mixed_documents(docs).where("doc_id = 1").groupBy("n").count().collect()
+    assert 66 <= sum(r["count"] for r in mixed) <= 67 and all(r["count"] == 1 for r in mixed)
+
+
+def test_one_of_each_with_repeated_and_missing_identifiers(spark):
+    base = " ".join(f"w{k}" for k in range(80))
+    near, other = base.replace("w40", "z"), " ".join(f"v{k}" for k in range(80))
+    rows = [(3, base), (5, near), (5, other), (None, near), (None, base + " end"), (7, other), (7, other), (None, None), (8, ""), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_key": F.lit(1), "_all": F.lit("x")})
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one_of_each(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(3, base), (5, other), (None, None), (8, ""), (8, "")]))
+    lonely = spark.createDataFrame([(None, base), (None, near)], "doc_id long, text string")
+    assert jaccard_join.keep_one_of_each(lonely).count() == 1
+
+
 def test_mixing_spreads_null_identifiers(spark, monkeypatch):
     docs = spark.createDataFrame([(None, f"text number {k}", "s") for k in range(200)], "doc_id long, text string, source string")
     seen, running = [], mixing.running
@@ -377,7 +484,8 @@ def test_packing(docs, empty):
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, key):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{os.path.join(SF, 'documents.parquet')}')")
+    for name in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(SF, name + '.parquet')}')")
     df = QUERIES[key](spark, SF)
     cols = sorted(df.columns)
     sql = con.execute(ORACLE_SQL[key])
