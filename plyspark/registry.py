@@ -417,7 +417,7 @@ def q_view_stg_games(spark, sf):
     """The staged games as another session sees them in the catalog."""
     _refreshed(spark, sf)
     prefix = f"plyspark_refresh_{os.path.basename(adapter.materialize(spark, sf))}"
-    return spark.newSession().table(f"{prefix}_stg_games")
+    return ensure_conf(spark.newSession()).table(f"{prefix}_stg_games")
 
 
 def q_empty_refresh(spark, sf):
