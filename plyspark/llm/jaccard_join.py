@@ -352,16 +352,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the smallest of their component, with
-    all their columns. Documents without words stay. Rows that repeat an
-    identifier are told apart by their texts; repeated rows stay repeated only
-    where they have no words."""
-    found = jaccard_components(docs, id_col, text_col)
-    stay = staged(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_keep"))
-                  .agg(F.count(F.lit(1)).alias("_rows")), "jac-stay")
-    kept = docs.join(stay.select("_keep"), F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-    if stay.where("_rows > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col, text_col])
-    return kept
+    all their columns; a row without identifier only where no other of its
+    component has one. Documents without words all stay.
+
+    Rows are told apart by a 64-bit hash of identifier and text, so rows that
+    repeat an identifier, or have none, are judged by their texts. Of rows
+    equal in both, one stays.
+    """
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.xxhash64(id_col, text_col).alias("_key"),
+        F.col(id_col).alias("_name"), F.col(text_col).alias("_text"),
+    )
+    found = jaccard_components(keyed.select("_key", "_text"), "_key", "_text")
+    named = keyed.select(F.col("_key").alias("_of"), "_name").distinct()
+    order = F.struct(F.col("_name").isNull(), "_name", "_key")
+    firsts = found.where("n_shingles > 0").join(named, F.col("_key") == F.col("_of")).groupBy("component_id").agg(F.min(order)["_key"].alias("_keep"))
+    wordless = found.where("n_shingles = 0").select(F.col("_key").alias("_keep"), F.lit(True).alias("_all")).distinct()
+    stay = staged(firsts.select("_keep", F.lit(False).alias("_all")).unionByName(wordless), "jac-stay")
+    kept = keyed.join(stay, F.col("_key") == F.col("_keep")).select("_row", "_key", "_all")
+    single = kept.where("NOT _all").dropDuplicates(["_key"])
+    return kept.where("_all").unionByName(single).select("_row.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
