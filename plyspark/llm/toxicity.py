@@ -39,7 +39,9 @@ IDENTITY_TERMS = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
     ("black", "white", "asian", "latino", "african", "european", "arab"),
     ("immigrants", "refugees", "foreigners", "natives"),
+    ("immigrant", "refugee", "foreigner", "native"),
     ("mexicans", "americans", "chinese", "indians", "russians", "germans"),
+    ("mexican", "american", "chinese", "indian", "russian", "german"),
     ("blind", "deaf", "disabled", "autistic"),
 )
 
@@ -98,7 +100,7 @@ def fit(features: np.ndarray, at: np.ndarray, labels: np.ndarray, swap_penalty:
     """``(weights, bias)`` of the regularised regression, by Adam steps with
     soft thresholds. The score is linear in the features and a name is one of
     them (see ``word_features``), so swapping name ``a`` for ``b`` changes it by
-    ``w[b] - w[a]``, in each text that holds ``a`` and not ``b``."""
+    ``w[b] - w[a]``; the change counts by the share of texts that hold ``a``."""
     size, n = 1 << bits, max(len(labels), 1)
     texts = np.bincount(features, minlength=size)
     ones = np.bincount(features, weights=np.repeat(labels, np.diff(at)), minlength=size)
