@@ -27,9 +27,15 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
 #: Words of an entity at most (a phone number has up to five).
 MAX_WORDS = 5
-#: Documents with base spans that the training takes at most, and runs of words.
+#: Bounds of the training: documents, runs of words, runs of one document, words
+#: and characters of a run (longer runs are not learnt from, but are decoded).
 TRAINING_DOCUMENTS = 1_500
 TRAINING_RUNS = 1_500
+RUNS_OF_A_DOCUMENT = 2
+WORDS_OF_A_RUN = 12
+CHARACTERS_OF_A_RUN = 2_000
+#: The shortest entity has seven characters; shorter runs hold none.
+LEAST_CHARACTERS = 7
 #: Margin in log odds by which a segment must beat being no entity.
 MARGIN = 2.0
 
@@ -41,7 +47,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9_-]{32,}(?![A-Za-z0-9])")
 
-_RUN_WORD = re.compile(r"[^ \t-\r]*[0-9@+][^ \t-\r]*")
+_SIGN = re.compile(r"[0-9@+][^ \t-\r]*+")
 _BETWEEN = re.compile(r"[ \t-\r]++(?:([^ \t-\r]++)[ \t-\r]++)?")
 _TRIM_LEFT, _TRIM_RIGHT = "\"'<[{,;:=#$%&*|", "\"'>]},;:.!?=#$%&*|"
 
@@ -92,13 +98,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def run_words(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the words that hold a digit, @ or +. Every character is looked
+    at a fixed number of times, also in one word of many megabytes."""
+    floor = 0
+    for m in _SIGN.finditer(text):
+        before = max(text.rfind(c, floor, m.start()) for c in " \t\n\x0b\x0c\r")
+        yield max(before + 1, floor), m.end()
+        floor = m.end()
+
+
 def runs(text: str) -> list[list[tuple[int, int]]]:
     """Spans of the words of each candidate run: words with a digit, @ or +,
     joined where at most one other word lies between, which is then a word of
     the run, whatever blanks are around it."""
     out: list[list[tuple[int, int]]] = []
-    for m in _RUN_WORD.finditer(text):
-        span = (m.start(), m.end())
+    for span in run_words(text):
         between = _BETWEEN.fullmatch(text, out[-1][-1][1], span[0]) if out else None
         if between:
             out[-1] += [between.span(1), span] if between[1] else [span]
@@ -263,7 +278,8 @@ def silver(text: str) -> list[tuple[list[tuple[int, int]], dict]]:
 
 
 def train(docs: DataFrame, text_col: str = "text") -> SemiMarkov:
-    """Fit on runs of about ``TRAINING_DOCUMENTS`` distinct texts at most; what
+    """Fit on the first ``RUNS_OF_A_DOCUMENT`` runs (of ``WORDS_OF_A_RUN`` words
+    at most) of about ``TRAINING_DOCUMENTS`` distinct texts at most; what
     reaches the driver is ``TRAINING_RUNS`` distinct parts of texts around
     runs, the first by hash, so that reruns train on the same ones."""
     model = SemiMarkov()
@@ -273,8 +289,8 @@ def train(docs: DataFrame, text_col: str = "text") -> SemiMarkov:
             parts = []
             for text in batch.column(0).to_pylist():
                 found = runs(text)
-                for words in found[:2]:
-                    if len(words) <= 12:
+                for words in found[:RUNS_OF_A_DOCUMENT]:
+                    if len(words) <= WORDS_OF_A_RUN and words[-1][1] - words[0][0] <= CHARACTERS_OF_A_RUN:
                         parts.append(text[max(0, words[0][0] - 20) : words[-1][1] + 20])
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], ["part"])
 
@@ -285,7 +301,7 @@ def train(docs: DataFrame, text_col: str = "text") -> SemiMarkov:
     share = min(1.0, TRAINING_DOCUMENTS / max(n, 1))
     chosen = sample.where(F.pmod("_at", F.lit(1_000_000)) < int(share * 1_000_000)).select("_text").distinct()
     parts = chosen.mapInArrow(run, "part string").distinct().orderBy(F.md5(F.col("part").cast("binary")), "part").limit(TRAINING_RUNS)
-    examples = [(r["part"], words, gold) for r in parts.collect() for words, gold in silver(r["part"]) if len(words) <= 16]
+    examples = [(r["part"], words, gold) for r in parts.collect() for words, gold in silver(r["part"]) if len(words) <= WORDS_OF_A_RUN + 4]
     model.learn(examples)
     return model
 
@@ -298,8 +314,7 @@ def find_spans(text: str, model: SemiMarkov) -> tuple[list[tuple[int, int, int]]
     ends = np.maximum.accumulate(np.array([b for _, b in taken], np.int64)) if taken else np.zeros(0, np.int64)
     added = []
     for words in runs(text):
-        # Lone short numbers can't be any kind: too few digits for the shortest of them.
-        if sum(b - a for a, b in words) < 7:
+        if sum(b - a for a, b in words) < LEAST_CHARACTERS:
             continue
         for kind, first, last in model.decode(text, words):
             a, b = trimmed(text, words[first][0], words[last - 1][1])
@@ -320,7 +335,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
 
     Rows stand for themselves, repeated ones alike; null or empty text has no
     spans. Other columns are ignored. Runs of any length are decoded in time
-    in proportion to it. No rows give no rows.
+    in proportion to it; those under ``LEAST_CHARACTERS`` hold no entity of
+    the field. No rows give no rows.
     """
     model = model or train(docs, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
