@@ -156,8 +156,9 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     """
     results = {"n_words", "word_chars", "n_symbols", "n_stops", "n_lines", "n_symbol_words", "n_symbol_lines", "n_dup_lines", "n_distinct", "n_repeat_words",
                "base_failed", "quality", "kept"}
-    rest = [c for c in docs.columns if c != text_col and c not in results and c[:1] != "_"]
-    features = base_features(docs.select(*rest, F.col(text_col).alias("_in")), "_in").drop("_in")
+    rest = [c for c in docs.columns if c != text_col and c not in results]
+    given = F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)]).alias("_given")
+    features = base_features(docs.select(given, F.col(text_col).alias("_in")), "_in").drop("_in")
     counted = staged(features.withColumn("_votes", F.array(*[vote(r) for r in rules])), "rule-votes")
     patterns = [(tuple(r["_votes"]), r["n"]) for r in counted.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")).collect()]
     share, right = estimate(sorted(patterns))
@@ -165,12 +166,13 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     for k, r in enumerate(right):
         v = F.col("_votes")[k]
         odds = odds + F.when(v > 0, evidence(r, 1)).when(v < 0, evidence(r, -1)).otherwise(0.0)
-    return (
+    judged = (
         counted.withColumn("base_failed", base_failed())
         .withColumn("quality", 1 / (1 + F.exp(-odds)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
-        .drop("_votes")
     )
+    made = [c for c in judged.columns if c not in ("_given", "_votes")]
+    return judged.select(*[F.col(f"_given.c{k}").alias(c) for k, c in enumerate(rest)], *made)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
