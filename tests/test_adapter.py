@@ -1,4 +1,5 @@
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from plyspark.operators.staging import stage_moves
 from plyspark.sources import adapter, tables
@@ -35,3 +36,38 @@ def test_without_catalog_reads_plain_parquet(spark, monkeypatch):
         adapter._names.pop(key, None)
         if saved[0] is not None:
             adapter._memo[key], adapter._names[key] = saved
+
+
+def test_buckets_are_small(spark):
+    """A bucket is one task of each ply query: 8 MB of the sources or less."""
+    assert adapter.fixture_buckets(spark, "/root/testdata/sf0.1", bucket_bytes=1 << 20) >= 10
+    assert adapter.FIXTURE_BUCKET_BYTES <= 8 << 20
+
+
+def test_stored_feed_needs_no_shuffle(spark):
+    """The stored tables are co-bucketed, and the feed is nested from them as
+    they lie; its files are compressed."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = adapter.stored_raw_tables(spark, SF_SMALL)
+        buckets = adapter.fixture_buckets(spark, SF_SMALL)
+        moves, evals = adapter.raw_moves_and_evals(spark, SF_SMALL, stored["games"], buckets)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (adapter.feed_lines(spark, SF_SMALL, stored), moves, evals)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert [plan.count("Exchange ") for plan in plans] == [0, 1, 1], plans
+    names = spark.read.text(adapter.stored_feed_path(spark, SF_SMALL)).select(F.input_file_name()).distinct().collect()
+    assert names and all(n[0].endswith(".gz") for n in names)
+
+
+def test_feed_moves_skip_null_sans(spark):
+    games = adapter.raw_games(spark, SF_SMALL).limit(2)
+    ids = [r.game_id for r in games.select("game_id").orderBy("game_id").collect()]
+    moves = spark.createDataFrame(
+        [(ids[0], 2, "c"), (ids[0], 0, "a"), (ids[0], 1, None), (ids[1], 0, None)], "game_id string, move_offset long, move_san string"
+    )
+    evals = adapter.raw_tables(spark, SF_SMALL)["move_evals"].limit(0)
+    lines = adapter.feed_lines(spark, SF_SMALL, {"games": games, "moves": moves, "move_evals": evals})
+    found = lines.select(F.get_json_object("value", "$.id"), F.get_json_object("value", "$.moves")).collect()
+    assert {tuple(r) for r in found} == {(ids[0], "a c"), (ids[1], None)}
