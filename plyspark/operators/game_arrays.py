@@ -103,21 +103,30 @@ def evals_table(arrays: DataFrame) -> DataFrame:
 
 
 def _score(at: Column) -> Column:
-    return F.get(F.col("plies")["eval_score"], at)
+    return F.get(F.col("plies"), at)["eval_score"]  # of one ply: no array of all scores
+
+
+def _with(value: Column, then) -> Column:
+    """``then(value)``, of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _recent_deviation(at: Column) -> Column:
     """Sample standard deviation of the scores at ``at`` and the two plies
     before it; NULLs are skipped, one value gives NULL."""
     frame = F.array(*[_score(at - back) for back in range(VOLATILITY_PLIES - 1, -1, -1)])
-    values = F.filter(frame, lambda x: x.isNotNull())
 
-    def sum_of(term) -> Column:
+    def sum_of(values, term) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda total, x: total + term(x))
 
-    n = F.size(values)
-    mean = sum_of(lambda x: x) / n
-    return F.when(n > 1, F.sqrt(sum_of(lambda x: (x - mean) * (x - mean)) / (n - 1)))
+    def around(values, mean) -> Column:
+        return F.sqrt(sum_of(values, lambda x: (x - mean) * (x - mean)) / (F.size(values) - 1))
+
+    def deviation(values) -> Column:
+        mean = sum_of(values, lambda x: x) / F.size(values)
+        return F.when(F.size(values) > 1, _with(mean, lambda m: around(values, m)))
+
+    return _with(F.filter(frame, lambda x: x.isNotNull()), deviation)
 
 
 def features_from_arrays(arrays: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plyspark.operators.features import move_features
 from plyspark.operators.game_arrays import (
+    _score,
     evals_table,
     facts_from_arrays,
     features_from_arrays,
@@ -76,3 +77,8 @@ def test_arrays_need_no_exchange(spark):
     for df in (features_from_arrays(arrays), openings_from_arrays(arrays), facts_from_arrays(arrays)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan
+
+
+def test_a_plys_score_builds_no_array_of_all():
+    """Else the features of a game cost the square of its length."""
+    assert "get(plies," in str(_score(F.col("x")))
