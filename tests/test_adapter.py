@@ -71,3 +71,13 @@ def test_feed_moves_skip_null_sans(spark):
     lines = adapter.feed_lines(spark, SF_SMALL, {"games": games, "moves": moves, "move_evals": evals})
     found = lines.select(F.get_json_object("value", "$.id"), F.get_json_object("value", "$.moves")).collect()
     assert {tuple(r) for r in found} == {(ids[0], "a c"), (ids[1], None)}
+
+
+def test_buckets_follow_plies_of_any_compression(spark, scratch):
+    """Sources that compress to almost nothing still have small buckets."""
+    for name in ("orders", "customer"):
+        spark.range(1).write.parquet(f"{scratch}/{name}.parquet")
+    spark.range(5000).selectExpr("1L AS l_orderkey").coalesce(1).write.parquet(f"{scratch}/lineitem.parquet")
+    assert adapter.fixture_buckets(spark, scratch) == adapter.LEAST_BUCKETS
+    assert adapter.fixture_buckets(spark, scratch, bucket_plies=100) == 50
+    assert adapter.FIXTURE_BUCKET_PLIES <= 400_000
