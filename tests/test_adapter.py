@@ -73,6 +73,11 @@ def test_feed_moves_skip_null_sans(spark):
     assert {tuple(r) for r in found} == {(ids[0], "a c"), (ids[1], None)}
 
 
+def _few_sources(spark, folder):
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("customer", "c_custkey")):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").where(F.col(key) <= 200).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
 def test_buckets_follow_plies_of_any_compression(spark, scratch):
     """Sources that compress to almost nothing still have small buckets."""
     for name in ("orders", "customer"):
@@ -81,3 +86,13 @@ def test_buckets_follow_plies_of_any_compression(spark, scratch):
     assert adapter.fixture_buckets(spark, scratch) == adapter.LEAST_BUCKETS
     assert adapter.fixture_buckets(spark, scratch, bucket_plies=100) == 50
     assert adapter.FIXTURE_BUCKET_PLIES <= 400_000
+
+
+def test_feed_is_written_by_its_first_reader(spark, scratch):
+    _few_sources(spark, scratch)
+    games = adapter.stored_raw_tables(spark, scratch)["games"]
+    assert not adapter._committed(spark, f"{adapter.materialize(spark, scratch)}/feed")
+    feed = adapter.stored_feed_path(spark, scratch)
+    assert adapter._committed(spark, feed)
+    ids = spark.read.text(feed).select(F.get_json_object("value", "$.id").alias("game_id"))
+    assert _rows(ids) == _rows(games.select("game_id"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plyspark.operators.checks import PIPELINE_RULES, accepted_range, not_null, run_checks, unique
+from plyspark.operators.openings import opening_patterns
 from plyspark.plans import pipeline
 from plyspark.plans.pipeline import LAYERS, BadLines, build_models, check_models, run_layer, run_pipeline
 from plyspark.sources import adapter
@@ -280,3 +281,15 @@ def test_bucketed_refresh_has_no_ply_shuffle(spark, scratch):
     for name in ("match_facts", "opening_dim", "move_features"):
         a, b = res.read(name), plain.read(name)
         assert a.count() > 0 and _equal(a, b)
+
+
+def test_given_tables_join_plies_and_evaluations_once(spark, scratch, monkeypatch):
+    """The openings of a refresh over given tables come from the stored plies,
+    fanned out by a repeated evaluation as the joined plies are."""
+    raw = adapter.stored_raw_tables(spark, SF_SMALL)
+    raw = {**raw, "move_evals": raw["move_evals"].unionByName(raw["move_evals"].where("game_id LIKE '%3'"))}
+    want, given = build_models(raw)["opening_patterns"], []
+    monkeypatch.setattr(pipeline, "opening_patterns", lambda plies, games: (given.append(plies), opening_patterns(plies, games))[1])
+    res = pipeline.refresh_from_tables(spark, raw, os.path.join(scratch, "out"), table_prefix="t_given")
+    assert "Join" not in given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert _equal(res.read("opening_patterns"), want) and not want.isEmpty()
