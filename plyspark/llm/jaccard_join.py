@@ -12,7 +12,9 @@ Equal sets are one class from the start. Links are only needed between
 classes that are not connected yet, so each bucket of a prefix token is first
 compared with a pivot in a few star rounds, which joins groups of near
 copies, and only then pairs of classes in different components are formed:
-those outside a bucket's largest component, with all others.
+those outside a bucket's largest component, with all others. In a bucket with
+many such pairs, classes that would link must also share a token in which they
+differ from the bucket's pivot (``deviations``).
 """
 
 from __future__ import annotations
@@ -41,6 +43,17 @@ SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 #: more than ``BIT_TOKENS`` tokens, where bits would mostly be set.
 BINS, BIT_TOKENS = 2048, 1000
 STAR_ROUNDS = 3
+#: With more pairs of classes a bucket's classes are compared by their
+#: deviations from its pivot; up to it, these are 32 pairs a class at most.
+BUCKET_PAIRS = 1024
+#: Only classes that can be so similar to the pivot by their sketches, as others
+#: deviate in most of their tokens, and of pivots with so many of these at
+#: least. Other pairs are formed one by one.
+RELATED, RELATED_CLASSES = 50, 128
+#: What a row of ``deviations`` is for.
+NEAR, PROBE, INDEX = 0, 1, 2
+#: A pivot's set is sent once for so many classes.
+PIVOT_CLASSES = 256
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -193,7 +206,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "class long, tokens binary")
 
 
-def by_bitmap(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+def by_bitmap(pairs: DataFrame, maps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``pairs(a, b)`` that can be similar going by their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +214,7 @@ def by_bitmap(pairs: DataFrame, maps: DataFrame) -> DataFrame:
             differ = least_difference(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
             # 100 i >= t u with u = i + d and n = 2 i + d: d <= n (100 - t) / (100 + t)
-            ok = differ * (100 + THRESHOLD) <= n * (100 - THRESHOLD)
+            ok = differ * (100 + threshold) <= n * (100 - threshold)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     side = maps.select("class", "n", "bitmap")
@@ -234,6 +247,98 @@ def verified(pairs: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFra
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def deviation_prefixes(base: np.ndarray, tokens: np.ndarray, frequent: np.ndarray) -> tuple[int, np.ndarray, int | None, int, list[int]]:
+    """How a set differs from the pivot ``base`` (both ascending): its excess,
+    the tokens that only one of the two has in a common order, the level and
+    length of the prefix by which it looks for others (level ``None`` where it
+    links with the pivot, length 0 where nothing can link), and the lengths of
+    those by which it is found, by level.
+
+    Sets x and y differ by ``|dx| + |dy| - 2 |dx & dy|`` tokens, dx and dy being
+    their deviations, and link if that is at most ``(|x| + |y|) (100 - t) /
+    (100 + t)``. With ``F(x) = (100 + t) |dx| - (100 - t) |x|`` they thus share
+    ``(F(x) + F(y)) / (2 (100 + t))`` deviations at least. x links with the
+    pivot if ``F(x) <= H = (100 - t) |pivot|``; no F is below ``-H``. So if x does
+    not, that is above 0 for every y, and at least ``(F(x) - H) / 200`` as y has
+    no fewer deviations than are shared. Of two sets the one with the larger F
+    looks for the other, at the level of ``F - H``, whose lower bound the other
+    one's prefix is made for.
+    """
+    add, drop = np.setdiff1d(tokens, base, assume_unique=True), np.setdiff1d(base, tokens, assume_unique=True)
+    kind = np.zeros(len(add), bool)
+    if len(frequent) and len(add):
+        kind = frequent[np.minimum(np.searchsorted(frequent, add), len(frequent) - 1)] == add
+    key = mix(np.concatenate([add, drop]) ^ np.uint64(SEEDS[0]))
+    order = np.lexsort((key, np.concatenate([kind.astype(np.int8), np.full(len(drop), 2, np.int8)])))
+    one, d = 100 + THRESHOLD, len(key)
+    excess, least = one * d - (100 - THRESHOLD) * len(tokens), (100 - THRESHOLD) * len(base)
+    over = excess - least
+    level = max(over // one, 1).bit_length() - 1 if over > 0 else None
+    found, at = [], level or 0
+    while True:
+        shared = max(1, -(-(least + excess + (one << at if at else 1)) // (2 * one)))
+        if shared > d:
+            break
+        found.append(d - shared + 1)
+        at += 1
+    return excess, key[order], level, max(0, d - max(1, -(-over // 200)) + 1), [0] * (level or 0) + found
+
+
+def deviations(members: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``role, key, class, n, s, component, excess, pivot`` of
+    ``members(pivot, of_pivot, class, n, s, component)``: a row (``NEAR``) of
+    a class that links with its pivot of another component, and a row a prefix
+    token (``PROBE``, ``INDEX``): linked classes of one pivot, not both of
+    which link with it, meet in a ``key`` of a probe and an index row."""
+
+    def prefix_keys(base: np.ndarray, tokens: np.ndarray, pivot: np.ndarray, other: bool) -> Iterator[tuple[int, int, np.ndarray]]:
+        excess, ordered, level, look, found = deviation_prefixes(base, tokens, frequent)
+        if level is None and other:
+            yield NEAR, excess, np.zeros(1, np.uint64)
+        if level is not None and look:
+            yield PROBE, excess, mix(ordered[:look] + mix(mix(pivot + np.uint64(level))))
+        for at, many in enumerate(found):
+            if many:
+                yield INDEX, excess, mix(ordered[:many] + mix(mix(pivot + np.uint64(at))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(iter([whole])):
+                (x, x_at), (y, y_at) = ((data.copy().view(np.uint64), ends // 8) for data, ends in map(flat_bytes, (batch.column(6), batch.column(7))))
+                pivot, other = batch.column(0).to_numpy(), batch.column(1).to_numpy() != batch.column(5).to_numpy()
+                about = batch.select(["class", "n", "s", "component", "pivot"])
+                held, size = [], 0
+                for row in range(batch.num_rows):
+                    sides = x[x_at[row] : x_at[row + 1]], y[y_at[row] : y_at[row + 1]]
+                    for role, excess, keys in prefix_keys(*sides, pivot[row : row + 1].view(np.uint64), bool(other[row])):
+                        held.append((row, role, excess, keys))
+                        size += len(keys)
+                        if size >= 1 << 16:
+                            yield laid_out(about, held)
+                            held, size = [], 0
+                if held:
+                    yield laid_out(about, held)
+
+    def laid_out(about: pa.RecordBatch, held: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = [len(keys) for *_, keys in held]
+        row, role, excess = (np.repeat(np.array(side, np.int64), sizes) for side in list(zip(*held))[:3])
+        kept = about.take(pa.array(row))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(role.astype(np.int32)), pa.array(np.concatenate([keys for *_, keys in held]).view(np.int64)),
+             *(kept.column(c) for c in ("class", "n", "s", "component")), pa.array(excess), kept.column("pivot")],
+            ["role", "key", "class", "n", "s", "component", "excess", "pivot"],
+        )
+
+    # A pivot may have most of the classes: they are dealt to several tasks.
+    copies = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_CLASSES).cast("int").alias("copies"))
+    bases = copies.join(sets.toDF("pivot", "base"), "pivot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    dealt = members.join(copies, "pivot").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("copies")).cast("int"))
+    both = dealt.join(sets, "class").join(bases, ["pivot", "salt"])
+    return both.select("pivot", "of_pivot", "class", "n", "s", "component", "base", "tokens").mapInArrow(
+        run, "role int, key long, class long, n long, s long, component long, excess long, pivot long"
+    )
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``class, component`` of all classes in ``links(a, b)``: the smallest
     class that links reach. Each step points classes at the smallest label
@@ -301,6 +406,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       .join(counts.select("class"), "class").groupBy("class")
                       .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jac-maps")
 
+        def fetched(sets: DataFrame | None, classes: DataFrame, name: str) -> DataFrame:
+            """``sets`` and those of ``classes`` that are not in it."""
+            needed = classes.distinct()
+            if sets is not None:
+                needed = needed.join(sets.select("class"), "class", "left_anti")
+            needed = staged(needed.join(maps.select("class", "doc"), "class").select("doc").distinct(), f"jac-needed-{name}")
+            if needed.limit(1).count():
+                more = staged(full_sets(rows.join(needed, "doc")), f"jac-full-{name}")
+                new = (more if sets is None else sets.unionByName(more)).dropDuplicates(["class"])
+                return new if sets is None else staged(new, f"jac-all-{name}")
+            return spark.createDataFrame([], "class long, tokens binary") if sets is None else sets
+
         links, labels, sets = None, None, None
         for turn in range(STAR_ROUNDS + 1):
             held = buckets if labels is None else buckets.join(labels, "class", "left")
@@ -323,19 +440,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.max(F.struct("many", "component"))["component"].alias("largest"), F.min("component").alias("low"), F.max("component").alias("high")
                 ).where("low < high").select("token", "largest")
                 mixed = staged(held.join(largest, "token"), "jac-mixed")
-                few = mixed.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a")
-                pairs = few.join(mixed, "token").where("component <> of_a").select("a", "n_a", "s_a", *other).where(size_bounds())
+                pivot = F.min(F.struct((-F.col("s") / F.col("n")).alias("first"), "class", "component"))
+                many = F.count(F.lit(1)) * F.count_if(F.col("component") != F.col("largest"))
+                hot = mixed.groupBy("token").agg(many.alias("pairs"), pivot.alias("pivot")).where(F.col("pairs") > BUCKET_PAIRS)
+                hot = staged(hot.selectExpr("token", "pivot.class AS pivot", "pivot.component AS of_pivot"), "jac-hot")
+                inside = mixed.join(hot, "token")
+                related = staged(by_bitmap(inside.selectExpr("pivot AS a", "class AS b").distinct(), maps, RELATED), "jac-related")
+                enough = related.groupBy("a").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= RELATED_CLASSES)
+                related = related.join(enough, "a").selectExpr("a AS pivot", "b AS class", "true AS related")
+                inside = staged(inside.join(related, ["pivot", "class"], "left").withColumn("related", F.coalesce("related", F.lit(False))), "jac-inside")
+                plain = mixed.join(hot.select("token"), "token", "left_anti").withColumn("related", F.lit(False))
+                plain = plain.unionByName(inside.select(*plain.columns))
+                few = plain.where("component <> largest").selectExpr("token", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a", "related AS related_a")
+                pairs = few.join(plain, "token").where("component <> of_a AND NOT (related AND related_a)")
+                pairs = pairs.select("a", "n_a", "s_a", *other).where(size_bounds()).select("a", "b")
+                members = staged(inside.where("related").select("pivot", "of_pivot", "class", "n", "s", "component").distinct(), "jac-members")
+                sets = fetched(sets, members.select("class"), "hot")  # pivots are members themselves
+                met = staged(deviations(members, sets, frequent), "jac-deviations")
+                found = met.where(F.col("role") == INDEX).select("key", *other, F.col("component").alias("of_b"), F.col("excess").alias("over_b"))
+                look = met.where(F.col("role") == PROBE).selectExpr("key", "class AS a", "n AS n_a", "s AS s_a", "component AS of_a", "excess AS over_a")
+                near = met.where(F.col("role") == NEAR).selectExpr("pivot AS a", "class AS b")
+                shared = look.join(found, "key").where("of_a <> of_b AND over_a >= over_b").where(size_bounds()).select("a", "b")
+                pairs = pairs.unionByName(shared).unionByName(near)
             left = staged(by_bitmap(staged(once(pairs), f"jac-pairs-{turn}"), maps), f"jac-left-{turn}")
-            needed = left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")).distinct()
-            if sets is not None:
-                needed = needed.join(sets.select("class"), "class", "left_anti")
-            needed = staged(needed.join(maps.select("class", "doc"), "class").select("doc").distinct(), f"jac-needed-{turn}")
-            if needed.limit(1).count():
-                more = staged(full_sets(rows.join(needed, "doc")), f"jac-full-{turn}")
-                sets = (more if sets is None else sets.unionByName(more)).dropDuplicates(["class"])
-                sets = sets if turn == 0 else staged(sets, f"jac-all-{turn}")
-            if sets is None:
-                sets = spark.createDataFrame([], "class long, tokens binary")
+            sets = fetched(sets, left.selectExpr("a AS class").unionByName(left.selectExpr("b AS class")), str(turn))
             found = staged(verified(left, sets, frequent).distinct(), f"jac-found-{turn}")
             links = found if links is None else staged(links.unionByName(found).distinct(), f"jac-links-{turn}")
             labels = components(links, f"jac-labels-{turn}")

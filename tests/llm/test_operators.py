@@ -509,3 +509,77 @@ def test_pipeline(spark):
         docs = out
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert pieces.agg(F.countDistinct("doc_id")).first()[0] == docs.agg(F.countDistinct("doc_id")).first()[0]
+
+
+def near_copies(seed: int, near: int, far: int) -> list[tuple[int, str]]:
+    """Copies of one text of 150 words: with one or two words changed, and with
+    so many that most don't link with it, of which some are copied again."""
+    rng = np.random.default_rng(seed)
+    base, fresh, out = [f"w{i}" for i in range(150)], iter(range(10**6)), []
+
+    def changed(words: list[str], many: int) -> list[str]:
+        words = list(words)
+        for at in rng.choice(len(words), many, replace=False):
+            words[at] = f"x{next(fresh)}"
+        return words
+
+    for i in range(near):
+        out.append(changed(base, 1 + i % 2))
+    for i in range(far):
+        out.append(changed(base, 5 + i % 4))
+        if i % 5 == 0:
+            out.append(changed(out[-1], 3))
+    return [(k, " ".join(words)) for k, words in enumerate(out)]
+
+
+def test_jaccard_join_compares_few_of_many_near_copies(spark, monkeypatch):
+    """Copies just under the threshold to a large group are not compared with
+    each of it: candidates grow with the rows, not with their square."""
+    formed = {}
+
+    def watch(df, name, keep=False):
+        out = staged(df, name, keep)
+        formed[name] = out.count() if name == f"jac-pairs-{jaccard_join.STAR_ROUNDS}" else None
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", watch)
+    rows = near_copies(1, 120, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == brute_components(rows)
+    assert formed[f"jac-pairs-{jaccard_join.STAR_ROUNDS}"] < 8 * len(rows)
+
+
+def test_jaccard_join_by_deviations_loses_no_link(spark, monkeypatch):
+    """Without star rounds, every bucket goes by its deviations."""
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "BUCKET_PAIRS", 0)
+    monkeypatch.setattr(jaccard_join, "RELATED_CLASSES", 0)
+    monkeypatch.setattr(jaccard_join, "PIVOT_CLASSES", 7)
+    rows = near_copies(2, 20, 60) + [(1000 + r.doc_id, r.text) for r in table(spark, SF, "documents").where("doc_id % 3 = 0").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == brute_components(rows)
+
+
+def test_deviation_prefixes_meet():
+    """Of linked sets that don't both link with the pivot, one's prefix meets
+    that of the other at its level; random sets of all sizes."""
+    rng, none, tried = np.random.default_rng(3), np.zeros(0, np.uint64), 0
+    for _ in range(3000):
+        base = np.unique(rng.integers(0, 400, rng.integers(1, 80)).astype(np.uint64))
+        x = np.unique(np.concatenate([base[rng.random(len(base)) < rng.random()], rng.integers(0, 400, rng.integers(1, 40)).astype(np.uint64)]))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.93], rng.integers(0, 400, rng.integers(0, 6)).astype(np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if x.tobytes() == y.tobytes() or 100 * both < 75 * (len(x) + len(y) - both):
+            continue
+        frequent = np.unique(rng.integers(0, 400, 30).astype(np.uint64)) if rng.random() < 0.5 else none
+        sides = [jaccard_join.deviation_prefixes(base, z, frequent) for z in (x, y)]
+        for z, side in zip((x, y), sides):
+            in_base = len(np.intersect1d(base, z))
+            assert (side[2] is None) == (100 * in_base >= 75 * (len(base) + len(z) - in_base))
+        a, b = sorted(sides, key=lambda side: -side[0])
+        if a[2] is not None:
+            tried += 1
+            assert a[2] < len(b[4]) and len(np.intersect1d(a[1][: a[3]], b[1][: b[4][a[2]]]))
+    assert tried > 300
