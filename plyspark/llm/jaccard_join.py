@@ -46,9 +46,9 @@ STAR_ROUNDS = 3
 #: With more pairs of classes a bucket's classes are compared by their
 #: deviations from its pivot; up to it, these are 32 pairs a class at most.
 BUCKET_PAIRS = 1024
-#: Only classes that can be so similar to the pivot by their sketches, as others
-#: deviate in most of their tokens, and of pivots with so many of these at
-#: least. Other pairs are formed one by one.
+#: Only classes that are about so similar to the pivot by their sketches, as
+#: others deviate in most of their tokens, and of pivots with so many of these
+#: at least. Other pairs are formed one by one.
 RELATED, RELATED_CLASSES = 50, 128
 #: What a row of ``deviations`` is for.
 NEAR, PROBE, INDEX = 0, 1, 2
@@ -145,6 +145,29 @@ def least_difference(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return out
 
 
+def likeness(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """The similarity of the sets of two sketches in percent, estimated: from
+    products of counts, of which sets without a common token have ``n_a * n_b /
+    BINS`` by chance, or else from how many bins the union leaves empty."""
+    common = np.zeros(len(a))
+    counts = np.array([len(x) == BINS and len(y) == BINS for x, y in zip(a, b)], bool)
+    for kind in (False, True):
+        rows = np.flatnonzero(counts == kind)
+        for low in range(0, len(rows), 1024):
+            part = rows[low : low + 1024]
+            sides = [[np.frombuffer(side[i], np.uint8) for i in part.tolist()] for side in (a, b)]
+            n, product = (n_a + n_b)[part], n_a[part] * n_b[part]
+            if kind:
+                x, y = (np.stack(side).astype(np.float32) for side in sides)
+                common[part] = ((x * y).sum(1, dtype=np.float64) - product / BINS) / (1 - 1 / BINS)
+            else:
+                x, y = (np.stack([np.packbits(z > 0) if len(z) == BINS else z for z in side]) for side in sides)
+                empty = np.maximum(BINS - np.bitwise_count(x | y).sum(1, dtype=np.int64), 0.5)
+                common[part] = n + BINS * np.log(empty / BINS)
+    common = np.clip(common, 0, np.minimum(n_a, n_b))
+    return 100 * common / np.maximum(n_a + n_b - common, 1)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """``doc, n, value`` (the class) and ``bitmap`` of ``docs(doc, text)``,
     and besides, with ``is_token``, tokens as ``value`` that ``n`` classes of
@@ -206,15 +229,19 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "class long, tokens binary")
 
 
-def by_bitmap(pairs: DataFrame, maps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``pairs(a, b)`` that can be similar going by their sketches."""
+def by_bitmap(pairs: DataFrame, maps: DataFrame, alike: int | None = None) -> DataFrame:
+    """``pairs(a, b)`` that can link going by their sketches; with ``alike``
+    those that are about so similar, which may miss some and take others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            differ = least_difference(batch.column(4).to_pylist(), batch.column(5).to_pylist())
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            # 100 i >= t u with u = i + d and n = 2 i + d: d <= n (100 - t) / (100 + t)
-            ok = differ * (100 + threshold) <= n * (100 - threshold)
+            n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            sides = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            if alike is None:
+                # 100 i >= t u with u = i + d and n = 2 i + d: d <= n (100 - t) / (100 + t)
+                ok = least_difference(*sides) * (100 + THRESHOLD) <= (n_a + n_b) * (100 - THRESHOLD)
+            else:
+                ok = likeness(*sides, n_a, n_b) >= alike
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     side = maps.select("class", "n", "bitmap")

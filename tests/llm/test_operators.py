@@ -562,6 +562,24 @@ def test_jaccard_join_by_deviations_loses_no_link(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_jaccard_join_relates_alike_sets_only(spark):
+    """Large sets, and small ones beside large ones, are not taken as related
+    to a pivot that they share nothing with, whatever bins they fill."""
+    rng = np.random.default_rng(4)
+    fresh = lambda n: rng.choice(1 << 52, n, replace=False).astype(np.uint64)
+    for size in (400, 1500, 9000):
+        base = fresh(size)
+        alike = [np.append(base[: int(size * part)], fresh(int(size * (1 - part)))) for part in (0.75, 0.85, 1.0)]
+        sets = [np.unique(one) for one in (base, *alike, fresh(size), fresh(size), fresh(40), fresh(9000))]
+        at = np.cumsum([0, *map(len, sets)])
+        maps = spark.createDataFrame(
+            [(k, len(one), bins) for k, (one, bins) in enumerate(zip(sets, jaccard_join.sketches(np.concatenate(sets), at)))], "class long, n long, bitmap binary"
+        )
+        pairs = spark.createDataFrame([(0, k) for k in range(1, len(sets))], "a long, b long")
+        related = jaccard_join.by_bitmap(pairs, maps, jaccard_join.RELATED).collect()
+        assert sorted(r.b for r in related) == [1, 2, 3]
+
+
 def test_deviation_prefixes_meet():
     """Of linked sets that don't both link with the pivot, one's prefix meets
     that of the other at its level; random sets of all sizes."""
